@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("silver", "warehouse", "anomaly", "alerts")
+FAMILIES = ("silver", "warehouse", "anomaly", "alerts", "graph")
 
 
 def load():

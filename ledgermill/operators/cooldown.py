@@ -12,7 +12,7 @@ candidates of more than one rule and segment.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import timedelta
 
 import numpy as np
@@ -22,51 +22,106 @@ from pyspark.sql import functions as F
 
 from ledgermill.session import stored
 
+Columns = dict[str, np.ndarray]
+
 HOUR = 3_600_000_000  # microseconds
 _FREE = np.iinfo(np.int64).min  # nothing fired yet
-_STEPS = "rule string, {level} long, at long, until long"
-_ENTRY = "rule string, {level} long, entry long"
-
 
-def _successors(times: np.ndarray, wait: int) -> np.ndarray:
-    return np.searchsorted(times, times + wait, side="left")
 
-
-def _segment_steps(times: np.ndarray, start: int, wait: int) -> tuple[np.ndarray, np.ndarray]:
+def _runs(df: DataFrame, keys: list[str], order: list[str], each: Callable[[Columns], Columns], schema: str) -> DataFrame:
+    """Apply ``each`` to every group of equal ``keys``, rows in ``order``.
+
+    Partitions arrive sorted and are read as a stream of batches; only the group
+    that crosses a batch boundary is carried over. One output frame per batch keeps
+    the cost per group to a few array operations, which matters with many small groups.
+    """
+
+    def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+
+        def solved(rows: pd.DataFrame) -> pd.DataFrame:
+            columns = {c: rows[c].to_numpy() for c in rows.columns}
+            changed = np.zeros(len(rows), dtype=bool)
+            for key in keys:
+                changed[1:] |= columns[key][1:] != columns[key][:-1]
+            bounds = [0, *np.flatnonzero(changed), len(rows)]
+            parts = []
+            for low, high in zip(bounds[:-1], bounds[1:]):
+                group = {c: v[low:high] for c, v in columns.items()}
+                out = each(group)
+                size = len(next(iter(out.values())))
+                parts.append({**{k: np.repeat(group[k][:1], size) for k in keys}, **out})
+            return pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
+
+        for batch in batches:
+            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+            if rows.empty:
+                continue
+            last = np.ones(len(rows), dtype=bool)
+            for key in keys:
+                last &= (rows[key] == rows[key].iloc[-1]).to_numpy()
+            done, rest = rows[~last], rows[last]
+            if len(done):
+                yield solved(done)
+        if rest is not None and len(rest):
+            yield solved(rest)
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(stream, schema)
+
+
+def _segment_steps(times: np.ndarray, start: int, wait: int) -> Columns:
     """Possible first firings of a segment and the moment each one hands on."""
-    after = _successors(times, wait)
+    after = np.searchsorted(times, times + wait, side="left")
     until = times + wait
     for i in range(len(times) - 1, -1, -1):
         if after[i] < len(times):
             until[i] = until[after[i]]
     last = min(np.searchsorted(times, start + wait, side="left") + 1, len(times))
-    return times[:last], until[:last]
+    return {"at": times[:last], "until": until[:last]}
+
+
+def _fired(times: np.ndarray, entry: int, wait: int) -> Columns:
+    after = np.searchsorted(times, times + wait, side="left")
+    fired, i = [], int(np.searchsorted(times, entry, side="left"))
+    while i < len(times):
+        fired.append(i)
+        i = int(after[i])
+    return {"at": times[np.array(fired, dtype="int64")]}
 
 
 def _advance(moment: np.ndarray, at: np.ndarray, until: np.ndarray) -> np.ndarray:
     """Hand each moment through one segment; unchanged when nothing can fire any more."""
     step = np.searchsorted(at, moment, side="left")
-    reached = step < len(at)
-    return np.where(reached, until[np.minimum(step, len(at) - 1)], moment)
+    return np.where(step < len(at), until[np.minimum(step, len(at) - 1)], moment)
 
 
-def _children(pdf: pd.DataFrame, level: str):
-    for key, rows in pdf.sort_values([level, "at"]).groupby(level, sort=True):
-        yield key, rows["at"].to_numpy(), rows["until"].to_numpy()
+def _children(group: Columns, level: str) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    starts = np.flatnonzero(np.append(True, group[level][1:] != group[level][:-1]))
+    ends = [*starts[1:], len(group[level])]
+    return [(group[level][a], group["at"][a:b], group["until"][a:b]) for a, b in zip(starts, ends)]
 
 
-def _merge_steps(pdf: pd.DataFrame, level: str) -> tuple[np.ndarray, np.ndarray]:
+def _merge_steps(group: Columns, level: str) -> Columns:
     """Step function of consecutive segments seen as one."""
-    children = list(_children(pdf, level))
+    children = _children(group, level)
     at, until = children[0][1], children[0][2]
     if len(children) > 1:  # a moment past every step of the first child enters at the second
-        at = np.append(at, children[1][1][0])
-        until = np.append(until, children[1][2][0])
-        in_first = np.arange(len(at)) < len(children[0][1])
-        for position, (_, child_at, child_until) in enumerate(children[1:], 1):
-            moved = _advance(until, child_at, child_until)
-            until = np.where(in_first | (position > 1), moved, until)
-    return at, until
+        until = _advance(until, *children[1][1:])
+        at, until = np.append(at, children[1][1][0]), np.append(until, children[1][2][0])
+    for _, child_at, child_until in children[2:]:
+        until = _advance(until, child_at, child_until)
+    return {"at": at, "until": until}
+
+
+def _hand_down(group: Columns, level: str) -> Columns:
+    """The moment at which each segment of the group is entered."""
+    moment = group["entry"][:1]
+    keys, found = [], []
+    for key, at, until in _children(group, level):
+        keys.append(key)
+        found.append(moment[0])
+        moment = _advance(moment, at, until)
+    return {level: np.array(keys, dtype="int64"), "entry": np.array(found, dtype="int64")}
 
 
 def cooldown(
@@ -79,7 +134,10 @@ def cooldown(
     """The candidates that fire; among rows of equal rule and time the first by ``tie``."""
     wait = int(timedelta(minutes=minutes) / timedelta(microseconds=1))
     hour = max(HOUR, wait)
-    widths = {"hour": hour, "day": 24 * hour, "block": 64 * 24 * hour}
+    ratios = {"hour": 24, "day": 64}  # segments of a level per segment of the next
+
+    def above(level: str):
+        return F.expr(f"cast(floor({level} / {ratios[level]}D) as long)")
 
     row = F.struct(*[F.col(c) for c in candidates.columns])
     order = F.struct(*[F.col(c) for c in tie]) if tie else row
@@ -87,81 +145,39 @@ def cooldown(
     distinct = stored(
         candidates.groupBy(F.col(rule).cast("string").alias("rule"), micros.alias("at"))
         .agg(F.min_by(row, order).alias("row"))
-        .withColumns({level: F.floor(F.col("at") / F.lit(width)).cast("long") for level, width in widths.items()}),
+        .withColumn("hour", F.expr(f"cast(floor(at / {hour}D) as long)")),
         "candidates",
     )
     moments = distinct.select("rule", "hour", "at")
-
-    def leaf(key, pdf):
-        at, until = _segment_steps(np.sort(pdf["at"].to_numpy()), int(key[1]) * hour, wait)
-        return pd.DataFrame({"rule": key[0], "hour": key[1], "at": at, "until": until})
-
-    def merged(level, parent):
-        def run(key, pdf):
-            at, until = _merge_steps(pdf, level)
-            return pd.DataFrame({"rule": key[0], parent: key[1], "at": at, "until": until})
-
-        return run
-
-    def parent_of(level, parent):
-        ratio = widths[parent] // widths[level]
-        return F.expr(f"cast(floor({level} / {ratio}D) as long)").alias(parent)
-
-    hours = stored(moments.groupBy("rule", "hour").applyInPandas(leaf, _STEPS.format(level="hour")), "hours")
+    steps, entry = "rule string, {} long, at long, until long", "rule string, {} long, entry long"
+
+    # upwards: step functions of hours, days and blocks of 64 days
+    hours = stored(
+        _runs(moments, ["rule", "hour"], ["at"],
+              lambda g: _segment_steps(g["at"], int(g["hour"][0]) * hour, wait), steps.format("hour")),
+        "hours",
+    ).withColumn("day", above("hour"))
     days = stored(
-        hours.groupBy("rule", parent_of("hour", "day")).applyInPandas(merged("hour", "day"), _STEPS.format(level="day")),
+        _runs(hours, ["rule", "day"], ["hour", "at"], lambda g: _merge_steps(g, "hour"), steps.format("day")),
         "days",
-    )
-    blocks = days.groupBy("rule", parent_of("day", "block")).applyInPandas(
-        merged("day", "block"), _STEPS.format(level="block")
-    )
+    ).withColumn("block", above("day"))
+    blocks = _runs(days, ["rule", "block"], ["day", "at"], lambda g: _merge_steps(g, "day"), steps.format("block"))
 
-    def entries(pdf, level, moment):
-        keys, found = [], []
-        for key, at, until in _children(pdf, level):
-            keys.append(key)
-            found.append(moment)
-            moment = int(_advance(np.array([moment]), at, until)[0])
-        return pd.DataFrame({"rule": pdf["rule"].iloc[0], level: keys, "entry": found})
-
-    def first_entries(pdf: pd.DataFrame) -> pd.DataFrame:
-        return entries(pdf, "block", _FREE)
-
-    def handed_down(level):
-        def run(steps, above):
-            if steps.empty or above.empty:
-                return pd.DataFrame({"rule": [], level: [], "entry": []})
-            return entries(steps, level, int(above["entry"].iloc[0]))
-
-        return run
-
-    def down(steps, level, parent, above):
-        return (
-            steps.withColumn(parent, parent_of(level, parent))
-            .groupBy("rule", parent)
-            .cogroup(above.groupBy("rule", parent))
-            .applyInPandas(handed_down(level), _ENTRY.format(level=level))
-        )
-
-    # a rule has one block per 64 days, whatever the number of its candidates
-    block_entry = blocks.groupBy("rule").applyInPandas(first_entries, _ENTRY.format(level="block"))
-    day_entry = down(days, "day", "block", block_entry)
-    hour_entry = down(hours, "hour", "day", day_entry)
-
-    def fire(key, pdf, above):
-        if pdf.empty:
-            return pd.DataFrame({"rule": [], "at": []})
-        times = np.sort(pdf["at"].to_numpy())
-        after = _successors(times, wait)
-        fired, i = [], int(np.searchsorted(times, int(above["entry"].iloc[0]), side="left"))
-        while i < len(times):
-            fired.append(times[i])
-            i = int(after[i])
-        return pd.DataFrame({"rule": key[0], "at": np.array(fired, dtype="int64")})
-
-    fired = (
-        moments.groupBy("rule", "hour")
-        .cogroup(hour_entry.groupBy("rule", "hour"))
-        .applyInPandas(fire, "rule string, at long")
+    # downwards: a rule has one block per 64 days, however many candidates it has
+    block_entry = _runs(
+        blocks.withColumn("entry", F.lit(_FREE).cast("long")), ["rule"], ["block", "at"],
+        lambda g: _hand_down(g, "block"), entry.format("block"),
+    )
+    day_entry = _runs(
+        days.join(block_entry, ["rule", "block"]), ["rule", "block"], ["day", "at"],
+        lambda g: _hand_down(g, "day"), "rule string, block long, day long, entry long",
+    ).drop("block")
+    hour_entry = _runs(
+        hours.join(day_entry, ["rule", "day"]), ["rule", "day"], ["hour", "at"],
+        lambda g: _hand_down(g, "hour"), "rule string, day long, hour long, entry long",
+    ).drop("day")
+    fired = _runs(
+        moments.join(hour_entry, ["rule", "hour"]), ["rule", "hour"], ["at"],
+        lambda g: _fired(g["at"], int(g["entry"][0]), wait), "rule string, hour long, at long",
     )
-    return distinct.join(fired, ["rule", "at"], "left_semi").select("row.*")
+    return distinct.join(fired, ["rule", "hour", "at"], "left_semi").select("row.*")

@@ -19,9 +19,9 @@ GIVEN = (
 INPUTS: dict[str, str] = {
     "transactions": """
 SELECT concat('TX', CAST(o.o_orderkey AS STRING)) AS transaction_id, o.o_orderkey AS tx_key,
-       CASE WHEN mod(o.o_orderkey, 10) = 0 THEN o.o_totalprice / CAST(1.01 AS DOUBLE) ELSE o.o_totalprice / CAST(19.7 AS DOUBLE) END AS amount,
+       CASE WHEN mod(o.o_orderkey, 10) = 0 THEN o.o_totalprice / CAST(1.01371 AS DOUBLE) ELSE o.o_totalprice / CAST(19.7371 AS DOUBLE) END AS amount,
        CASE mod(o.o_orderkey, 4) WHEN 0 THEN 'EUR' WHEN 1 THEN 'USD' WHEN 2 THEN 'GBP' ELSE 'CHF' END AS currency,
-       CASE WHEN mod(o.o_orderkey, 7) = 0 THEN o.o_totalprice / CAST(24.7 AS DOUBLE) END AS amount_eur,
+       CASE WHEN mod(o.o_orderkey, 7) = 0 THEN o.o_totalprice / CAST(24.7137 AS DOUBLE) END AS amount_eur,
        concat('C', CAST(c.c_custkey AS STRING)) AS sender_id, c.c_name AS sender_name,
        lower(sn.n_name) AS sender_country, concat('BANK_', sn.n_name) AS sender_bank,
        concat('R', CAST(rn.n_nationkey AS STRING)) AS receiver_id, concat('Receiver ', rn.n_name) AS receiver_name,
@@ -46,28 +46,28 @@ SELECT event_id, concat('SYM', CAST(user_id AS STRING)) AS symbol,
        prior AS previous_close, price - prior AS change, (price - prior) * 100 / prior AS change_percent,
        CAST(floor(price * price * 1000) AS BIGINT) AS volume,
        CASE WHEN mod(user_id, 9) = 0 THEN NULL ELSE CAST(floor(price * 1000000) AS BIGINT) END AS market_cap, ts
-FROM (SELECT e.*, value / CAST(1.07 AS DOUBLE) AS price,
-             nullif(CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE), 0) / CAST(1.03 AS DOUBLE) AS prior FROM {events} e) p""",
+FROM (SELECT e.*, value / CAST(1.07379 AS DOUBLE) AS price,
+             nullif(CAST(regexp_extract(props, '([0-9]+)', 1) AS DOUBLE), 0) / CAST(1.03117 AS DOUBLE) AS prior FROM {events} e) p""",
     "forex": """
 SELECT 'EUR' AS base_currency,
        CASE event_type WHEN 'click' THEN 'USD' WHEN 'view' THEN 'GBP' WHEN 'purchase' THEN 'JPY'
             WHEN 'signup' THEN 'CHF' ELSE 'CAD' END AS target_currency,
-       CAST(ts AS DATE) AS reference_date, max(value) / CAST(107 AS DOUBLE) AS rate
+       CAST(ts AS DATE) AS reference_date, max(value) / CAST(107.379 AS DOUBLE) AS rate
 FROM {events} GROUP BY event_type, CAST(ts AS DATE)""",
     "listings": """
 SELECT CASE WHEN mod(p_partkey, 41) = 0 THEN NULL ELSE concat('P', CAST(p_partkey AS STRING)) END AS symbol,
        p_partkey AS listing_id, p_name AS name, p_type AS sector,
-       CASE WHEN mod(p_partkey, 13) = 0 THEN NULL ELSE p_retailprice * 1000000 / CAST(1.07 AS DOUBLE) END AS market_cap,
+       CASE WHEN mod(p_partkey, 13) = 0 THEN NULL ELSE p_retailprice * 1000000 / CAST(1.07379 AS DOUBLE) END AS market_cap,
        CASE mod(p_partkey, 4) WHEN 0 THEN 'sp500' WHEN 1 THEN 'gdp' WHEN 2 THEN 'nasdaq' ELSE 'nyse' END AS _csv_source
 FROM {part}""",
     "financials": """
 SELECT concat('F', CAST(s.s_suppkey AS STRING)) AS company_id, s.s_name AS company_name,
        concat('TK', CAST(s.s_suppkey AS STRING)) AS ticker, r.r_name AS sector, n.n_name AS country,
-       f.fiscal_year, f.fiscal_quarter, f.revenue AS revenue_millions, f.kept / CAST(8.3 AS DOUBLE) AS net_income_millions,
+       f.fiscal_year, f.fiscal_quarter, f.revenue AS revenue_millions, f.kept / CAST(8.3719 AS DOUBLE) AS net_income_millions,
        f.quantity * 20000 AS total_assets_millions, f.quantity * 2000 AS total_equity_millions,
        f.quantity * 9000 AS total_debt_millions, f.quantity AS shares_millions,
-       round(f.kept * 100 / 8.3 / f.revenue, 4) AS profit_margin_pct,
-       CASE WHEN mod(s.s_suppkey, 6) = 5 THEN NULL ELSE round(f.kept / 166 / f.quantity, 4) END AS roe_pct
+       round(f.kept * 100 / 8.3719 / f.revenue, 4) AS profit_margin_pct,
+       CASE WHEN mod(s.s_suppkey, 6) = 5 THEN NULL ELSE round(f.kept / 166.37 / f.quantity, 4) END AS roe_pct
 FROM (SELECT l_suppkey, year(l_shipdate) AS fiscal_year, concat('Q', CAST(quarter(l_shipdate) AS STRING)) AS fiscal_quarter,
              CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
              CAST(sum(CASE WHEN l_returnflag = 'R' THEN -CAST(l_extendedprice AS DECIMAL(18,2))
@@ -81,7 +81,7 @@ JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
 SELECT concat('BANK_', n_name) AS bank_name, concat('SW', CAST(n_nationkey AS STRING)) AS swift_code,
        lower(n_name) AS country, n_regionkey = 3 AS is_sepa_member
 FROM {nation} WHERE n_nationkey <> 4""",
-    "metric_points": "SELECT event_id, event_type AS metric, value / CAST(1.07 AS DOUBLE) AS value, ts FROM {events}",
+    "metric_points": "SELECT event_id, event_type AS metric, value / CAST(1.07379 AS DOUBLE) AS value, ts FROM {events}",
     "metrics": """
 SELECT concat('t', CAST(o_orderkey AS STRING)) AS point_id, 'transactions' AS source, 'amount' AS metric,
        o_totalprice AS value, CAST(NULL AS STRING) AS status, o_orderdate AS ts FROM {orders}
