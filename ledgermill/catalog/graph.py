@@ -46,8 +46,8 @@ _HIGH = f"""FROM {a('onto:Transaction', 'tx')} JOIN {m('onto:amountEUR', 'tx', '
 
 @query(
     "grf_02_high_value_transactions",
-    f"""SELECT tx, amount, sender_name, receiver_name, status {_HIGH} WHERE CAST(amount AS DOUBLE) > 10000
-    ORDER BY CAST(amount AS DOUBLE) DESC, tx LIMIT 50""",
+    f"""SELECT tx, amount, sender_name, receiver_name, status {_HIGH} WHERE TRY_CAST(amount AS DOUBLE) > 10000
+    ORDER BY TRY_CAST(amount AS DOUBLE) DESC, tx LIMIT 50""",
 )
 def _(d):
     return g(d).high_value_transactions()
@@ -107,8 +107,8 @@ def _(d):
     "grf_06_top_roe",
     f"""SELECT name, sector, roe, revenue FROM {_FIRM} JOIN {m('onto:belongsToSector', 'company', 'sector')} USING (company)
     JOIN {m('onto:hasFinancialStatement', 'company', 'statement')} USING (company) JOIN {m('onto:returnOnEquity', 'statement', 'roe')} USING (statement)
-    JOIN {m('onto:revenue', 'statement', 'revenue')} USING (statement) WHERE CAST(roe AS DOUBLE) > 5
-    ORDER BY CAST(roe AS DOUBLE) DESC, statement LIMIT 10""",
+    JOIN {m('onto:revenue', 'statement', 'revenue')} USING (statement) WHERE TRY_CAST(roe AS DOUBLE) > 5
+    ORDER BY TRY_CAST(roe AS DOUBLE) DESC, statement LIMIT 10""",
 )
 def _(d):
     return g(d).top_roe()
@@ -139,8 +139,8 @@ def _(d):
 
 @query(
     "grf_08_daily_volume",
-    f"""SELECT CAST(CAST(at AS TIMESTAMP) AS DATE) AS date, sum(CAST(amount AS DECIMAL(18,2))) AS daily_volume, count(*) AS tx_count
-    FROM {a('onto:Transaction', 'tx')} JOIN {m('onto:amountEUR', 'tx', 'amount')} USING (tx) JOIN {m('onto:timestamp', 'tx', 'at')} USING (tx) GROUP BY 1""",
+    f"""SELECT CAST(TRY_CAST(moment AS TIMESTAMP) AS DATE) AS date, sum(CAST(amount AS DECIMAL(18,2))) AS daily_volume, count(*) AS tx_count
+    FROM {a('onto:Transaction', 'tx')} JOIN {m('onto:amountEUR', 'tx', 'amount')} USING (tx) JOIN {m('onto:timestamp', 'tx', 'moment')} USING (tx) GROUP BY 1""",
 )
 def _(d):
     return g(d).daily_volume()
@@ -149,7 +149,7 @@ def _(d):
 @query(
     "grf_09_ask",
     f"""SELECT count(*) > 0 AS answer FROM {a('onto:Transaction', 'tx')} JOIN {m('onto:amountEUR', 'tx', 'amount')} USING (tx)
-    WHERE CAST(amount AS DOUBLE) > 100000""",
+    WHERE TRY_CAST(amount AS DOUBLE) > 100000""",
 )
 def _(d):
     return g(d).any_above()
@@ -275,7 +275,7 @@ _AMOUNTS = f"{a('onto:Transaction', 'tx')} JOIN {m('onto:amount', 'tx', 'amount'
 
 @query(
     "grf_19_transaction_stats",
-    f"""SELECT count(*) AS total_transactions, sum(CAST(amount AS DECIMAL(18,2))) AS total_volume, round(avg(CAST(amount AS DOUBLE)), 4) AS avg_amount,
+    f"""SELECT count(*) AS total_transactions, sum(CAST(amount AS DECIMAL(18,2))) AS total_volume, round(avg(TRY_CAST(amount AS DOUBLE)), 4) AS avg_amount,
     max(CAST(amount AS DECIMAL(18,2))) AS max_amount FROM {_AMOUNTS}""",
 )
 def _(d):
@@ -324,7 +324,7 @@ def _(d):
     return g(d).data_sources()
 
 
-@query("grf_24_alert_high_value", f"SELECT count(*) AS high_value_count FROM {_AMOUNTS} WHERE CAST(amount AS DOUBLE) > 50000")
+@query("grf_24_alert_high_value", f"SELECT count(*) AS high_value_count FROM {_AMOUNTS} WHERE TRY_CAST(amount AS DOUBLE) > 50000")
 def _(d):
     return g(d).count_above()
 
@@ -364,7 +364,7 @@ def _(d):
     f"""SELECT tx, "txId", amount, currency, status, date FROM {a('onto:Transaction', 'tx')} JOIN {m('onto:status', 'tx', 'status', " AND o = 'F'")} USING (tx)
     JOIN {m('onto:amount', 'tx', 'amount')} USING (tx) LEFT JOIN {m('onto:transactionId', 'tx', '"txId"')} USING (tx)
     LEFT JOIN {path('onto:transactionCurrency', 'onto:currencyCode', 'tx', 'currency')} USING (tx) LEFT JOIN {m('onto:date', 'tx', 'date')} USING (tx)
-    WHERE CAST(amount AS DOUBLE) > 20000 ORDER BY date DESC NULLS LAST, tx LIMIT 100""",
+    WHERE TRY_CAST(amount AS DOUBLE) > 20000 ORDER BY date DESC NULLS LAST, tx LIMIT 100""",
 )
 def _(d):
     return g(d).transactions(status="F", min_amount=20000)

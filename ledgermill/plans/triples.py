@@ -28,8 +28,8 @@ def _literal(graph, s, p, o, source, datatype=None, lang=None, where=None) -> st
     return _quad(graph, s, p, o, source, "literal", datatype, lang, where)
 
 
-def _decimal(value: str) -> str:
-    return f"CAST(CAST({value} AS DECIMAL(18,2)) AS STRING)"
+def _decimal(value: str, digits: int = 2) -> str:
+    return f"CAST(CAST({value} AS DECIMAL(18,{digits})) AS STRING)"
 
 
 def _data() -> list[str]:
@@ -72,8 +72,8 @@ def _data() -> list[str]:
         text("{financials}", filing, "onto:fiscalYear", "CAST(fiscal_year AS STRING)", year),
         text("{financials}", filing, "onto:fiscalQuarter", "fiscal_quarter"),
         text("{financials}", filing, "onto:revenue", _decimal("revenue_millions"), number),
-        text("{financials}", filing, "onto:profitMargin", _decimal("profit_margin_pct"), number, "fiscal_quarter <> 'Q2'"),
-        text("{financials}", filing, "onto:returnOnEquity", _decimal("roe_pct * 10"), number, "roe_pct IS NOT NULL"),
+        text("{financials}", filing, "onto:profitMargin", _decimal("profit_margin_pct", 4), number, "fiscal_quarter <> 'Q2'"),
+        text("{financials}", filing, "onto:returnOnEquity", _decimal("roe_pct * 10", 4), number, "roe_pct IS NOT NULL"),
         of("{part}", stock, "onto:Stock"), text("{part}", stock, "onto:symbol", _iri("P", "p_partkey")),
         text("{part}", stock, "onto:hasTicker", _iri("TK", "p_partkey"), where="mod(p_partkey, 41) <> 0"),
         text("{part}", stock, "rdfs:label", "p_name"), text("{part}", stock, "onto:price", _decimal("p_retailprice"), number),
