@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-FAMILIES = ("silver", "warehouse", "anomaly", "alerts", "graph", "quality", "sources")
+FAMILIES = ("silver", "warehouse", "anomaly", "alerts", "graph", "quality", "sources", "streams")
 
 
 def load():
