@@ -83,10 +83,10 @@ def _(d):
 
 @query(
     "str_04_late_rows",
-    """WITH timely AS (SELECT ts FROM events WHERE mod(event_id, 10) <> 0), mark AS (SELECT max(ts) - INTERVAL 1 DAY AS at FROM timely),
-    late AS (SELECT ts FROM events, mark WHERE mod(event_id, 10) = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR > at)
+    """WITH timely AS (SELECT ts FROM events WHERE mod(event_id, 10) <> 0), mark AS (SELECT max(ts) - INTERVAL 1 DAY AS passed FROM timely),
+    late AS (SELECT ts FROM events, mark WHERE mod(event_id, 10) = 0 AND date_trunc('hour', ts) + INTERVAL 1 HOUR > passed)
     SELECT date_trunc('hour', ts) AS window_start, count(*) AS tx_count FROM (SELECT ts FROM timely UNION ALL SELECT ts FROM late) u
-    GROUP BY 1 HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT greatest(at, (SELECT max(ts) FROM events) - INTERVAL 1 DAY) FROM mark)""",
+    GROUP BY 1 HAVING date_trunc('hour', min(ts)) + INTERVAL 1 HOUR <= (SELECT greatest(passed, (SELECT max(ts) FROM events) - INTERVAL 1 DAY) FROM mark)""",
 )
 def _(d):
     # one table in two deliveries: a tenth of the rows comes after the watermark has passed most of them
@@ -154,10 +154,8 @@ def _(d):
     UNION ALL SELECT n.* FROM fired f JOIN rule_next n ON n.pos = f.next_pos) SELECT rule, ts, point_id FROM fired""",
 )
 def _(d):
-    events = flows.table_stream(d.spark, d.folder, "events")
-    points = d.frame("metrics", events=events, orders=d.orders.limit(0))
-    # only the event-driven sources stream; the static branch of the input is left out
-    hits = alerts.evaluate_rules(points.filter(F.col("source") != "transactions"))
+    points = d.frame("event_metrics", events=flows.table_stream(d.spark, d.folder, "events"))
+    hits = alerts.evaluate_rules(points)
     out = flows.drain(stateful.cooled_alerts(hits), "cooled")
     return out.select("rule", F.col("ts").cast("timestamp_ntz").alias("ts"), "point_id")
 

@@ -82,13 +82,16 @@ SELECT concat('BANK_', n_name) AS bank_name, concat('SW', CAST(n_nationkey AS ST
        lower(n_name) AS country, n_regionkey = 3 AS is_sepa_member
 FROM {nation} WHERE n_nationkey <> 4""",
     "metric_points": "SELECT event_id, event_type AS metric, value / CAST(1.07379 AS DOUBLE) AS value, ts FROM {events}",
-    "metrics": """
-SELECT concat('t', CAST(o_orderkey AS STRING)) AS point_id, 'transactions' AS source, 'amount' AS metric,
-       o_totalprice AS value, CAST(NULL AS STRING) AS status, o_orderdate AS ts FROM {orders}
-UNION ALL SELECT concat('e', CAST(event_id AS STRING)), 'forex', 'change_percent', change_percent / 1000, CAST(NULL AS STRING), ts FROM {quotes}
+    "event_metrics": """
+SELECT concat('e', CAST(event_id AS STRING)) AS point_id, 'forex' AS source, 'change_percent' AS metric,
+       change_percent / 1000 AS value, CAST(NULL AS STRING) AS status, ts FROM {quotes}
 UNION ALL SELECT concat('p', CAST(event_id AS STRING)), 'pipeline', 'stage', CAST(NULL AS DOUBLE),
        CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END, ts FROM {events}
 UNION ALL SELECT concat('q', CAST(event_id AS STRING)), 'data_quality', 'age', value * 100, CAST(NULL AS STRING), ts FROM {events}""",
+    "metrics": """
+SELECT concat('t', CAST(o_orderkey AS STRING)) AS point_id, 'transactions' AS source, 'amount' AS metric,
+       o_totalprice AS value, CAST(NULL AS STRING) AS status, o_orderdate AS ts FROM {orders}
+UNION ALL SELECT point_id, source, metric, value, status, ts FROM {event_metrics}""",
     "lineage_edges": """
 SELECT concat('customer:', CAST(o_custkey AS STRING)) AS source_asset, concat('order:', CAST(o_orderkey AS STRING)) AS target_asset FROM {orders}
 UNION ALL SELECT concat('order:', CAST(l_orderkey AS STRING)), concat('part:', CAST(l_partkey AS STRING)) FROM {lineitem}

@@ -48,10 +48,10 @@ def price_and_volume_anomalies(
                                 int(average), volume / average, "threshold", ts))
             prices, volumes = [*prices[1 - window:], float(price)], [*volumes[1 - window:], int(volume)]
         state.update((prices, volumes))
-        names = [c.split()[0] for c in _QUOTE_OUT.split(", ")]
-        frame = pd.DataFrame(out, columns=names)
-        frame["average_volume"] = frame["average_volume"].astype("Int64")
-        yield frame
+        if out:
+            frame = pd.DataFrame(out, columns=[c.split()[0] for c in _QUOTE_OUT.split(", ")])
+            frame["average_volume"] = frame["average_volume"].astype("Int64")
+            yield frame
 
     slim = quotes.select("symbol", "event_id", "current_price", "volume", F.col("ts").cast("timestamp").alias("ts"))
     return slim.groupBy("symbol").applyInPandasWithState(
@@ -76,7 +76,8 @@ def transaction_anomalies(
             if amount > mean + sigmas * stdev or amount > limit:
                 out.append((group[0], tx_key, amount, mean, mean + sigmas * stdev, "HIGH" if amount > 25000 else "MEDIUM", ts))
         state.update((recent,))
-        yield pd.DataFrame(out, columns=[c.split()[0] for c in _TX_OUT.split(", ")])
+        if out:
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in _TX_OUT.split(", ")])
 
     slim = transactions.select(
         F.col(key).cast("string").alias("key"), "tx_key", "amount", F.col("created_at").cast("timestamp").alias("ts")
@@ -98,7 +99,7 @@ def cooled_alerts(hits: DataFrame, minutes: int = 5) -> DataFrame:
                 until = ts + wait
         if out:
             state.update((until.to_pydatetime(),))
-        yield pd.DataFrame(out, columns=["rule", "point_id", "ts"])
+            yield pd.DataFrame(out, columns=["rule", "point_id", "ts"])
 
     slim = hits.select("rule", "point_id", F.col("ts").cast("timestamp").alias("ts"))
     return slim.groupBy("rule").applyInPandasWithState(
