@@ -6,7 +6,7 @@ from ledgermill.catalog.registry import query
 from ledgermill.operators import closure, patterns
 from ledgermill.operators.patterns import Graph
 from ledgermill.plans.oracle import view
-from ledgermill.plans.triples import COLUMNS, default_graph
+from ledgermill.plans.triples import default_graph, named_graph, quads, stored_quads
 
 
 def g(d) -> Graph:
@@ -210,7 +210,7 @@ def _(d):
     return g(d).type_counts("onto:")
 
 
-_ONTO = "(SELECT * FROM triples WHERE graph = 'ontology')"
+_ONTO = "(SELECT * FROM quads WHERE graph = 'ontology')"
 
 
 @query(
@@ -220,7 +220,7 @@ _ONTO = "(SELECT * FROM triples WHERE graph = 'ontology')"
     LEFT JOIN {_ONTO} k ON k.s = c.s AND k.p = 'rdfs:comment' WHERE c.p = 'rdf:type' AND c.o = 'owl:Class' AND starts_with(c.s, 'onto:')""",
 )
 def _(d):
-    return patterns.ontology_classes(d.triples)
+    return patterns.ontology_classes(named_graph(d, "ontology"))
 
 
 @query(
@@ -416,9 +416,9 @@ def _(d):
     return g(d).search_concepts("Ring")
 
 
-@query("grf_30_graph_counts", "SELECT graph, count(*) AS triple_count FROM triples GROUP BY graph")
+@query("grf_30_graph_counts", "SELECT graph, count(*) AS triple_count FROM quads GROUP BY graph")
 def _(d):
-    return patterns.graph_counts(d.triples)
+    return patterns.graph_counts(stored_quads(d))
 
 
 @query(
@@ -428,15 +428,16 @@ def _(d):
      WHERE graph <> 'vocabulary') EXCEPT SELECT * FROM triples WHERE p = 'onto:usesChannel') w GROUP BY graph, p""",
 )
 def _(d):
-    added = d.triples.filter(F.col("p") == "onto:status").withColumn("graph", F.lit("inferred"))
-    gone = d.triples.filter(F.col("p") == "onto:usesChannel")
-    updated = patterns.delete_triples(patterns.insert_triples(patterns.clear_graph(d.triples, "vocabulary"), added), gone)
+    stored = stored_quads(d)
+    added = stored.filter(F.col("p") == "onto:status").withColumn("graph", F.lit("inferred"))
+    gone = stored.filter(F.col("p") == "onto:usesChannel")
+    updated = patterns.delete_triples(patterns.insert_triples(patterns.clear_graph(stored, "vocabulary"), added), gone)
     return updated.groupBy("graph", "p").agg(F.count(F.lit(1)).alias("triple_count"))
 
 
 @query("grf_32_union_default_graph", "SELECT p, count(*) AS triple_count FROM tset GROUP BY p")
 def _(d):
-    merged = patterns.union_default_graph(d.triples)
+    merged = patterns.union_default_graph(quads(d))
     return merged.groupBy("p").agg(F.count(F.lit(1)).alias("triple_count"))
 
 

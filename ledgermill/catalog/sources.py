@@ -6,7 +6,7 @@ from ledgermill.catalog.registry import query
 from ledgermill.operators import silver
 from ledgermill.plans.layers import rounded
 from ledgermill.plans.oracle import view
-from ledgermill.plans.triples import default_graph
+from ledgermill.plans.triples import stored_quads
 from ledgermill.session import scratch_path
 from ledgermill.sources import raw, readers, writers
 
@@ -211,10 +211,10 @@ def _(d):
     return stamped.select("event_id", "_source", "_source_type", "_is_real_data", complete.alias("stamped"))
 
 
-@query("src_15_ntriples", "SELECT graph, p, count(*) AS n, count(lang) AS tagged, count(datatype) AS typed, max(s) AS s, max(o) AS o FROM triples GROUP BY graph, p")
+@query("src_15_ntriples", "SELECT graph, p, count(*) AS n, count(lang) AS tagged, count(datatype) AS typed, max(s) AS s, max(o) AS o FROM quads GROUP BY graph, p")
 def _(d):
     path = scratch_path(d.spark, "quads")
-    readers.to_ntriples(d.triples).write.text(path)
+    readers.to_ntriples(stored_quads(d)).write.text(path)
     back = readers.read_ntriples(d.spark, path, "data")
     return back.groupBy("graph", "p").agg(
         F.count(F.lit(1)).alias("n"), F.count("lang").alias("tagged"), F.count("datatype").alias("typed"),

@@ -221,6 +221,9 @@ class Graph:
             self.p("onto:hasCurrency", "tx", "curr_uri"),
             self.p("skos:notation", "curr_uri", "currency"),
         )
+        if limit is not None:
+            # every payment keeps at least one row, so the first rows come from the first payments
+            base = base.orderBy("tx").limit(limit)
         rates = every(
             self.a("onto:ExchangeRate", "fx"), self.p("onto:toCurrency", "fx", "curr_uri"), self.p("onto:rate", "fx", "rate")
         )
@@ -405,8 +408,9 @@ class Graph:
 # ---- quads: named graphs, updates ------------------------------------------------
 
 
-def ontology_classes(quads: DataFrame, graph: str = "ontology", prefix: str = "onto:") -> DataFrame:
-    g = Graph(quads.filter(F.col("graph") == graph))
+def ontology_classes(ontology: DataFrame, prefix: str = "onto:") -> DataFrame:
+    """Classes of one named graph, given as its triples."""
+    g = Graph(ontology)
     classes = g.a("owl:Class", "class").filter(F.col("class").startswith(prefix))
     return optional(
         classes, g.p(LABEL, "class", "label"), g.p("rdfs:subClassOf", "class", "superClass"), g.p("rdfs:comment", "class", "comment")

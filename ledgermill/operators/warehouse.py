@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-COUNT = F.count(F.lit(1))
+def _rows() -> Column:
+    return F.count(F.lit(1))
 
 
 def _money(column: Column) -> Column:
@@ -22,7 +23,7 @@ def market_overview(stocks: DataFrame) -> DataFrame:
     return (
         stocks.groupBy("exchange")
         .agg(
-            COUNT.alias("stock_count"),
+            _rows().alias("stock_count"),
             _money(F.avg("price_eur")).alias("avg_price_eur"),
             F.sum("volume").alias("total_volume"),
             F.count_if(F.col("trend") == "UP").alias("stocks_up"),
@@ -39,7 +40,7 @@ def transaction_summary(transactions: DataFrame, as_of, days: int = 7) -> DataFr
         transactions.filter(F.col("tx_date") >= since)
         .groupBy("tx_date")
         .agg(
-            COUNT.alias("tx_count"),
+            _rows().alias("tx_count"),
             _money(F.sum("amount_eur")).alias("total_volume_eur"),
             _money(F.avg("amount_eur")).alias("avg_amount_eur"),
             F.count_if("is_cross_border").alias("cross_border_count"),
@@ -54,7 +55,7 @@ def cross_border_flows(transactions: DataFrame, limit: int = 20) -> DataFrame:
         transactions.filter("is_cross_border")
         .groupBy("sender_country", "receiver_country")
         .agg(
-            COUNT.alias("tx_count"),
+            _rows().alias("tx_count"),
             _money(F.sum("amount_eur")).alias("total_volume_eur"),
             _money(F.avg("amount_eur")).alias("avg_amount_eur"),
         )
@@ -66,14 +67,14 @@ def cross_border_flows(transactions: DataFrame, limit: int = 20) -> DataFrame:
 def kpis(transactions: DataFrame, stocks: DataFrame) -> DataFrame:
     crossing = F.count_if("is_cross_border")
     payments = transactions.agg(
-        COUNT.alias("total_transactions"),
+        _rows().alias("total_transactions"),
         _money(F.sum("amount_eur")).alias("total_volume_eur"),
         _money(F.avg("amount_eur")).alias("avg_transaction_eur"),
         crossing.alias("cross_border_count"),
-        F.round(F.try_divide(crossing * 100.0, COUNT), 1).alias("cross_border_pct"),
+        F.round(F.try_divide(crossing * 100.0, _rows()), 1).alias("cross_border_pct"),
     )
     quotes = stocks.agg(
-        COUNT.alias("stock_count"),
+        _rows().alias("stock_count"),
         _money(F.avg("price_eur")).alias("avg_stock_price_eur"),
         F.sum("volume").alias("total_volume"),
     )
@@ -161,7 +162,7 @@ def grouped_amounts(
     """Count, sum and mean of ``amount`` per key: the shape of the reporting views."""
     count, total, mean = names
     return df.groupBy(*keys).agg(
-        COUNT.alias(count),
+        _rows().alias(count),
         F.sum(amount).alias(total),
         F.avg(amount).alias(mean),
         *[column.alias(name) for name, column in extra.items()],
@@ -195,7 +196,7 @@ def transaction_summary_view(transactions: DataFrame) -> DataFrame:
 
 def daily_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy(F.to_date("timestamp").alias("date"), "alert_type").agg(
-        COUNT.alias("alert_count"), F.avg("value").alias("avg_value")
+        _rows().alias("alert_count"), F.avg("value").alias("avg_value")
     )
 
 
@@ -206,10 +207,10 @@ def transaction_profile(transactions: DataFrame) -> DataFrame:
     crossing = F.count_if(F.col("sender_country") != F.col("receiver_country"))
     grouped = transactions.groupingSets(sets, *[F.col(a) for a in attributes]).agg(
         F.grouping_id().alias("_gid"),
-        COUNT.alias("tx_count"),
+        _rows().alias("tx_count"),
         _money(F.sum("amount_eur")).alias("total_volume_eur"),
         _money(F.avg("amount_eur")).alias("avg_transaction_eur"),
-        F.round(F.try_divide(crossing * 100.0, COUNT), 2).alias("cross_border_pct"),
+        F.round(F.try_divide(crossing * 100.0, _rows()), 2).alias("cross_border_pct"),
     )
     # grouping_id has one bit per attribute, set when the attribute is rolled up
     full = (1 << len(attributes)) - 1
@@ -239,7 +240,7 @@ def sector_summary(financials: DataFrame) -> DataFrame:
 def country_volume(transactions: DataFrame) -> DataFrame:
     return (
         transactions.groupBy("sender_country")
-        .agg(F.sum("amount_eur").alias("total_volume"), COUNT.alias("tx_count"))
+        .agg(F.sum("amount_eur").alias("total_volume"), _rows().alias("tx_count"))
         .orderBy(F.col("total_volume").desc(), "sender_country")
     )
 
@@ -248,7 +249,7 @@ def flow_matrix(transactions: DataFrame, limit: int = 20) -> DataFrame:
     return (
         transactions.filter("is_cross_border")
         .groupBy("sender_country", "receiver_country")
-        .agg(F.sum("amount_eur").alias("total_amount"), COUNT.alias("tx_count"))
+        .agg(F.sum("amount_eur").alias("total_amount"), _rows().alias("tx_count"))
         .orderBy("sender_country", "receiver_country")
         .limit(limit)
     )
@@ -260,7 +261,7 @@ def value_shares(df: DataFrame, attributes: list[str], flag: str) -> DataFrame:
     return (
         df.select(F.inline(pairs), F.col(flag))
         .groupBy("attribute", "value")
-        .agg(COUNT.alias("row_count"), F.round(F.avg(F.col(flag).cast("int")) * 100, 2).alias("flag_pct"))
+        .agg(_rows().alias("row_count"), F.round(F.avg(F.col(flag).cast("int")) * 100, 2).alias("flag_pct"))
     )
 
 
@@ -276,19 +277,19 @@ def distinct_profile(df: DataFrame, column: str, low_high: str) -> DataFrame:
 def daily_volume(transactions: DataFrame, ts: str = "timestamp", amount: str = "amount_eur") -> DataFrame:
     return (
         transactions.groupBy(F.to_date(ts).alias("date"))
-        .agg(F.sum(amount).alias("daily_volume"), COUNT.alias("tx_count"))
+        .agg(F.sum(amount).alias("daily_volume"), _rows().alias("tx_count"))
         .orderBy("date")
     )
 
 
 def layer_counts(tables: dict[str, DataFrame]) -> DataFrame:
-    counted = [df.agg(COUNT.alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in tables.items()]
+    counted = [df.agg(_rows().alias("row_count")).select(F.lit(n).alias("table_name"), "row_count") for n, df in tables.items()]
     return reduce(DataFrame.unionByName, counted)
 
 
 def transaction_metrics(transactions: DataFrame, interval: str = "1 day", ts: str = "created_at") -> DataFrame:
     return transactions.groupBy(F.window(ts, interval).alias("w")).agg(
-        COUNT.alias("total_count"),
+        _rows().alias("total_count"),
         F.sum("amount").alias("total_amount"),
         F.avg("amount").alias("avg_amount"),
         F.count_if(F.col("status") == "COMPLETED").alias("completed_count"),
@@ -348,7 +349,7 @@ def latest_company_summary(financials: DataFrame, ticker: str | None = None) ->
         "net_income_millions",
         "profit_margin_pct",
     )
-    latest = rows.groupBy("ticker").agg(F.max_by(facts, period).alias("f"), COUNT.alias("total_records"))
+    latest = rows.groupBy("ticker").agg(F.max_by(facts, period).alias("f"), _rows().alias("total_records"))
     latest = latest.select("ticker", "f.*", "total_records")
     if ticker is None:
         return latest

@@ -1,30 +1,54 @@
-"""The graph input: quads derived from the given tables, and the stored default graph."""
+"""The graph input: quads derived from the given tables, and the stored graphs."""
 
 from __future__ import annotations
 
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from ledgermill.plans.inputs import INPUTS, Inputs
+from ledgermill.plans.inputs import Inputs, derive
 from ledgermill.plans.oracle import VIEWS, view
 from ledgermill.session import stored
 
 COLUMNS = ["s", "p", "o", "o_kind", "datatype", "lang"]
+GRAPHS = ("data", "ontology", "vocabulary", "inferred")
+
+
+class Quad(NamedTuple):
+    """One kind of statement made about every row of ``source`` that satisfies ``where``."""
+
+    graph: str
+    s: str
+    p: str
+    o: str
+    source: str
+    kind: str
+    datatype: str | None
+    lang: str | None
+    where: str | None
+
+    def fields(self) -> dict[str, str]:
+        def text(value):
+            return f"'{value}'" if value else "CAST(NULL AS STRING)"
+
+        obj = f"CASE WHEN {self.where} THEN {self.o} END" if self.where else self.o
+        return {
+            "graph": text(self.graph), "s": self.s, "p": text(self.p), "o": obj,
+            "o_kind": text(self.kind), "datatype": text(self.datatype), "lang": text(self.lang),
+        }
 
 
 def _iri(prefix: str, key: str) -> str:
     return f"concat('{prefix}', CAST({key} AS STRING))"
 
 
-def _quad(graph, s, p, o, source, kind="iri", datatype=None, lang=None, where=None) -> str:
-    null = "CAST(NULL AS STRING)"
-    text = (
-        f"SELECT '{graph}' AS graph, {s} AS s, '{p}' AS p, {o} AS o, '{kind}' AS o_kind, "
-        f"{repr(datatype) if datatype else null} AS datatype, {repr(lang) if lang else null} AS lang FROM {source}"
-    )
-    return text + (f" WHERE {where}" if where else "")
+def _quad(graph, s, p, o, source, kind="iri", datatype=None, lang=None, where=None) -> Quad:
+    return Quad(graph, s, p, o, source, kind, datatype, lang, where)
 
 
-def _literal(graph, s, p, o, source, datatype=None, lang=None, where=None) -> str:
+def _literal(graph, s, p, o, source, datatype=None, lang=None, where=None) -> Quad:
     return _quad(graph, s, p, o, source, "literal", datatype, lang, where)
 
 
@@ -32,7 +56,7 @@ def _decimal(value: str, digits: int = 2) -> str:
     return f"CAST(CAST({value} AS DECIMAL(18,{digits})) AS STRING)"
 
 
-def _data() -> list[str]:
+def _data() -> list[Quad]:
     sector, exchange, coin = _iri("data:N", "n_nationkey"), _iri("data:X", "r_regionkey"), _iri("data:CUR", "r_regionkey")
     company, stock, tx = _iri("data:C", "c_custkey"), _iri("data:P", "p_partkey"), _iri("data:T", "o_orderkey")
     bank, receiver = _iri("data:F", "s_suppkey"), _iri("data:R", "n_nationkey")
@@ -111,7 +135,7 @@ def _data() -> list[str]:
     ]
 
 
-def _ontology() -> list[str]:
+def _ontology() -> list[Quad]:
     types = "(SELECT DISTINCT p_type FROM {part}) t"
     brands = "(SELECT DISTINCT p_type, p_brand FROM {part}) b"
     kind, sort = "concat('onto:', p_type)", "concat('onto:', p_type, '_', p_brand)"
@@ -138,12 +162,12 @@ def _ontology() -> list[str]:
         ("onto:Transaction", "rdf:type", "owl:Class"), ("onto:FinancialEntity", "rdf:type", "owl:Class"),
     ]
     rows = ", ".join(f"('{s}', '{p}', '{o}')" for s, p, o in hierarchy)
-    fixed = (
-        "SELECT 'ontology' AS graph, s, p, o, 'iri' AS o_kind, CAST(NULL AS STRING) AS datatype, CAST(NULL AS STRING) AS lang "
-        f"FROM (VALUES {rows}) AS v(s, p, o)"
-    )
+    fixed = [
+        _quad("ontology", "hs", kind_of, "ho", f"(SELECT * FROM (VALUES {rows}) AS v(hs, hp, ho) WHERE hp = '{kind_of}') h")
+        for kind_of in dict.fromkeys(p for _, p, _ in hierarchy)
+    ]
     return [
-        fixed,
+        *fixed,
         link(kind, "rdf:type", "'owl:Class'", types), link(kind, "rdfs:subClassOf", "'onto:Stock'", types),
         text(kind, "rdfs:label", "lower(p_type)", types),
         text(kind, "rdfs:comment", "concat('All of ', p_type)", types, "p_type <> 'ECONOMY'"),
@@ -154,7 +178,7 @@ def _ontology() -> list[str]:
     ]
 
 
-def _vocabulary() -> list[str]:
+def _vocabulary() -> list[Quad]:
     types = "(SELECT DISTINCT p_type FROM {part}) t"
     names = "(SELECT DISTINCT p_type, p_name FROM {part}) b"
     top, item = "concat('voc:', p_type)", "concat('voc:', p_type, '-', replace(p_name, ' ', '_'))"
@@ -167,7 +191,8 @@ def _vocabulary() -> list[str]:
 
     return [
         link("'voc:scheme'", "rdf:type", "'skos:ConceptScheme'", types), link("'voc:scheme'", "skos:hasTopConcept", top, types),
-        _literal("vocabulary", "'voc:scheme'", "dc:title", "concat('Vocabulary of ', CAST(count(*) AS STRING))", types),
+        _literal("vocabulary", "'voc:scheme'", "dc:title", "concat('Vocabulary of ', CAST(n AS STRING))",
+                 "(SELECT count(DISTINCT p_type) AS n FROM {part}) c"),
         link(top, "rdf:type", "'skos:Concept'", types), text(top, "skos:prefLabel", "lower(p_type)", types, "en"),
         text(top, "skos:prefLabel", "concat('le ', lower(p_type))", types, "fr"),
         text(top, "skos:definition", "concat('Goods of type ', p_type)", types, "en", "p_type <> 'PROMO'"),
@@ -179,21 +204,65 @@ def _vocabulary() -> list[str]:
     ]
 
 
-INPUTS["triples"] = "\nUNION ALL ".join([*_data(), *_ontology(), *_vocabulary()])
-VIEWS["triples"] = INPUTS["triples"].replace("{", "").replace("}", "")
+STATEMENTS = [*_data(), *_ontology(), *_vocabulary()]
+
+
+def _one_by_one() -> str:
+    parts = []
+    for quad in STATEMENTS:
+        columns = ", ".join(f"{expr} AS {name}" for name, expr in quad.fields().items())
+        parts.append(f"SELECT {columns} FROM {quad.source}" + (f" WHERE {quad.where}" if quad.where else ""))
+    return "\nUNION ALL ".join(parts)
+
+
+VIEWS["triples"] = _one_by_one().replace("{", "").replace("}", "")
+view("quads", "SELECT DISTINCT * FROM triples")
 view("tset", f"SELECT DISTINCT {', '.join(COLUMNS)} FROM triples")
 
+
+def quads(inputs: Inputs) -> DataFrame:
+    """All statements; each source is scanned once and every row yields all of its statements."""
+    by_source: dict[str, list[Quad]] = {}
+    for quad in STATEMENTS:
+        by_source.setdefault(quad.source, []).append(quad)
+    parts = []
+    for source, statements in by_source.items():
+        structs = ", ".join(
+            "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in q.fields().items()) + ")" for q in statements
+        )
+        parts.append(derive(f"SELECT inline(filter(array({structs}), t -> t.o IS NOT NULL)) FROM {source}", inputs))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _stores: dict[tuple[str, str], DataFrame] = {}
 
 
-def default_graph(inputs: Inputs) -> DataFrame:
-    """Union of all graphs as a set, stored once per session, one folder per predicate.
+def _store(inputs: Inputs) -> DataFrame:
+    """Distinct triples with one membership flag per graph, one folder per predicate.
 
-    A triple pattern with a known predicate then reads that folder only.
+    Stored once per session and data folder. A triple pattern with a known predicate
+    reads that folder only, and both the union of all graphs and each single graph
+    are sets without a further shuffle.
     """
     key = (inputs.spark.sparkContext.applicationId, inputs.folder)
     if key not in _stores:
-        triples = inputs.triples.select(*COLUMNS).distinct()
-        # spread each predicate over the tasks: subjects vary inside the largest predicate
+        flags = [F.max(F.col("graph") == g).alias(f"in_{g}") for g in GRAPHS]
+        triples = quads(inputs).groupBy(*COLUMNS).agg(*flags)
+        # subjects vary inside the largest predicate, so one predicate spans many tasks
         _stores[key] = stored(triples.repartition("p", "s"), "triples", "p")
     return _stores[key]
+
+
+def default_graph(inputs: Inputs) -> DataFrame:
+    """Union of all graphs as a set of triples."""
+    return _store(inputs).select(*COLUMNS)
+
+
+def named_graph(inputs: Inputs, graph: str) -> DataFrame:
+    return _store(inputs).filter(F.col(f"in_{graph}")).select(*COLUMNS)
+
+
+def stored_quads(inputs: Inputs) -> DataFrame:
+    """One row per triple and graph that holds it."""
+    graphs = F.filter(F.array(*[F.when(F.col(f"in_{g}"), F.lit(g)) for g in GRAPHS]), lambda g: g.isNotNull())
+    return _store(inputs).select(F.explode(graphs).alias("graph"), *COLUMNS)
