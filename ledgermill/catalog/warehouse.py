@@ -474,7 +474,7 @@ def _(d):
     ORDER BY volume DESC, symbol LIMIT 10""",
 )
 def _(d):
-    return warehouse.topk_metric(d.quotes, "symbol", "volume", ["ts", "event_id"])
+    return warehouse.topk_metric(d.quotes, "symbol", "volume", "ts", "event_id")
 
 
 @query(

@@ -28,7 +28,8 @@ def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_
             "mean_volume": F.avg("volume").over(w),
         }
 
-    return bounded_frames(quotes, ["symbol"], ["ts", "event_id"], window, columns, include_current=False)
+    slim = quotes.select("symbol", "event_id", price, "volume", "ts")
+    return bounded_frames(slim, ["symbol"], ["ts", "event_id"], window, columns, include_current=False)
 
 
 def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price: str = "current_price") -> DataFrame:

@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.session import stored
+from ledgermill.session import scratch_path
+
+
+class _Rounds:
+    """Rows found so far, one folder per round, read back as one table.
+
+    The plan of a round stays the same size however many rounds came before it.
+    """
+
+    def __init__(self, spark: SparkSession, label: str):
+        self.spark = spark
+        self.root = scratch_path(spark, label)
+        self.paths: list[str] = []
+        self.schema = None
+
+    def add(self, rows: DataFrame) -> DataFrame:
+        path = f"{self.root}/round-{len(self.paths)}"
+        rows.write.parquet(path)
+        self.paths.append(path)
+        self.schema = rows.schema
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def known(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
 
 
 def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
@@ -15,35 +36,33 @@ def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
 
     Breadth-first: each round joins only the newest nodes, so the work per round is
     bounded by the edges leaving them, and cycles end because known nodes are removed.
-    Start nodes are reported only when an edge leads back to them. Frontiers are
-    small, wide rows are not carried, and every round is stored to keep the plan flat.
+    Start nodes are reported only when an edge leads back to them. Further columns that
+    both frames have (such as a direction) keep separate searches apart in one pass.
     """
-    frontier = starts.select("node").distinct()
-    found: list[DataFrame] = []
+    group = [c for c in starts.columns if c != "node"]
+    frontier = starts.distinct()
+    rounds = _Rounds(edges.sparkSession, "reached")
     while True:
-        reached = edges.join(frontier.withColumnRenamed("node", "src"), "src").select(F.col("dst").alias("node")).distinct()
-        for earlier in found:
-            reached = reached.join(earlier, "node", "left_anti")
-        frontier = stored(reached, "frontier")
+        step = edges.join(frontier.withColumnRenamed("node", "src"), [*group, "src"])
+        reached = step.select(*group, F.col("dst").alias("node")).distinct()
+        if rounds.paths:
+            reached = reached.join(rounds.known(), [*group, "node"], "left_anti")
+        frontier = rounds.add(reached)
         if frontier.isEmpty():
-            break
-        found.append(frontier)
-    return reduce(DataFrame.unionByName, found) if found else frontier
+            return rounds.known()
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
     """All ``(src, dst)`` pairs joined by a path; semi-naive, exact on cycles."""
-    edges = edges.select("src", "dst").distinct()
-    delta = known = stored(edges, "closure")
-    step = edges.select(F.col("src").alias("mid"), F.col("dst").alias("next"))
-    while True:
+    rounds = _Rounds(edges.sparkSession, "closure")
+    first = delta = rounds.add(edges.select("src", "dst").distinct())
+    step = first.select(F.col("src").alias("mid"), F.col("dst").alias("next"))
+    while not delta.isEmpty():
         grown = (
             delta.withColumnRenamed("dst", "mid").join(step, "mid").select("src", F.col("next").alias("dst")).distinct()
         )
-        delta = stored(grown.join(known, ["src", "dst"], "left_anti"), "closure")
-        if delta.isEmpty():
-            return known
-        known = known.unionByName(delta)
+        delta = rounds.add(grown.join(rounds.known(), ["src", "dst"], "left_anti"))
+    return rounds.known()
 
 
 def direct_lineage(edges: DataFrame, asset: str, upstream: bool = True) -> DataFrame:
@@ -52,15 +71,14 @@ def direct_lineage(edges: DataFrame, asset: str, upstream: bool = True) -> DataF
 
 
 def full_lineage(edges: DataFrame, asset: str) -> DataFrame:
-    """Every upstream and downstream asset once per direction."""
-    start = edges.sparkSession.range(1).select(F.lit(asset).alias("node"))
-    down = edges.select(F.col("source_asset").alias("src"), F.col("target_asset").alias("dst"))
-    up = edges.select(F.col("target_asset").alias("src"), F.col("source_asset").alias("dst"))
-
-    def direction(name, pairs):
-        return reachable(pairs, start).select(F.lit(name).alias("direction"), F.col("node").alias("asset"))
-
-    return direction("upstream", up).unionByName(direction("downstream", down))
+    """Every upstream and downstream asset once per direction; both searches share each round."""
+    ends = (("downstream", "source_asset", "target_asset"), ("upstream", "target_asset", "source_asset"))
+    directed = F.array(
+        *[F.struct(F.lit(d).alias("direction"), F.col(a).alias("src"), F.col(b).alias("dst")) for d, a, b in ends]
+    )
+    starts = edges.sparkSession.createDataFrame([(d, asset) for d, _, _ in ends], "direction string, node string")
+    found = reachable(edges.select(F.inline_outer(directed)), starts)
+    return found.withColumnRenamed("node", "asset")
 
 
 def _pairs(triples: DataFrame, predicate: str) -> DataFrame:

@@ -37,7 +37,7 @@ def _runs(df: DataFrame, keys: list[str], order: list[str], each: Callable[[Colu
     """
 
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rest = None
+        pending: list[pd.DataFrame] = []  # pieces of the group that is not complete yet
 
         def solved(rows: pd.DataFrame) -> pd.DataFrame:
             columns = {c: rows[c].to_numpy() for c in rows.columns}
@@ -53,18 +53,24 @@ def _runs(df: DataFrame, keys: list[str], order: list[str], each: Callable[[Colu
                 parts.append({**{k: np.repeat(group[k][:1], size) for k in keys}, **out})
             return pd.DataFrame({c: np.concatenate([p[c] for p in parts]) for c in parts[0]})
 
+        def key_of(rows: pd.DataFrame, position: int) -> tuple:
+            return tuple(rows[key].iloc[position] for key in keys)
+
         for batch in batches:
-            rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
-            if rows.empty:
+            if batch.empty:
+                continue
+            if pending and key_of(batch, -1) == key_of(pending[0], 0):
+                pending.append(batch)
                 continue
-            last = np.ones(len(rows), dtype=bool)
+            last = np.ones(len(batch), dtype=bool)
             for key in keys:
-                last &= (rows[key] == rows[key].iloc[-1]).to_numpy()
-            done, rest = rows[~last], rows[last]
+                last &= (batch[key] == batch[key].iloc[-1]).to_numpy()
+            done = pd.concat([*pending, batch[~last]], ignore_index=True)
+            pending = [batch[last]]
             if len(done):
                 yield solved(done)
-        if rest is not None and len(rest):
-            yield solved(rest)
+        if pending:
+            yield solved(pd.concat(pending, ignore_index=True))
 
     return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(stream, schema)
 
@@ -139,16 +145,16 @@ def cooldown(
     def above(level: str):
         return F.expr(f"cast(floor({level} / {ratios[level]}D) as long)")
 
-    row = F.struct(*[F.col(c) for c in candidates.columns])
-    order = F.struct(*[F.col(c) for c in tie]) if tie else row
-    micros = F.unix_micros(F.col(ts).cast("timestamp"))
-    distinct = stored(
-        candidates.groupBy(F.col(rule).cast("string").alias("rule"), micros.alias("at"))
-        .agg(F.min_by(row, order).alias("row"))
+    keyed = candidates.withColumns(
+        {"_rule": F.col(rule).cast("string"), "_at": F.unix_micros(F.col(ts).cast("timestamp"))}
+    )
+    # only the distinct moments take part; the rows are fetched once it is known which moments fire
+    moments = stored(
+        keyed.select(F.col("_rule").alias("rule"), F.col("_at").alias("at"))
+        .distinct()
         .withColumn("hour", F.expr(f"cast(floor(at / {hour}D) as long)")),
-        "candidates",
+        "moments",
     )
-    moments = distinct.select("rule", "hour", "at")
     steps, entry = "rule string, {} long, at long, until long", "rule string, {} long, entry long"
 
     # upwards: step functions of hours, days and blocks of 64 days
@@ -180,4 +186,7 @@ def cooldown(
         moments.join(hour_entry, ["rule", "hour"]), ["rule", "hour"], ["at"],
         lambda g: _fired(g["at"], int(g["entry"][0]), wait), "rule string, hour long, at long",
     )
-    return distinct.join(fired, ["rule", "hour", "at"], "left_semi").select("row.*")
+    firing = keyed.join(fired.select(F.col("rule").alias("_rule"), F.col("at").alias("_at")), ["_rule", "_at"], "left_semi")
+    row = F.struct(*[F.col(c) for c in candidates.columns])
+    first = F.struct(*[F.col(c) for c in tie]) if tie else row
+    return firing.groupBy("_rule", "_at").agg(F.min_by(row, first).alias("row")).select("row.*")

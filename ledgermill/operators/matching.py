@@ -28,17 +28,16 @@ def name_match_pairs(entities: DataFrame, id_col: str = "id", name_col: str = "n
     """
     names = entities.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).filter(F.length("name") > 0)
     keyed = names.withColumn("key", F.lower("name"))
-    index = keyed.select("id", "name", "key", F.explode(F.array_union(
-        F.array_union(_grams(F.col("key"), 1), _grams(F.col("key"), 3)),
-        F.array_union(_grams(F.col("key"), 6), _grams(F.col("key"), 12)),
-    )).alias("gram"))
+    # grams of different sizes never coincide, so the concatenation holds each once
+    grams = F.concat(*[_grams(F.col("key"), size) for size in GRAM_SIZES])
+    index = keyed.select("id", "name", "key", F.explode_outer(grams).alias("gram"))
 
     frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     own = F.lit(None).cast("array<string>")
     for size in GRAM_SIZES:
         own = F.when(F.length("key") >= size, _grams(F.col("key"), size)).otherwise(own)
     probes = (
-        keyed.select("id", "name", "key", F.explode(own).alias("gram"))
+        keyed.select("id", "name", "key", F.explode_outer(own).alias("gram"))
         .join(frequency, "gram")
         .groupBy("id", "name", "key")
         .agg(F.min_by("gram", F.struct("uses", "gram")).alias("gram"))

@@ -327,9 +327,14 @@ def recent_n(df: DataFrame, ts: str, tie: str, limit: int) -> DataFrame:
     return df.orderBy(F.col(ts).desc(), F.col(tie).desc()).limit(limit)
 
 
-def topk_metric(df: DataFrame, key: str, metric: str, order: list[str], k: int = 10) -> DataFrame:
-    """Largest ``k`` keys by their newest ``metric`` sample (newest by ``order``)."""
-    latest = df.groupBy(key).agg(F.max_by(metric, F.struct(*order)).alias(metric))
+def topk_metric(df: DataFrame, key: str, metric: str, ts: str, tie: str, k: int = 10) -> DataFrame:
+    """Largest ``k`` keys by their newest ``metric`` sample.
+
+    The newest moment per key comes first, by hash aggregation; ordering whole
+    ``(ts, tie)`` structs would make the aggregate sort its input.
+    """
+    newest = latest_per_key(df.select(key, metric, ts, tie), key, ts)
+    latest = newest.groupBy(key).agg(F.max_by(metric, tie).alias(metric))
     return latest.orderBy(F.col(metric).desc(), key).limit(k)
 
 

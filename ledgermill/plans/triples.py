@@ -230,8 +230,8 @@ def quads(inputs: Inputs) -> DataFrame:
         structs = ", ".join(
             "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in q.fields().items()) + ")" for q in statements
         )
-        parts.append(derive(f"SELECT inline(filter(array({structs}), t -> t.o IS NOT NULL)) FROM {source}", inputs))
-    return reduce(DataFrame.unionByName, parts)
+        parts.append(derive(f"SELECT inline_outer(array({structs})) FROM {source}", inputs))
+    return reduce(DataFrame.unionByName, parts).filter(F.col("o").isNotNull())
 
 
 _stores: dict[tuple[str, str], DataFrame] = {}

@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+def _once(parsed: Column, name: str) -> Column:
+    """``parsed`` as a generated column.
+
+    Filters on a projected column are pushed below the projection and would parse
+    every document a second time; they are not pushed below a generator.
+    """
+    return F.explode_outer(F.array(parsed)).alias(name)
+
+
 _META = (
     "previousClose double, currency string, exchangeName string, longName string, shortName string, marketCap bigint, "
     "fiftyTwoWeekHigh double, fiftyTwoWeekLow double, regularMarketDayHigh double, regularMarketDayLow double, marketState string"
@@ -23,9 +32,9 @@ def parse_chart_quotes(raw: DataFrame, document: str = "raw", interval: str = "1
     """
     daily = interval == "1d"
     digits = 2 if daily else 4
-    parsed = F.from_json(document, CHART_SCHEMA)
-    result = F.try_element_at(parsed["chart"]["result"], F.lit(1))
-    docs = raw.withColumn("_doc", result).withColumns(
+    kept = [c for c in raw.columns if c != document]
+    result = F.try_element_at(F.from_json(document, CHART_SCHEMA)["chart"]["result"], F.lit(1))
+    docs = raw.select(*kept, _once(result, "_doc")).withColumns(
         {
             "_meta": F.col("_doc.meta"),
             "_quote": F.try_element_at(F.col("_doc.indicators.quote"), F.lit(1)),
@@ -44,7 +53,6 @@ def parse_chart_quotes(raw: DataFrame, document: str = "raw", interval: str = "1
     # a minute chart without a positive previous close reports no change at all
     usable = F.col("_previous") != 0 if daily else F.col("_previous") > 0
     percent = F.when(usable, F.try_divide(change, F.col("_previous")) * 100).otherwise(0.0)
-    kept = [c for c in raw.columns if c != document]
     return docs.select(
         *kept,
         F.coalesce("_meta.longName", "_meta.shortName").alias("company_name"),
@@ -68,7 +76,7 @@ def parse_global_quote(raw: DataFrame, document: str = "raw") -> DataFrame:
     """Flat quote with numbered keys; a missing number is 0 and percent signs are dropped."""
     q = F.col("_q")
     kept = [c for c in raw.columns if c != document]
-    return raw.withColumn("_q", F.from_json(document, "map<string,string>")).select(
+    return raw.select(*kept, _once(F.from_json(document, "map<string,string>"), "_q")).select(
         *kept,
         F.try_element_at(q, F.lit("01. symbol")).alias("symbol"),
         _number(q, "02. open").alias("open_price"),
@@ -86,7 +94,8 @@ def explode_time_series(raw: DataFrame, interval: str = "5min", document: str =
     """Rows of an object keyed by timestamp: open, high, low, close, volume per moment."""
     series = F.get_json_object(document, f"$['Time Series ({interval})']")
     kept = [c for c in raw.columns if c != document]
-    rows = raw.select(*kept, F.explode(F.from_json(series, "map<string,map<string,string>>")).alias("moment", "v"))
+    moments = F.from_json(series, "map<string,map<string,string>>")
+    rows = raw.select(*kept, F.explode_outer(moments).alias("moment", "v")).filter(F.col("moment").isNotNull())
     names = ("open", "high", "low", "close", "volume")
     return rows.select(
         *kept,
@@ -101,7 +110,7 @@ def parse_fx_pair(raw: DataFrame, document: str = "raw") -> DataFrame:
     )
     q = F.col("_q")
     kept = [c for c in raw.columns if c != document]
-    return raw.withColumn("_q", fields).filter(q.isNotNull()).select(
+    return raw.select(*kept, _once(fields, "_q")).filter(q.isNotNull()).select(
         *kept,
         F.try_element_at(q, F.lit("1. From_Currency Code")).alias("from_currency"),
         F.try_element_at(q, F.lit("3. To_Currency Code")).alias("to_currency"),
@@ -130,7 +139,8 @@ def parse_messages(raw: DataFrame, schema: str, value: str = "value") -> DataFra
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
     kept = [c for c in raw.columns if c != value]
     text = F.col(value).cast("string")
-    rows = raw.select(*kept, F.from_json(text, f"{schema}, _malformed string", options).alias("data")).select(*kept, "data.*")
+    parsed = _once(F.from_json(text, f"{schema}, _malformed string", options), "data")
+    rows = raw.select(*kept, parsed).select(*kept, "data.*")
     if "current_price" in rows.columns and "price" in rows.columns:
         rows = rows.withColumn("current_price", F.coalesce("current_price", "price")).drop("price")
     return rows

@@ -17,9 +17,8 @@ def read_rate_history(spark: SparkSession, path: str) -> DataFrame:
     """
     days = spark.read.option("lineSep", "<Cube time=").text(path)
     day = F.regexp_extract("value", r"""^\s*["'](\d{4}-\d{2}-\d{2})["']""", 1)
-    cubes = days.filter(day != "").select(
-        F.to_date(day).alias("reference_date"), F.explode(F.regexp_extract_all("value", F.lit(r"<Cube\s[^>]*>"), F.lit(0))).alias("cube")
-    )
+    elements = F.regexp_extract_all("value", F.lit(r"<Cube\s[^>]*>"), F.lit(0))
+    cubes = days.filter(day != "").select(F.to_date(day).alias("reference_date"), F.explode_outer(elements).alias("cube"))
 
     def attribute(name: str) -> Column:
         return F.nullif(F.regexp_extract("cube", rf"""\s{name}\s*=\s*["']([^"']*)["']""", 1), F.lit(""))
@@ -182,5 +181,4 @@ def triplify(df: DataFrame, subject: Column, cls: str, literals: dict[str, tuple
     rows = [triple("rdf:type", F.lit(cls), "iri", None)]
     rows += [triple(p, value, "literal", datatype) for p, (value, datatype) in literals.items()]
     rows += [triple(p, value, "iri", None) for p, value in (links or {}).items()]
-    present = F.filter(F.array(*rows), lambda t: t["o"].isNotNull())
-    return df.select(subject.alias("s"), F.inline(present))
+    return df.select(subject.alias("s"), F.inline_outer(F.array(*rows))).filter(F.col("o").isNotNull())
