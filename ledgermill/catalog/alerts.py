@@ -130,3 +130,13 @@ def _(d):
 )
 def _(d):
     return rounded(alerts.topic_metrics(d.topic_messages).select("message_id", "metric", "source", "value"))
+
+
+@query(
+    "udf_01_custom_rule",
+    """SELECT point_id, 'weekend_amount' AS rule, 'INFO' AS severity, ts FROM metrics WHERE source = 'transactions' AND value > 250000
+    AND dayofweek(ts) IN (0, 6)""",
+)
+def _(d):
+    rule = alerts.AlertRule("weekend_amount", "transactions", "value > 250000 AND dayofweek(ts) IN (1, 7)", "INFO")
+    return alerts.evaluate_rules(d.metrics, [rule]).select("point_id", "rule", "severity", "ts")

@@ -155,6 +155,15 @@ def _(d):
     return g(d).any_above()
 
 
+@query(
+    "jon_08_exists",
+    """SELECT c_custkey FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 400000)""",
+)
+def _(d):
+    large = d.orders.filter(F.col("o_totalprice") > 400000)
+    return d.customer.join(large, F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey")
+
+
 @query("grf_10_describe", "SELECT s, p, o FROM tset WHERE s = 'data:P7'")
 def _(d):
     return g(d).describe("data:P7")

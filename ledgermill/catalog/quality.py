@@ -192,3 +192,13 @@ def _(d):
 )
 def _(d):
     return quality.change_log(d.cdc_before, d.cdc_after, "c_custkey", "customer")
+
+
+@query(
+    "udf_03_quality_expression",
+    """SELECT 'ship_after_1995' AS rule_id, count(*) AS total_records, count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_discount < 0.1) AS passed_records,
+    round(100.0 * count(*) FILTER (WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND l_discount < 0.1) / count(*), 2) AS score FROM lineitem""",
+)
+def _(d):
+    rule = QualityRule("ship_after_1995", "lineitem", "validity", "l_shipdate >= TIMESTAMP_NTZ '1996-01-01' AND l_discount < 0.1D", 95.0)
+    return quality.run_quality_rules({"lineitem": d.lineitem}, [rule]).select("rule_id", "total_records", "passed_records", "score")

@@ -319,6 +319,38 @@ def _(d):
     return d.spark.read.parquet(path)
 
 
+@query(
+    "jon_07_anti_insert",
+    """SELECT DISTINCT o_custkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'P')""",
+)
+def _(d):
+    rows = d.orders.select("o_custkey", "o_orderkey", "o_orderstatus")
+    target = rows.filter(F.col("o_orderstatus") == "P")
+    return writers.absent_rows(target, rows, ["o_custkey"], ["o_orderkey"]).select("o_custkey")
+
+
+@query(
+    "set_03_widening_csv",
+    """SELECT _csv_source, count(*) AS row_count, count(sector) AS with_sector, count(market_cap) AS with_cap FROM (
+    SELECT _csv_source, CASE WHEN _csv_source = 'sp500' THEN sector END AS sector,
+    CASE WHEN _csv_source = 'sp500' THEN NULL ELSE market_cap END AS market_cap FROM listings) l GROUP BY _csv_source""",
+)
+def _(d):
+    root = scratch_path(d.spark, "csv")
+    files, kinds = {}, {}
+    for name in ("sp500", "gdp", "nasdaq", "nyse"):
+        # each source has its own header, as the real files do
+        extra, kind = ("sector", "string") if name == "sp500" else ("market_cap", "double")
+        part = d.listings.filter(F.col("_csv_source") == name).select("listing_id", "symbol", "name", extra)
+        files[name] = f"{root}/{name}"
+        kinds[name] = f"listing_id long, symbol string, name string, {extra} {kind}"
+        writers.export_csv(part, files[name])
+    stacked = readers.read_multi_csv(d.spark, files, kinds)
+    return stacked.groupBy("_csv_source").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("sector").alias("with_sector"), F.count("market_cap").alias("with_cap")
+    )
+
+
 @query(
     "snk_13_message_records",
     """SELECT transaction_id AS "key", concat('{"transaction_id":"', transaction_id, '","currency":"', currency, '","is_cross_border":', is_cross_border, '}') AS value

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgermill.session import stored
 
-CHUNK_ROWS = 20_000
+FRAMES_PER_CHUNK = 40  # chunk length in frame lengths: 2.5 % of the rows are carried twice
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | position
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
@@ -74,14 +74,14 @@ def bounded_frames(
     preceding: int,
     columns: Callable[[WindowSpec], dict[str, Column]],
     include_current: bool,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_rows: int | None = None,
 ) -> DataFrame:
     """Evaluate ``columns`` over the last ``preceding`` rows of each key.
 
     With ``include_current`` the frame is the current row and the
     ``preceding`` rows before it, otherwise only the rows before it.
     """
-    chunk_rows = max(chunk_rows, preceding)
+    chunk_rows = max(chunk_rows or FRAMES_PER_CHUNK * preceding, preceding)
     indexed = dense_index(df, [*keys, *order])
     chunk = F.expr(f"_idx div {chunk_rows}")
     in_tail = F.col("_idx") % chunk_rows >= chunk_rows - preceding

@@ -13,6 +13,9 @@ from ledgermill.session import scratch_path
 
 STAGES = ("silver", "gold", "dimensions", "facts")
 
+# tables that grow with time are laid out by month, so a date filter prunes folders
+MONTH_OF = {"silver_transactions": "year(tx_date) * 100 + month(tx_date)", "fact_transactions": "date_sk div 100"}
+
 
 def _plan(layers: Layers) -> dict[str, tuple[str, Callable[[], DataFrame]]]:
     """Table name to (stage, frame); later stages read what earlier ones wrote."""
@@ -47,7 +50,13 @@ def build_tables(layers: Layers, target: str | None = None, skip: tuple[str, ...
         seen = Observation(name)
         path = f"{target}/{stage}/{name}"
         try:
-            frame().observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+            rows = frame().observe(seen, F.count(F.lit(1)).alias("rows"))
+            if name in MONTH_OF:
+                # rebalance keeps a month together but splits one that is too large for a task
+                by_month = rows.withColumn("month_key", F.expr(MONTH_OF[name]).cast("int")).hint("rebalance", "month_key")
+                by_month.write.mode("overwrite").partitionBy("month_key").parquet(path)
+            else:
+                rows.write.mode("overwrite").parquet(path)
             report.append((name, "success", seen.get["rows"]))
             if stage == "silver":
                 layers.__dict__[name] = spark.read.parquet(path)
