@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import market
@@ -33,11 +33,16 @@ def tx_summary(transactions: DataFrame) -> DataFrame:
     )
 
 
+def date_key(day) -> Column:
+    """yyyyMMdd as an integer, by arithmetic: no text is formatted per row."""
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
+
+
 def date_columns(day) -> dict:
     """Calendar attributes of a date column; Sunday is day 0."""
     weekday = F.dayofweek(day) - 1
     return {
-        "date_sk": F.date_format(day, "yyyyMMdd").cast("int"),
+        "date_sk": date_key(day),
         "year": F.year(day),
         "quarter": F.quarter(day),
         "month": F.month(day),
@@ -119,7 +124,7 @@ def dim_currency_latest(forex: DataFrame) -> DataFrame:
 def fact_transactions(transactions: DataFrame) -> DataFrame:
     return transactions.select(
         "transaction_id",
-        F.date_format("tx_date", "yyyyMMdd").cast("int").alias("date_sk"),
+        date_key("tx_date").alias("date_sk"),
         "sender_country",
         "receiver_country",
         "transaction_type",

@@ -81,7 +81,7 @@ def bounded_frames(
     With ``include_current`` the frame is the current row and the
     ``preceding`` rows before it, otherwise only the rows before it.
     """
-    chunk_rows = max(chunk_rows or FRAMES_PER_CHUNK * preceding, preceding)
+    chunk_rows = max(chunk_rows or max(FRAMES_PER_CHUNK * preceding, 1000), preceding)
     indexed = dense_index(df, [*keys, *order])
     chunk = F.expr(f"_idx div {chunk_rows}")
     in_tail = F.col("_idx") % chunk_rows >= chunk_rows - preceding
