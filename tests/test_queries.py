@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as spark_entry
+from ledgermill.catalog import load
 from tools.check import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
-RUNNERS, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+RUNNERS, ORACLES = load().RUNNERS, load().ORACLES
+
 
 
 @pytest.fixture(scope="module")
@@ -25,5 +27,9 @@ def test_every_query_has_reference_sql():
     assert set(RUNNERS) == set(ORACLES)
 
 
+def test_entry_holds_all_of_them():
+    assert set(RUNNERS) <= set(spark_entry.queries()) and set(ORACLES) <= set(spark_entry.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert spark_entry.entry(spark).count() > 0
