@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import exact_dedup, pii
-from ledgermill.llm.common import read
+from ledgermill.llm import exact_dedup, language, ngram_lm, packing, pii, quality, simhash
+from ledgermill.llm.common import id_remainder, read
+from ledgermill.session import stored
 
 RUNNERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +25,21 @@ def _query(name: str, oracle: str | None = None):
     return register
 
 
+@_query("op1_simhash")
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_groups(read(spark, folder, "documents"))
+    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return groups.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
+@_query("op2_language")
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    model = language.train(docs, id_remainder(F.col("doc_id"), 4) != 2)
+    found = language.identify(docs, model)
+    return found.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 @_query("op4_pii")
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(read(spark, folder, "documents"))
@@ -37,6 +53,18 @@ def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Place of a public tokenizer's file on this machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@_query("op5_packing")
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(read(spark, folder, "documents"), vocabulary())
+
+
 @_query("op8_exact_dedup", r"""
 WITH norm AS (
   SELECT doc_id, coalesce(text, '') AS body, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
@@ -50,3 +78,24 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(bare) AS te
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     groups = exact_dedup.exact_groups(read(spark, folder, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+@_query("op9_ngram_lm")
+def op9_ngram_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    remainder = id_remainder(F.col("doc_id"), 5)
+    model = ngram_lm.train(docs, remainder != 1)
+    found = ngram_lm.perplexities(docs, model)
+    return found.select(
+        "doc_id", (remainder == 1).alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score", "score", "perplexity",
+    )
+
+
+@_query("op10_quality")
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    measured = stored(quality.measure(read(spark, folder, "documents")), "quality-statistics")
+    remainder = id_remainder(F.col("doc_id"), 3)
+    rules = quality.train(measured, read(spark, folder, "labels"), remainder != 1)
+    scored = measured.select("doc_id", (remainder == 1).alias("held_out"), rules.score().alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
