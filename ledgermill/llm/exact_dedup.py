@@ -21,7 +21,12 @@ from pyspark.sql import functions as F
 from ledgermill.llm.common import BLANKS, slim
 from ledgermill.session import ROCKSDB, scratch_path, stored
 
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: The state store: on disk, nothing preallocated, a change log instead of whole snapshots in each micro-batch.
+_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def without_blanks(text: Column) -> Column:
@@ -40,8 +45,9 @@ def _grouped_by_stream(facts_path: str, facts: DataFrame, files_per_batch: int)
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in _STORE}
+    for key, value in _STORE.items():
+        spark.conf.set(key, value)
     try:
         (
             spark.readStream.schema(facts.schema)
@@ -57,10 +63,11 @@ def _grouped_by_stream(facts_path: str, facts: DataFrame, files_per_batch: int)
             .awaitTermination()
         )
     finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     schema = f"digest string, best {facts.schema['rank'].dataType.simpleString()}, n long, batch int"
     updates = spark.read.schema(schema).parquet(out) if _has_batches(spark, out) else spark.createDataFrame([], schema)
     last = F.max(F.struct("batch", "best", "n"))
