@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +30,15 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Da
     """Rows of ``docs`` whose identifier is in ``ids`` (one column ``doc_id``), columns and repeats unchanged."""
     wanted = ids.select(F.col("doc_id").alias("_wanted_id"))
     return docs.join(wanted, docs[id_col].eqNullSafe(wanted["_wanted_id"]), "left_semi")
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession):
+    """Within the block, each query that ends gives its shuffle files back at once. For steps that store what they make."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before) if before is not None else spark.conf.unset(key)

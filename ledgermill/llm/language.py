@@ -2,7 +2,8 @@
 
 Every run of 2 to 4 signs of the lower-cased text (signs that are no letters become spaces) is hashed into a bucket; the mean
 of the buckets' vectors goes through a linear layer and a softmax. Training is plain stochastic gradient descent in numpy on
-a bounded sample: at most ``per_language`` labelled documents of each language, the smallest by a hash of the identifier.
+a bounded sample: at most ``per_language`` labelled documents of each language, the smallest by a hash of the identifier
+among about twice as many that a threshold on the hash admits.
 A fifth of the sample is kept out of training and calibrates the temperature of the softmax and the limit below which a
 document is rejected.
 
@@ -122,21 +123,25 @@ def _features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pairs = [np.unique(subwords(t), return_counts=True) for t in frame["text"]]
         yield pd.DataFrame({
             "order": frame["order"], "lang": frame["lang"],
-            "buckets": [p[0].astype("int32") for p in pairs], "counts": [p[1].astype("int32") for p in pairs],
+            "buckets": [p[0].astype(np.uint16).tobytes() for p in pairs], "counts": [p[1].astype(np.uint32).tobytes() for p in pairs],
         })
 
 
-def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 800) -> Model:
+def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = 600) -> Model:
     """Fit on a bounded sample of the rows that ``learn_from`` (a condition over ``docs``) admits."""
     rows = docs.where(learn_from & docs[lang_col].isNotNull() & docs[text_col].isNotNull())
     known = rows.select(rows[id_col].alias("doc_id"), rows[lang_col].alias("lang"), F.xxhash64(rows[id_col]).alias("order"))
+    # a threshold on the hash leaves about twice the sample before languages are brought together
+    shares = known.groupBy("lang").agg((2.0 * per_language / F.count(F.lit(1))).alias("_share"))
+    place = F.col("order") / F.lit(2.0**64) + 0.5
+    known = known.join(shares, "lang").where(place < F.col("_share"))
     within = Window.partitionBy("lang").orderBy("order", "doc_id")
     chosen = known.withColumn("_at", F.row_number().over(within)).where(F.col("_at") <= per_language).select("doc_id", "lang", "order")
     texts = slim(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # per_language rows of each language at most
     texts = texts.where(F.col("text").rlike(r"\p{L}")).select("order", "lang", "text")
-    found = texts.mapInPandas(_features, "order long, lang string, buckets array<int>, counts array<int>").toPandas()
-    found = found.sort_values(["order", "lang"], kind="stable")
-    return fit([(np.asarray(b), np.asarray(c), g) for b, c, g in zip(found["buckets"], found["counts"], found["lang"], strict=True)])
+    found = texts.mapInPandas(_features, "order long, lang string, buckets binary, counts binary").collect()
+    found.sort(key=lambda r: (r.order, r.lang))
+    return fit([(np.frombuffer(r.buckets, np.uint16), np.frombuffer(r.counts, np.uint32), r.lang) for r in found])
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -155,3 +160,15 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
             })
 
     return source.mapInPandas(predict, f"doc_id {id_type}, lang_pred string, score double, rejected boolean")
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, whose language the model does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def known(texts: pd.Series) -> pd.Series:
+        own = shared.value
+        return pd.Series([not own.predict(t)[2] for t in texts], dtype=bool)
+
+    return docs.where(known(docs[text_col]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.llm import exact_dedup, language, ngram_lm, packing, pii, quality, simhash
+from ledgermill.llm import decontamination, exact_dedup, language, ngram_lm, packing, passages, pii, quality, simhash, substrings
 from ledgermill.llm.common import id_remainder, read
 from ledgermill.session import stored
 
@@ -40,6 +40,27 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", (id_remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@_query("op3_substrings", """
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+named AS (
+  SELECT r, i, sha256(array_slice(b, i + 1, i + 200)) AS name
+  FROM (SELECT r, b, unnest(range(octet_length(b) - 199)) AS i FROM docs WHERE octet_length(b) >= 200) starts),
+again AS (SELECT r, i FROM named WHERE name IN (SELECT name FROM named GROUP BY name HAVING count(*) > 1)),
+fresh AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS opens FROM again),
+numbered AS (SELECT r, i, sum(opens) OVER (PARTITION BY r ORDER BY i) AS run FROM fresh),
+runs AS (SELECT r, run, min(i) AS a, max(i) + 200 AS z FROM numbered GROUP BY r, run),
+gaps AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS behind FROM runs),
+cut AS (
+  SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last,
+         list_reduce(list(array_slice(b, behind + 1, a) ORDER BY a), lambda x, y: x || y) AS kept
+  FROM gaps JOIN docs USING (r) GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(CASE WHEN kept IS NULL THEN b ELSE kept || array_slice(b, last + 1, octet_length(b)) END) AS kept_sha256
+FROM docs LEFT JOIN cut USING (r)""")
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(read(spark, folder, "documents")).drop("spans")
+
+
 @_query("op4_pii")
 def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
     found = pii.find(read(spark, folder, "documents"))
@@ -65,6 +86,16 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(read(spark, folder, "documents"), vocabulary())
 
 
+@_query("op6_decontamination")
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@_query("op7_passages")
+def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passages.repeated_passages(read(spark, folder, "documents"))
+
+
 @_query("op8_exact_dedup", r"""
 WITH norm AS (
   SELECT doc_id, coalesce(text, '') AS body, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare
