@@ -7,6 +7,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgermill.session import scratch_path
+
 #: The white space of all contracts, ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
 A_Z, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -42,3 +44,29 @@ def shuffles_released(spark: SparkSession):
         yield
     finally:
         spark.conf.set(key, before) if before is not None else spark.conf.unset(key)
+
+
+class Scratch:
+    """Stored tables of one operator that are deleted as soon as all that was made from them is stored itself."""
+
+    def __init__(self, spark: SparkSession):
+        self._spark = spark
+        self._paths: list[tuple[DataFrame, str]] = []
+
+    def put(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self._spark, label)
+        df.write.parquet(path)
+        table = self._spark.read.schema(df.schema).parquet(path)
+        self._paths.append((table, path))
+        return table
+
+    def drop_all_but(self, *tables: DataFrame) -> None:
+        self.drop(*[t for t, _ in self._paths if not any(t is x for x in tables)])
+
+    def drop(self, *tables: DataFrame) -> None:
+        context = self._spark.sparkContext
+        for table, path in self._paths:
+            if any(table is t for t in tables):
+                folder = context._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        self._paths = [(t, p) for t, p in self._paths if not any(t is x for x in tables)]

@@ -4,8 +4,8 @@ A pattern proposes spans, a validator (octet range, Luhn, digit count, mod 97) c
 its score. Matches are leftmost and do not overlap within a kind. Positions count code points. They come from splitting
 the text at the same pattern: the pieces between the matches and the matches alternate.
 
-The patterns are written so that no text, however long, costs more than linear time: repetitions are possessive, and a
-run that cannot start a match is not entered again at each of its characters (``(?:\\G|(?<!...))``).
+The patterns are written so that no text, however long, costs more than linear time: repetitions are possessive or bounded,
+and a run that cannot start a match is not entered again at each of its characters (``(?:\\G|(?<!...))``).
 
 Defined results: null and empty texts have no span; an empty table gives an empty result. Rows are independent, so repeated
 rows repeat their result. Columns besides identifier and text are ignored.
@@ -28,7 +28,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+",
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b",
 }
 #: A text without this cannot hold the kind; the pattern is not tried on it.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+", "iban": None}
