@@ -7,7 +7,8 @@ that similar windows share with fair probability, and ``REPEATS`` walks with the
 
 Windows have about the size of the item: of the powers of two the largest that its words hold, laid over the item end to end. Of
 the documents every window, at each word, is embedded; a walk goes on only while the steps sampled so far still lead to some
-item, which gives the same keys at a fraction of the cost. Candidates are verified exactly: the least edit distance of the whole item to any
+item, which gives the same keys at a fraction of the cost. Windows with a key of an item are kept if the whole embeddings
+agree at ``AGREE`` of the steps. Candidates are verified exactly: the least edit distance of the whole item to any
 substring around the candidate, in characters, must be at most ``max_share`` of the item's length.
 
 Items are the stated query set: they are taken in blocks of ``BLOCK`` and each block is searched in all documents. Letters
@@ -22,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -32,9 +34,9 @@ from ledgermill.llm.common import slim
 from ledgermill.llm.words import NO_WORD, hashed, mix
 
 SAMPLES = 4
-REPEATS = 8
+REPEATS = 6
+AGREE = 0.4
 BLOCK = 5000
-_BITS = 20
 _SLICE = 400_000
 _GAP = 64  # empty places between documents, as many as the largest window
 _MANY = re.compile(r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
@@ -49,30 +51,58 @@ def _keys(text: str) -> np.ndarray:
     return hashed(np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8), NO_WORD)[0]
 
 
-def _slot(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(64 - _BITS)).astype(np.int64)
+def _slot(key: np.ndarray, filter_: np.ndarray) -> np.ndarray:
+    """Place of a key in a filter, whose size is a power of two."""
+    return (key & np.uint64(len(filter_) - 1)).view(np.int64)
+
+
+@cache
+def _salts(seed: int) -> np.ndarray:
+    return np.random.default_rng([20240305, seed]).integers(0, 1 << 63, 2 * _GAP, dtype=np.uint64) * np.uint64(2)
+
+
+def _moves(words: np.ndarray, seed: int, step: int) -> np.ndarray:
+    """The random bit of this step for each word."""
+    return (words ^ _salts(seed)[step]) * np.uint64(0x9E3779B97F4A7C15) >= np.uint64(1 << 63)
+
+
+def _emitted(words: np.ndarray, at: np.ndarray, starts: np.ndarray, window: int, step: int) -> np.ndarray:
+    """The words the walks stand on; 0 once a walk has left its window."""
+    if step < window:
+        return words[at]
+    return np.where(at - starts < window, words[np.minimum(at, len(words) - 1)], np.uint64(0))
 
 
 def walk(words: np.ndarray, starts: np.ndarray, window: int, seed: int, steps: tuple[int, ...], filters: list[np.ndarray] | None = None) -> tuple[np.ndarray, list[np.ndarray]]:
     """Starts that pass the filters and the keys after each sampled step."""
     at = starts.copy()
-    key, keys = np.full(len(at), np.uint64(seed * 2 + 1)), []
+    keys: list[np.ndarray] = []
     for step in range(steps[-1] + 1):
-        word = np.where(at - starts < window, words[np.minimum(at, len(words) - 1)], np.uint64(0))
+        word = _emitted(words, at, starts, window, step)
         if step in steps:
-            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + word)
+            key = mix((keys[-1] if keys else np.uint64(seed)) * np.uint64(0x9E3779B9) + word)
             keys.append(key)
             if filters:
-                alive = filters[len(keys) - 1][_slot(key)]
+                there = filters[len(keys) - 1]
+                alive = there[_slot(key, there)]
                 starts, at, word, key = starts[alive], at[alive], word[alive], key[alive]
-                keys = [key]  * len(keys)
+                keys = [key] * len(keys)
                 if not len(starts):
                     return starts, [key] * len(steps)
-        coin = np.uint64((2 * (seed * 1009 + step) + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        at = at + ((word * coin) >> np.uint64(63)).astype(np.int64)
+        at += _moves(word, seed, step)
     return starts, keys
 
 
+def embedded(words: np.ndarray, starts: np.ndarray, window: int, seed: int) -> np.ndarray:
+    """All ``2 * window`` emitted words of each walk, one row per start."""
+    at = starts.copy()
+    out = np.zeros((len(starts), 2 * window), dtype=np.uint64)
+    for step in range(2 * window):
+        out[:, step] = _emitted(words, at, starts, window, step)
+        at += _moves(out[:, step], seed, step)
+    return out
+
+
 @dataclass
 class _Class:
     """The items of one window size: per repeat the sampled steps, filters by depth, and the sorted keys with what they stand for."""
@@ -82,6 +112,7 @@ class _Class:
     filters: list[list[np.ndarray]] = field(default_factory=list)
     keys: list[np.ndarray] = field(default_factory=list)
     owners: list[np.ndarray] = field(default_factory=list)  # rows of (item, offset in words)
+    images: list[np.ndarray] = field(default_factory=list)  # the items' embeddings, in the order of the keys
 
 
 class Index:
@@ -102,29 +133,31 @@ class Index:
     def _class(self, size: int, rows: list, samples: int) -> _Class:
         made = _Class(size)
         words = np.concatenate([r[2] for r in rows])
-        starts = np.arange(len(rows)) * size
+        starts = np.arange(len(rows), dtype=np.int32) * np.int32(size)
         rng = np.random.default_rng(size)
         for repeat in range(self.repeats):
-            early = int(rng.integers(0, min(4, 2 * size)))
-            later = [s for s in range(2 * size) if s != early]
+            # a walk is in the middle of its window after as many steps as the window has words: few have left it by three halves
+            early = int(rng.integers(0, min(3, size)))
+            later = [s for s in range(max(2, 3 * size // 2)) if s != early]
             steps = tuple(sorted([early, *rng.choice(later, min(samples - 1, len(later)), replace=False).tolist()]))
             _, keys = walk(words, starts, size, repeat, steps)
             filters = []
             for key in keys:
-                there = np.zeros(1 << _BITS, dtype=bool)
-                there[_slot(key)] = True
+                there = np.zeros(1 << (64 * len(key)).bit_length(), dtype=bool)  # about one place in a hundred is taken
+                there[_slot(key, there)] = True
                 filters.append(there)
             order = np.argsort(keys[-1], kind="stable")
             made.steps.append(steps)
             made.filters.append(filters)
             made.keys.append(keys[-1][order])
             made.owners.append(np.array([(rows[i][0], rows[i][1]) for i in order], dtype=np.int64))
+            made.images.append(embedded(words, starts[order], size, repeat))
         return made
 
     def candidates(self, words: np.ndarray) -> np.ndarray:
         """Distinct rows of (item, word of the text where the item would start, word where the window starts)."""
         found = []
-        every = np.flatnonzero(words)
+        every = np.flatnonzero(words).astype(np.int32)
         for kind in self.classes:
             for repeat in range(self.repeats):
                 starts, keys = walk(words, every, kind.window, repeat, kind.steps[repeat], kind.filters[repeat])
@@ -133,8 +166,12 @@ class Index:
                 low, high = (np.searchsorted(kind.keys[repeat], keys[-1], side) for side in ("left", "right"))
                 times = high - low
                 owner = np.repeat(low - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
-                own = kind.owners[repeat][owner]
                 window = np.repeat(starts, times)
+                # Hamming distance of the embeddings: unrelated windows that share the sampled steps differ at most others
+                image = embedded(words, window, kind.window, repeat)
+                wanted = kind.images[repeat][owner]
+                close = ((image == wanted) & (wanted > 0)).sum(axis=1) >= AGREE * (wanted > 0).sum(axis=1)
+                own, window = kind.owners[repeat][owner[close]], window[close]
                 found.append(np.column_stack([own[:, 0], window - own[:, 1], window]))
         return np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3), dtype=np.int64)
 
