@@ -86,10 +86,7 @@ def _(d):
     FROM (SELECT event_id, metric, value, ts, method FROM metric_z UNION ALL SELECT event_id, metric, value, ts, method FROM metric_q) h""",
 )
 def _(d):
-    stats = anomaly.metric_statistics(d.metric_points)
-    columns = ["event_id", "metric", "value", "ts", "method"]
-    hits = anomaly.metric_zscore(stats).select(*columns).unionByName(anomaly.metric_iqr(stats).select(*columns))
-    return rounded(alerts.anomaly_alerts(hits))
+    return rounded(alerts.anomaly_alerts(anomaly.metric_hits(anomaly.metric_statistics(d.metric_points))))
 
 
 @query("alr_05_format_message", "SELECT point_id, rule, message FROM rule_hits")

@@ -16,21 +16,24 @@ view(
 view(
     "price_anomalies",
     """SELECT event_id, 'PRICE_SPIKE' AS "type", symbol, current_price AS value, round(z, 2) AS z_score, round(mean_price, 2) AS mean,
-    round(stdev_price, 4) AS stdev, CASE WHEN abs(z) > 3.5 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, 'z-score' AS detection_method,
-    ts AS "timestamp" FROM (SELECT *, (current_price - mean_price) / stdev_price AS z FROM quote_stats
+    round(stdev_price, 4) AS stdev, CASE WHEN abs(z) > 3.5 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+    concat(symbol, ' price ', printf('%.2f', current_price), ' is ', printf('%.1f', abs(z)), ' std devs from mean ', printf('%.2f', mean_price)) AS message,
+    'z-score' AS detection_method, ts AS "timestamp" FROM (SELECT *, (current_price - mean_price) / stdev_price AS z FROM quote_stats
     WHERE n_prev >= 10 AND stdev_price > 0) s WHERE abs(z) > 2.5""",
 )
 view(
     "volume_anomalies",
     """SELECT event_id, 'VOLUME_SPIKE' AS "type", symbol, CAST(volume AS DOUBLE) AS value, CAST(trunc(mean_volume) AS BIGINT) AS average_volume,
-    round(volume / mean_volume, 2) AS ratio, 'MEDIUM' AS severity, 'threshold' AS detection_method, ts AS "timestamp"
-    FROM quote_stats WHERE n_prev >= 10 AND mean_volume > 0 AND volume > mean_volume * 3""",
+    round(volume / mean_volume, 2) AS ratio, 'MEDIUM' AS severity,
+    concat(symbol, ' volume ', printf('%,d', volume), ' is ', printf('%.1f', volume / mean_volume), 'x average') AS message,
+    'threshold' AS detection_method, ts AS "timestamp" FROM quote_stats WHERE n_prev >= 10 AND mean_volume > 0 AND volume > mean_volume * 3""",
 )
 view(
     "large_tx",
     """SELECT tx_key, transaction_id, 'LARGE_TRANSACTION' AS "type", amount AS value, round(mean, 2) AS mean, round(mean + 3 * stdev, 2) AS threshold,
-    CASE WHEN amount > 25000 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, 'z-score' AS detection_method, created_at AS "timestamp"
-    FROM (SELECT *, count(amount) OVER w AS n, avg(amount) OVER w AS mean, stddev_samp(amount) OVER w AS stdev FROM transactions
+    CASE WHEN amount > 25000 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+    concat('Large transaction: €', printf('%,.2f', amount), ' (avg: €', printf('%,.2f', mean), ')') AS message,
+    'z-score' AS detection_method, created_at AS "timestamp" FROM (SELECT *, count(amount) OVER w AS n, avg(amount) OVER w AS mean, stddev_samp(amount) OVER w AS stdev FROM transactions
           WINDOW w AS (ORDER BY created_at, tx_key ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)) s
     WHERE n >= 20 AND (amount > mean + 3 * stdev OR amount > 10000)""",
 )
@@ -56,18 +59,18 @@ view(
 
 @query("win_02_price_zscore_anomaly", "SELECT * REPLACE (round(value, 4) AS value) FROM price_anomalies")
 def _(d):
-    return rounded(anomaly.price_zscore(anomaly.quote_statistics(d.quotes)).drop("message"))
+    return rounded(anomaly.price_zscore(anomaly.quote_statistics(d.quotes)))
 
 
 @query("win_03_volume_spike_anomaly", "SELECT * FROM volume_anomalies")
 def _(d):
-    return anomaly.volume_spike(anomaly.quote_statistics(d.quotes)).drop("message")
+    return anomaly.volume_spike(anomaly.quote_statistics(d.quotes))
 
 
 @query("win_04_large_transaction_anomaly", "SELECT * REPLACE (round(value, 4) AS value) FROM large_tx")
 def _(d):
     rows = d.transactions.select("transaction_id", "tx_key", "amount", "created_at")
-    return rounded(anomaly.large_transactions(rows).drop("message"))
+    return rounded(anomaly.large_transactions(rows))
 
 
 @query(
@@ -92,10 +95,11 @@ def _(d):
 @query(
     "win_07_stock_threshold_alert",
     """SELECT event_id, 'PRICE_SPIKE' AS alert_type, symbol, round(abs(change_percent), 4) AS value, CAST(5 AS DOUBLE) AS threshold,
-    CASE WHEN abs(change_percent) > 10 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, ts AS "timestamp" FROM quotes WHERE abs(change_percent) > 5""",
+    CASE WHEN abs(change_percent) > 10 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+    concat('Price change of ', printf('%.2f', abs(change_percent)), '% detected') AS message, ts AS "timestamp" FROM quotes WHERE abs(change_percent) > 5""",
 )
 def _(d):
-    return rounded(anomaly.stock_threshold_alerts(d.quotes).drop("message"))
+    return rounded(anomaly.stock_threshold_alerts(d.quotes))
 
 
 @query(
@@ -121,9 +125,9 @@ def _(d):
 
 @query(
     "win_10_anomalies_union",
-    """SELECT "type", symbol, round(value, 4) AS value, severity, z_score, mean, NULL AS threshold, detection_method, "timestamp"
-    FROM price_anomalies UNION ALL SELECT "type", symbol, value, severity, NULL, NULL, NULL, detection_method, "timestamp" FROM volume_anomalies
-    UNION ALL SELECT "type", NULL, round(value, 4), severity, NULL, mean, threshold, detection_method, "timestamp" FROM large_tx""",
+    """SELECT "type", symbol, round(value, 4) AS value, severity, message, z_score, mean, NULL AS threshold, detection_method, "timestamp"
+    FROM price_anomalies UNION ALL SELECT "type", symbol, value, severity, message, NULL, NULL, NULL, detection_method, "timestamp" FROM volume_anomalies
+    UNION ALL SELECT "type", NULL, round(value, 4), severity, message, NULL, mean, threshold, detection_method, "timestamp" FROM large_tx""",
 )
 def _(d):
     stats = anomaly.quote_statistics(d.quotes)
@@ -131,7 +135,7 @@ def _(d):
     merged = anomaly.anomalies_union(
         anomaly.price_zscore(stats), anomaly.volume_spike(stats), anomaly.large_transactions(payments)
     )
-    return rounded(merged.drop("message"))
+    return rounded(merged)
 
 
 @query(

@@ -14,8 +14,12 @@ from ledgermill.sources import raw, readers, writers
 def _chart(d, previous=True):
     meta = F.struct(
         *([F.col("previous_close").alias("previousClose")] if previous else []),
-        F.upper("currency").alias("currency"), F.col("exchange").alias("exchangeName"), F.col("company_name").alias("longName"),
-        F.col("market_cap").alias("marketCap"),
+        "symbol", F.upper("currency").alias("currency"), F.col("exchange").alias("exchangeName"),
+        # some documents name the company in one field or the other, some not at all
+        F.when(F.col("event_id") % 5 < 3, F.col("company_name")).alias("longName"),
+        F.when(F.col("event_id") % 5 == 3, F.lower("company_name")).alias("shortName"),
+        F.col("market_cap").alias("marketCap"), (F.col("current_price") + 10).alias("fiftyTwoWeekHigh"),
+        (F.col("current_price") - 10).alias("fiftyTwoWeekLow"),
     )
     price, older = F.col("current_price"), F.col("previous_close")
     closes = F.when(F.col("event_id") % 89 == 0, F.array(F.lit(None).cast("double"))).otherwise(
@@ -28,7 +32,8 @@ def _chart(d, previous=True):
 
 
 def _chart_sql(digits, previous):
-    return f"""SELECT event_id, symbol, company_name, exchange, upper(currency) AS currency, round(current_price, {digits}) AS current_price,
+    return f"""SELECT event_id, symbol, CASE WHEN mod(event_id, 5) < 3 THEN company_name WHEN mod(event_id, 5) = 3 THEN lower(company_name) ELSE symbol END AS company_name,
+    round(current_price + 10, 4) AS fifty_two_week_high, round(current_price - 10, 4) AS fifty_two_week_low, exchange, upper(currency) AS currency, round(current_price, {digits}) AS current_price,
     round(prev, {digits}) AS previous_close, round(current_price - prev, {digits}) AS change,
     round(CASE WHEN prev <> 0 THEN (current_price - prev) / prev * 100 ELSE 0 END, {digits}) AS change_percent, volume, market_cap
     FROM (SELECT *, {previous} AS prev FROM quotes WHERE mod(event_id, 89) <> 0) q"""
@@ -36,17 +41,17 @@ def _chart_sql(digits, previous):
 
 @query("src_01_chart_daily", _chart_sql(2, "coalesce(previous_close, current_price + 1)"))
 def _(d):
-    return raw.parse_chart_quotes(_chart(d))
+    return rounded(raw.parse_chart_quotes(_chart(d)))
 
 
 @query("src_01_chart_daily_fallback", _chart_sql(2, "coalesce(previous_close, current_price + 1)"))
 def _(d):
-    return raw.parse_chart_quotes(_chart(d, previous=False))
+    return rounded(raw.parse_chart_quotes(_chart(d, previous=False)))
 
 
 @query("src_01_chart_minute", _chart_sql(4, "current_price + 1"))
 def _(d):
-    return raw.parse_chart_quotes(_chart(d, previous=False), interval="1m")
+    return rounded(raw.parse_chart_quotes(_chart(d, previous=False), interval="1m"))
 
 
 @query(
@@ -164,22 +169,42 @@ def _(d):
 
 @query(
     "src_10_recent_rows",
-    """SELECT tx_key, transaction_id, sender_country, receiver_country, currency, status, created_at FROM transactions
-    ORDER BY created_at DESC, tx_key DESC LIMIT 1000""",
+    """SELECT transaction_id, sender_id, sender_name, sender_country, concat('IBAN', sender_id) AS sender_iban, sender_bank, receiver_id,
+    receiver_name, receiver_country, concat('IBAN', receiver_id) AS receiver_iban, receiver_bank, round(amount, 4) AS amount, currency,
+    round(amount_eur, 4) AS amount_eur, transaction_type, category AS description, concat('REF', transaction_id) AS reference, channel, status,
+    is_cross_border, created_at, created_at + INTERVAL 1 DAY AS processed_at FROM transactions ORDER BY created_at DESC, transaction_id DESC LIMIT 1000""",
 )
 def _(d):
-    columns = ["tx_key", "transaction_id", "sender_country", "receiver_country", "currency", "status", "created_at"]
-    return readers.recent_rows(d.transactions, columns, "created_at", "tx_key")
+    # the operational store's columns that the input lacks are made up from those it has, alike in both texts
+    rows = d.transactions.withColumns(
+        {
+            "sender_iban": F.concat(F.lit("IBAN"), "sender_id"), "receiver_iban": F.concat(F.lit("IBAN"), "receiver_id"),
+            "description": F.col("category"), "reference": F.concat(F.lit("REF"), "transaction_id"),
+            "processed_at": F.col("created_at") + F.expr("interval 1 day"),
+        }
+    )
+    return rounded(readers.recent_rows(rows, readers.TRANSACTION_COLUMNS, "created_at", "transaction_id"))
 
 
-@query("src_11_incremental", "SELECT event_id, user_id, ts, (SELECT max(event_id) FROM events) AS next_mark FROM events WHERE event_id > 0 ORDER BY event_id")
+@query("src_11_incremental", "SELECT event_id, user_id, ts, (SELECT max(event_id) FROM events) AS next_mark FROM events WHERE event_id > 0")
 def _(d):
-    rows = d.events.select("event_id", "user_id", "ts")
-    # a limit above the table size: the whole backlog is one poll
-    batch, mark = readers.read_incremental(rows, "event_id", 0, 2**31 - 1)
+    batch, mark = readers.read_incremental(d.events.select("event_id", "user_id", "ts"), "event_id", 0)
     return batch.withColumn("next_mark", F.lit(mark))
 
 
+@query("src_11_paged", "SELECT event_id, user_id, ts FROM events")
+def _(d):
+    # a key with many equal values, read in about four polls of a quarter each
+    rows = d.events.select("event_id", "user_id", "ts")
+    page, mark, path = -(-rows.count() // 4), -1, scratch_path(d.spark, "polls")
+    while True:
+        batch, newest = readers.read_incremental(rows, "user_id", mark, page)
+        if newest == mark:
+            return d.spark.read.schema(rows.schema).parquet(path)
+        batch.write.mode("append").parquet(path)
+        mark = newest
+
+
 def _messages(d):
     text = F.to_json(F.struct("symbol", "exchange", "currency", F.col("current_price").alias("price"), "change_percent", "volume"))
     broken = F.col("event_id") % 53 == 0
@@ -211,15 +236,11 @@ def _(d):
     return stamped.select("event_id", "_source", "_source_type", "_is_real_data", complete.alias("stamped"))
 
 
-@query("src_15_ntriples", "SELECT graph, p, count(*) AS n, count(lang) AS tagged, count(datatype) AS typed, max(s) AS s, max(o) AS o FROM quads GROUP BY graph, p")
+@query("src_15_ntriples", "SELECT graph, s, p, o, o_kind, datatype, lang FROM quads")
 def _(d):
     path = scratch_path(d.spark, "quads")
     readers.to_ntriples(stored_quads(d)).write.text(path)
-    back = readers.read_ntriples(d.spark, path, "data")
-    return back.groupBy("graph", "p").agg(
-        F.count(F.lit(1)).alias("n"), F.count("lang").alias("tagged"), F.count("datatype").alias("typed"),
-        F.max("s").alias("s"), F.max("o").alias("o"),
-    )
+    return readers.read_ntriples(d.spark, path, "data")
 
 
 @query(

@@ -120,44 +120,61 @@ def _(d):
     return flows.drain(out, "throughput")
 
 
+def _in_parts(d, action, build, parts=4, **time):
+    """Deliver tables (name = time column) in time slices, one micro-batch each, to one running state; ``build(**streams)``."""
+    tables = {name: d.table(name) for name in time}
+    ends = [t.agg(F.min(time[n]), F.max(time[n])).first() for n, t in tables.items()]
+    ends = [e for e in ends if e[0] is not None]
+    low, high = min(e[0] for e in ends), max(e[1] for e in ends)
+    folders = {name: scratch_path(d.spark, f"delivered-{name}") for name in tables}
+    checkpoint = scratch_path(d.spark, "delivered-checkpoint")
+    for part in range(parts):
+        begin, end = low + part * (high - low) / parts, low + (part + 1) * (high - low) / parts
+        for name, table in tables.items():
+            at = F.col(time[name])
+            table.filter((at >= begin) & ((at < end) | F.lit(part == parts - 1))).write.mode("append").parquet(folders[name])
+        streams = {n: d.spark.readStream.schema(t.schema).parquet(folders[n]) for n, t in tables.items()}
+        flows.for_each_batch(build(**streams), action, checkpoint, available_now=True).awaitTermination()
+    return action.read(d.spark)
+
+
 @query(
     "str_06_stateful_price_anomaly",
-    """SELECT event_id, symbol, "type", round(value, 4) AS value, severity, z_score, mean, stdev, NULL AS average_volume, NULL AS ratio, detection_method,
-    "timestamp" AS ts FROM price_anomalies UNION ALL SELECT event_id, symbol, "type", value, severity, NULL, NULL, NULL, average_volume, ratio,
-    detection_method, "timestamp" FROM volume_anomalies""",
+    """SELECT event_id, symbol, "type", round(value, 4) AS value, severity, message, z_score, mean, stdev, NULL AS average_volume, NULL AS ratio,
+    detection_method, "timestamp" FROM price_anomalies UNION ALL SELECT event_id, symbol, "type", value, severity, message, NULL, NULL, NULL,
+    average_volume, ratio, detection_method, "timestamp" FROM volume_anomalies""",
 )
 def _(d):
-    out = flows.drain(stateful.price_and_volume_anomalies(_quotes(d)), "anomalies")
-    digits = {"value": 4, "z_score": 2, "mean": 2, "stdev": 4, "ratio": 2}
-    out = out.withColumns({c: F.round(c, n) for c, n in digits.items()})
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    detector = stateful.price_and_volume_anomalies(scratch_path(d.spark, "anomalies"))
+    return rounded(_in_parts(d, detector, lambda events: d.frame("quotes", events=events), events="ts"))
 
 
 @query(
     "str_07_stateful_tx_anomaly",
-    """SELECT sender_country AS "key", tx_key, round(amount, 4) AS value, round(mean, 2) AS mean, round(mean + 3 * stdev, 2) AS threshold,
-    CASE WHEN amount > 25000 THEN 'HIGH' ELSE 'MEDIUM' END AS severity, created_at AS ts
+    """SELECT sender_country, tx_key, transaction_id, 'LARGE_TRANSACTION' AS "type", round(amount, 4) AS value, round(mean, 2) AS mean,
+    round(mean + 3 * stdev, 2) AS threshold, CASE WHEN amount > 25000 THEN 'HIGH' ELSE 'MEDIUM' END AS severity,
+    concat('Large transaction: €', printf('%,.2f', amount), ' (avg: €', printf('%,.2f', mean), ')') AS message,
+    'z-score' AS detection_method, created_at AS "timestamp"
     FROM (SELECT *, count(amount) OVER w AS n, avg(amount) OVER w AS mean, stddev_samp(amount) OVER w AS stdev FROM transactions
           WINDOW w AS (PARTITION BY sender_country ORDER BY created_at, tx_key ROWS BETWEEN 199 PRECEDING AND CURRENT ROW)) s
     WHERE n >= 20 AND (amount > mean + 3 * stdev OR amount > 10000)""",
 )
 def _(d):
-    out = flows.drain(stateful.transaction_anomalies(_transactions(d), "sender_country"), "large")
-    out = out.withColumns({"value": F.round("value", 4), "mean": F.round("mean", 2), "threshold": F.round("threshold", 2)})
-    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    detector = stateful.transaction_anomalies(scratch_path(d.spark, "large"), "sender_country")
+    columns = ["sender_country", "tx_key", "transaction_id", "amount", "created_at"]
+    return rounded(_in_parts(d, detector, lambda orders: d.frame("transactions", orders=orders).select(*columns), orders="o_orderdate"))
 
 
 @query(
     "str_08_stateful_rule_alerts",
-    """WITH RECURSIVE fired AS (SELECT * FROM rule_next WHERE rule IN ('forex_volatility', 'pipeline_failure', 'data_staleness')
-      AND pos IN (SELECT min(pos) FROM rule_next GROUP BY rule)
+    """WITH RECURSIVE fired AS (SELECT * FROM rule_next WHERE pos IN (SELECT min(pos) FROM rule_next GROUP BY rule)
     UNION ALL SELECT n.* FROM fired f JOIN rule_next n ON n.pos = f.next_pos) SELECT rule, ts, point_id FROM fired""",
 )
 def _(d):
-    points = d.frame("event_metrics", events=flows.table_stream(d.spark, d.folder, "events"))
-    hits = alerts.evaluate_rules(points)
-    out = flows.drain(stateful.cooled_alerts(hits), "cooled")
-    return out.select("rule", F.col("ts").cast("timestamp_ntz").alias("ts"), "point_id")
+    def hits(**streams):
+        return alerts.evaluate_rules(d.frame("metrics", **streams))
+
+    return _in_parts(d, stateful.CooledAlerts(scratch_path(d.spark, "cooled")), hits, events="ts", orders="o_orderdate")
 
 
 @query("str_09_dedup_stream", "SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events")
@@ -171,47 +188,100 @@ def _(d):
 
 view(
     "topic_counts",
-    "SELECT CASE event_type WHEN 'click' THEN 'stocks' WHEN 'view' THEN 'stocks' WHEN 'purchase' THEN 'transactions' ELSE event_type END AS topic, * FROM events",
+    """SELECT CASE event_type WHEN 'click' THEN 'stocks' WHEN 'view' THEN 'anomalies' WHEN 'purchase' THEN 'transactions' WHEN 'signup' THEN 'forex'
+    ELSE event_type END AS topic, * FROM events""",
 )
 
 
-def _topic_stream(d):
-    kind = F.col("event_type")
-    topic = F.when(kind.isin("click", "view"), "stocks").when(kind == "purchase", "transactions").otherwise(kind)
+def _topic_messages(d):
+    names = {"click": "stocks", "view": "anomalies", "purchase": "transactions", "signup": "forex"}
+    topic = F.col("event_type")
+    for kind, name in names.items():
+        topic = F.when(F.col("event_type") == kind, name).otherwise(topic)
     body = F.struct(
-        F.concat(F.lit("SYM"), F.col("user_id").cast("string")).alias("symbol"), F.col("value").alias("price"),
+        F.concat(F.lit("SYM"), F.col("user_id").cast("string")).alias("symbol"), F.col("value").alias("price"), "value",
         F.col("event_id").cast("string").alias("transaction_id"), F.col("value").alias("amount"), F.lit("EUR").alias("currency"),
+        F.lit(2.0).alias("mean"), F.lit("EUR").alias("base_currency"), F.col("value").alias("rate"),
     )
-    events = flows.table_stream(d.spark, d.folder, "events")
-    return events.select(topic.alias("topic"), F.col("user_id").cast("string").alias("key"), F.to_json(body).alias("value"))
+    return d.events.select(topic.alias("topic"), F.col("user_id").cast("string").alias("key"), F.to_json(body).alias("value"), "event_id")
 
 
 def _dispatched(d):
+    """The routes after two deliveries: all messages, then every payment message again, some of them broken, one of no topic."""
     sinks = flows.Dispatcher(scratch_path(d.spark, "routes"), default=lambda rest: rest.select("topic", "value"))
-    sinks.on("stocks", flows.stock_route).on("transactions", flows.transaction_route)
-    flows.drain_batches(_topic_stream(d), sinks, "routes")
+    for topic, route in (("stocks", flows.stock_route), ("transactions", flows.transaction_route), ("anomalies", flows.anomaly_route), ("forex", flows.forex_route)):
+        sinks.on(topic, route)
+    source, checkpoint = scratch_path(d.spark, "messages"), scratch_path(d.spark, "messages-checkpoint")
+    messages = _topic_messages(d)
+    broken = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("{broken "), "value")).otherwise(F.col("value"))
+    again = messages.filter(F.col("topic") == "transactions").withColumn("value", broken)
+    lost = messages.filter(F.col("event_id") % 50 == 0).withColumn("topic", F.lit(None).cast("string"))
+    for delivery in (messages, again.unionByName(lost)):
+        delivery.write.mode("append").parquet(source)
+        stream = d.spark.readStream.schema(messages.schema).parquet(source)
+        flows.for_each_batch(stream, sinks, checkpoint, available_now=True).awaitTermination()
     return sinks
 
 
 @query(
     "str_10_topic_dispatch",
     """SELECT 'stocks' AS route, concat('SYM', CAST(user_id AS STRING)) AS id, value, 'kafka' AS source, TRUE AS is_real_data FROM topic_counts WHERE topic = 'stocks'
-    UNION ALL SELECT 'transactions', CAST(event_id AS STRING), value, 'kafka', FALSE FROM topic_counts WHERE topic = 'transactions'""",
+    UNION ALL SELECT 'transactions', CAST(event_id AS STRING), value, 'kafka', FALSE FROM topic_counts WHERE topic = 'transactions'
+    UNION ALL SELECT 'anomalies', concat('SYM', CAST(user_id AS STRING)), value, 'mean 2.0', NULL FROM topic_counts WHERE topic = 'anomalies'
+    UNION ALL SELECT 'forex', 'EUR', value, 'kafka', NULL FROM topic_counts WHERE topic = 'forex'
+    UNION ALL SELECT 'other', NULL, NULL, topic, NULL FROM topic_counts WHERE topic = 'error'
+    UNION ALL SELECT 'other', NULL, NULL, NULL, NULL FROM topic_counts WHERE mod(event_id, 50) = 0""",
 )
 def _(d):
     sinks = _dispatched(d)
-    stocks = sinks.read(d.spark, "stocks").select(
-        F.lit("stocks").alias("route"), F.col("symbol").alias("id"), F.col("price").alias("value"), "source", "is_real_data"
-    )
-    payments = sinks.read(d.spark, "transactions").select(
-        F.lit("transactions").alias("route"), F.col("transaction_id").alias("id"), F.col("amount").alias("value"), "source", "is_real_data"
-    )
-    return stocks.unionByName(payments)
+
+    def rows(route, id, value, source, real):
+        columns = {"route": F.lit(route), "id": id, "value": value.cast("double"), "source": source, "is_real_data": real.cast("boolean")}
+        return sinks.read(d.spark, route).select(*[c.alias(n) for n, c in columns.items()])
+
+    null = F.lit(None)
+    parts = [
+        rows("stocks", F.col("symbol"), F.col("price"), F.col("source"), F.col("is_real_data")),
+        rows("transactions", F.col("transaction_id"), F.col("amount"), F.col("source"), F.col("is_real_data")),
+        rows("anomalies", F.col("symbol"), F.col("value"), F.concat(F.lit("mean "), F.col("mean_value").cast("string")), null),
+        rows("forex", F.col("base_currency"), F.col("rate"), F.col("source"), null),
+        rows("other", null.cast("string"), null, F.col("topic"), null),
+    ]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    return merged
+
+
+@query(
+    "snk_09_route_counts",
+    """SELECT topic, CAST(sum(n) AS BIGINT) AS messages, CAST(sum(bad) AS BIGINT) AS errors FROM (
+      SELECT topic, 1 AS n, 0 AS bad FROM topic_counts
+      UNION ALL SELECT topic, 1, CASE WHEN mod(event_id, 7) = 0 THEN 1 ELSE 0 END FROM topic_counts WHERE topic = 'transactions'
+      UNION ALL SELECT NULL, 1, 0 FROM topic_counts WHERE mod(event_id, 50) = 0) m GROUP BY topic""",
+)
+def _(d):
+    counts = _dispatched(d).read(d.spark, "counts").groupBy("topic")
+    return counts.agg(F.sum("messages").alias("messages"), F.sum("errors").alias("errors"))
+
+
+@query(
+    "snk_09_dead_letters",
+    "SELECT topic, '{broken ' AS head, event_id FROM topic_counts WHERE topic = 'transactions' AND mod(event_id, 7) = 0",
+)
+def _(d):
+    number = F.regexp_extract("message", '"transaction_id":"([0-9]+)"', 1).cast("long")
+    return _dispatched(d).read(d.spark, "dead").select("topic", F.left("message", F.lit(8)).alias("head"), number.alias("event_id"))
 
 
-@query("snk_09_route_counts", "SELECT topic, count(*) AS messages FROM topic_counts GROUP BY topic")
+@query("snk_11_memory_sink", "SELECT symbol, count(*) AS quote_count, CAST(sum(volume) AS BIGINT) AS volume FROM quotes GROUP BY symbol ORDER BY symbol LIMIT 20")
 def _(d):
-    return _dispatched(d).read(d.spark, "counts").groupBy("topic").agg(F.sum("messages").alias("messages"))
+    # the sink keeps its rows on the driver, so it is given a report of bounded size
+    report, name = scratch_path(d.spark, "report"), f"shown_{scratch_path(d.spark, 'x').rsplit('-', 1)[1]}"
+    per_symbol = d.quotes.groupBy("symbol").agg(F.count(F.lit(1)).alias("quote_count"), F.sum("volume").alias("volume"))
+    per_symbol.orderBy("symbol").limit(20).write.parquet(report)
+    flows.to_memory(d.spark.readStream.schema(per_symbol.schema).parquet(report), name).awaitTermination()
+    return d.spark.table(name)
 
 
 @query(

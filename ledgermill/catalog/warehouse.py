@@ -124,9 +124,9 @@ def _(d):
 
 @query(
     "jon_01_transactions_by_date",
-    """SELECT d.full_date, d.year, d.quarter, d.month, d.is_business_day, count(f.transaction_id) AS tx_count,
-    round(sum(f.amount_eur), 2) AS total_amount_eur FROM fact_transactions f JOIN dim_date d ON f.date_sk = d.date_sk
-    GROUP BY ALL ORDER BY d.full_date DESC LIMIT 30""",
+    """WITH days AS (SELECT date_sk, count(transaction_id) AS tx_count, round(sum(amount_eur), 2) AS total_amount_eur FROM fact_transactions GROUP BY date_sk)
+    SELECT full_date, year, quarter, month, is_business_day, tx_count, total_amount_eur FROM days JOIN dim_date USING (date_sk)
+    QUALIFY row_number() OVER (ORDER BY full_date DESC) <= 30""",
 )
 def _(d):
     return rounded(warehouse.transactions_by_date(d.fact_transactions, d.dim_date), 2)
@@ -197,7 +197,7 @@ def _(d):
     AND (contains(lower(a.name), lower(b.name)) OR contains(lower(b.name), lower(a.name))) ORDER BY id1, id2 LIMIT 20""",
 )
 def _(d):
-    return matching.name_match_pairs(d.entity_names).orderBy("id1", "id2").limit(20)
+    return matching.name_match_pairs(d.entity_names, first=20)
 
 
 @query(
@@ -215,9 +215,10 @@ def _(d):
 
 @query(
     "agg_03_market_overview",
-    """SELECT exchange, count(*) AS stock_count, round(avg(price_eur), 2) AS avg_price_eur, CAST(sum(volume) AS BIGINT) AS total_volume,
-    count(CASE WHEN trend = 'UP' THEN 1 END) AS stocks_up, count(CASE WHEN trend = 'DOWN' THEN 1 END) AS stocks_down
-    FROM silver_stocks GROUP BY exchange""",
+    """WITH per_trend AS (SELECT exchange, trend, count(*) AS n, sum(price_eur) AS price, sum(volume) AS volume FROM silver_stocks GROUP BY exchange, trend)
+    SELECT exchange, CAST(sum(n) AS BIGINT) AS stock_count, CAST(coalesce(sum(n) FILTER (trend = 'UP'), 0) AS BIGINT) AS stocks_up,
+    CAST(coalesce(sum(n) FILTER (trend = 'DOWN'), 0) AS BIGINT) AS stocks_down, CAST(sum(volume) AS BIGINT) AS total_volume,
+    round(sum(price) / sum(n), 2) AS avg_price_eur FROM per_trend GROUP BY exchange""",
 )
 def _(d):
     return warehouse.market_overview(d.silver_stocks)
@@ -225,9 +226,11 @@ def _(d):
 
 @query(
     "agg_04_transaction_summary",
-    """SELECT tx_date, count(*) AS tx_count, round(sum(amount_eur), 2) AS total_volume_eur, round(avg(amount_eur), 2) AS avg_amount_eur,
-    count(CASE WHEN is_cross_border THEN 1 END) AS cross_border_count, count(CASE WHEN requires_aml_check THEN 1 END) AS aml_flagged
-    FROM silver_transactions WHERE tx_date >= DATE '2001-08-01' - INTERVAL 7 DAY GROUP BY tx_date""",
+    """SELECT day AS tx_date, len(rows) AS tx_count, round(list_sum(rows), 2) AS total_volume_eur, round(list_avg(rows), 2) AS avg_amount_eur,
+    crossing AS cross_border_count, flagged AS aml_flagged FROM (
+      SELECT tx_date AS day, list(amount_eur) AS rows, CAST(sum(CAST(is_cross_border AS INT)) AS BIGINT) AS crossing,
+      CAST(sum(CAST(requires_aml_check AS INT)) AS BIGINT) AS flagged FROM silver_transactions
+      WHERE date_diff('day', tx_date, DATE '2001-08-01') <= 7 GROUP BY tx_date) daily""",
 )
 def _(d):
     from datetime import date
@@ -237,9 +240,11 @@ def _(d):
 
 @query(
     "agg_05_cross_border_flows",
-    """SELECT sender_country, receiver_country, count(*) AS tx_count, round(sum(amount_eur), 2) AS total_volume_eur,
-    round(avg(amount_eur), 2) AS avg_amount_eur FROM silver_transactions WHERE is_cross_border GROUP BY ALL
-    ORDER BY total_volume_eur DESC, sender_country, receiver_country LIMIT 20""",
+    """WITH pairs AS (SELECT struct_pack(a := sender_country, b := receiver_country) AS pair, amount_eur FROM silver_transactions WHERE is_cross_border),
+    flows AS (SELECT pair, count(*) AS n, sum(amount_eur) AS total FROM pairs GROUP BY pair),
+    placed AS (SELECT *, row_number() OVER (ORDER BY round(total, 2) DESC, pair.a, pair.b) AS place FROM flows)
+    SELECT pair.a AS sender_country, pair.b AS receiver_country, n AS tx_count, round(total, 2) AS total_volume_eur, round(total / n, 2) AS avg_amount_eur
+    FROM placed WHERE place <= 20""",
 )
 def _(d):
     return warehouse.cross_border_flows(d.silver_transactions)
@@ -247,11 +252,12 @@ def _(d):
 
 @query(
     "agg_06_kpis",
-    """SELECT * FROM (SELECT count(*) AS total_transactions, round(sum(amount_eur), 2) AS total_volume_eur,
-    round(avg(amount_eur), 2) AS avg_transaction_eur, count(CASE WHEN is_cross_border THEN 1 END) AS cross_border_count,
-    round(count(CASE WHEN is_cross_border THEN 1 END) * 100.0 / count(*), 1) AS cross_border_pct FROM silver_transactions) t,
-    (SELECT count(*) AS stock_count, round(avg(price_eur), 2) AS avg_stock_price_eur, CAST(sum(volume) AS BIGINT) AS total_volume
-    FROM silver_stocks) s""",
+    """WITH sides AS (SELECT is_cross_border AS crossing, count(*) AS n, sum(amount_eur) AS volume FROM silver_transactions GROUP BY 1),
+    crossed AS (SELECT coalesce(max(n), 0) AS n FROM sides WHERE crossing)
+    SELECT CAST(sum(s.n) AS BIGINT) AS total_transactions, round(sum(s.volume), 2) AS total_volume_eur, round(sum(s.volume) / sum(s.n), 2) AS avg_transaction_eur,
+    max(crossed.n) AS cross_border_count, round(100 * max(crossed.n) / sum(s.n), 1) AS cross_border_pct,
+    (SELECT count(symbol) FROM silver_stocks) AS stock_count, (SELECT round(mean(price_eur), 2) FROM silver_stocks) AS avg_stock_price_eur,
+    (SELECT CAST(sum(volume) AS BIGINT) FROM silver_stocks) AS total_volume FROM sides s, crossed""",
 )
 def _(d):
     return warehouse.kpis(d.silver_transactions, d.silver_stocks)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,7 +15,7 @@ ANOMALY_COLUMNS = (
 )
 
 
-def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_price") -> DataFrame:
+def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_price", order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
     """History count, mean and spread of price and volume over the *previous* rows of the symbol.
 
     Price and volume detectors share this one frame, hence one sort.
@@ -28,11 +29,11 @@ def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_
             "mean_volume": F.avg("volume").over(w),
         }
 
-    slim = quotes.select("symbol", "event_id", price, "volume", "ts")
-    return bounded_frames(slim, ["symbol"], ["ts", "event_id"], window, columns, include_current=False)
+    slim = quotes.select("symbol", price, "volume", *dict.fromkeys([*order, "ts", "event_id"]))
+    return bounded_frames(slim, ["symbol"], list(order), window, columns, include_current=False)
 
 
-def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price: str = "current_price") -> DataFrame:
+def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price: str = "current_price", keep: Sequence[str] = ()) -> DataFrame:
     z = (F.col(price) - F.col("mean_price")) / F.col("stdev_price")
     ready = (F.col("n_prev") >= minimum) & (F.col("stdev_price") > 0)
     scored = stats.filter(ready).withColumn("z", z).filter(F.abs("z") > limit)
@@ -40,6 +41,7 @@ def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price:
         "%s price %.2f is %.1f std devs from mean %.2f", F.col("symbol"), F.col(price), F.abs("z"), F.col("mean_price")
     )
     return scored.select(
+        *keep,
         "event_id",
         F.lit("PRICE_SPIKE").alias("type"),
         "symbol",
@@ -54,10 +56,11 @@ def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price:
     )
 
 
-def volume_spike(stats: DataFrame, minimum: int = 10, times: float = 3) -> DataFrame:
+def volume_spike(stats: DataFrame, minimum: int = 10, times: float = 3, keep: Sequence[str] = ()) -> DataFrame:
     mean, volume = F.col("mean_volume"), F.col("volume")
     hits = stats.filter((F.col("n_prev") >= minimum) & (mean > 0) & (volume > mean * times))
     return hits.select(
+        *keep,
         "event_id",
         F.lit("VOLUME_SPIKE").alias("type"),
         "symbol",
@@ -78,18 +81,21 @@ def large_transactions(
     sigmas: float = 3,
     limit: float = 10000,
     partition_by: list[str] | None = None,
-    order: tuple[str, str] = ("created_at", "tx_key"),
+    order: Sequence[str] = ("created_at", "tx_key"),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Amounts far above the last ``window`` payments, the current one included."""
 
     def columns(w):
         return {"n": F.count("amount").over(w), "mean": F.avg("amount").over(w), "stdev": F.stddev_samp("amount").over(w)}
 
-    stats = bounded_frames(transactions, partition_by or [], list(order), window - 1, columns, include_current=True)
+    needed = dict.fromkeys([*(partition_by or []), *order, *keep, "transaction_id", "amount"])
+    stats = bounded_frames(transactions.select(*needed), partition_by or [], list(order), window - 1, columns, include_current=True)
     bar = F.col("mean") + F.lit(sigmas) * F.col("stdev")
     hits = stats.filter((F.col("n") >= minimum) & ((F.col("amount") > bar) | (F.col("amount") > limit)))
     return hits.select(
-        order[1],
+        *keep,
+        order[-1],
         "transaction_id",
         F.lit("LARGE_TRANSACTION").alias("type"),
         F.col("amount").alias("value"),
@@ -98,7 +104,7 @@ def large_transactions(
         F.when(F.col("amount") > 25000, "HIGH").otherwise("MEDIUM").alias("severity"),
         F.format_string("Large transaction: €%,.2f (avg: €%,.2f)", F.col("amount"), F.col("mean")).alias("message"),
         F.lit("z-score").alias("detection_method"),
-        F.col(order[0]).alias("timestamp"),
+        F.col(order[-2]).alias("timestamp"),
     )
 
 
@@ -117,6 +123,17 @@ def metric_statistics(points: DataFrame, window: int = 100, quartiles: bool = Tr
     return stats.withColumns({"q1": at(F.expr("n div 4")), "q3": at(F.expr("(3 * n) div 4"))}).drop("recent")
 
 
+def metric_hits(stats: DataFrame) -> DataFrame:
+    """Hits of both metric detectors from one pass over the frames: event_id, metric, value, ts, method."""
+    z = (F.col("value") - F.col("mean")) / F.col("stdev")
+    spread = F.col("q3") - F.col("q1")
+    outside = (F.col("value") < F.col("q1") - 1.5 * spread) | (F.col("value") > F.col("q3") + 1.5 * spread)
+    methods = F.array(
+        F.when((F.col("n") >= 10) & (F.col("stdev") != 0) & (F.abs(z) > 3.0), "z-score"), F.when((F.col("n") >= 10) & outside, "iqr")
+    )
+    return stats.select("event_id", "metric", "value", "ts", F.explode_outer(methods).alias("method")).filter(F.col("method").isNotNull())
+
+
 def metric_zscore(stats: DataFrame, minimum: int = 10, limit: float = 3.0) -> DataFrame:
     z = (F.col("value") - F.col("mean")) / F.col("stdev")
     return (

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.session import scratch_path
+from ledgermill.session import scratch_path, stored
 
 
-class _Rounds:
+class Rounds:
     """Rows found so far, one folder per round, read back as one table.
 
     The plan of a round stays the same size however many rounds came before it.
@@ -41,7 +41,7 @@ def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """
     group = [c for c in starts.columns if c != "node"]
     frontier = starts.distinct()
-    rounds = _Rounds(edges.sparkSession, "reached")
+    rounds = Rounds(edges.sparkSession, "reached")
     while True:
         step = edges.join(frontier.withColumnRenamed("node", "src"), [*group, "src"])
         reached = step.select(*group, F.col("dst").alias("node")).distinct()
@@ -54,7 +54,7 @@ def reachable(edges: DataFrame, starts: DataFrame) -> DataFrame:
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
     """All ``(src, dst)`` pairs joined by a path; semi-naive, exact on cycles."""
-    rounds = _Rounds(edges.sparkSession, "closure")
+    rounds = Rounds(edges.sparkSession, "closure")
     first = delta = rounds.add(edges.select("src", "dst").distinct())
     step = first.select(F.col("src").alias("mid"), F.col("dst").alias("next"))
     while not delta.isEmpty():
@@ -77,8 +77,13 @@ def full_lineage(edges: DataFrame, asset: str) -> DataFrame:
         *[F.struct(F.lit(d).alias("direction"), F.col(a).alias("src"), F.col(b).alias("dst")) for d, a, b in ends]
     )
     starts = edges.sparkSession.createDataFrame([(d, asset) for d, _, _ in ends], "direction string, node string")
-    found = reachable(edges.select(F.inline_outer(directed)), starts)
-    return found.withColumnRenamed("node", "asset")
+    # stored once: every round reads only the newest nodes' edges of it instead of rebuilding all of them
+    both = stored(edges.select(F.inline_outer(directed)).distinct().repartition("direction", "src").sortWithinPartitions("src"), "lineage", "direction")
+    return reachable(both, starts).withColumnRenamed("node", "asset")
+
+
+#: So many predicates at most are listed in a filter, which then prunes the folders that are read.
+_LISTED = 1000
 
 
 def _pairs(triples: DataFrame, predicate: str) -> DataFrame:
@@ -93,10 +98,16 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
     """
     classes = transitive_closure(_pairs(triples, "rdfs:subClassOf"))
     properties = transitive_closure(_pairs(triples, "rdfs:subPropertyOf"))
-    base = triples.select("s", "p", "o", "o_kind")
+    every = triples.select("s", "p", "o", "o_kind")
 
+    def ruled(schema: DataFrame, column: str = "src") -> DataFrame:
+        """Statements of the predicates that a part of the schema names, when it names few enough to list."""
+        names = [r[0] for r in schema.select(column).distinct().limit(_LISTED + 1).collect()]
+        return every.filter(F.col("p").isin(names)) if len(names) <= _LISTED else every
+
+    base = every
     # statements by super-properties
-    lifted = base.join(properties.select(F.col("src").alias("p"), F.col("dst").alias("q")), "p").select(
+    lifted = ruled(properties).join(properties.select(F.col("src").alias("p"), F.col("dst").alias("q")), "p").select(
         "s", F.col("q").alias("p"), "o", "o_kind"
     )
 
@@ -104,8 +115,11 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
         """Class implied for one end of a statement: by the property itself or any above it."""
         direct = _pairs(triples, predicate)
         through = properties.withColumnRenamed("dst", "mid").join(direct.withColumnRenamed("src", "mid"), "mid")
-        rules = direct.unionByName(through.select("src", "dst")).distinct()
-        ends = base if node == "s" else base.filter(F.col("o_kind") == "iri")
+        # a table of its own, so Spark knows its size before the join
+        rules = stored(direct.unionByName(through.select("src", "dst")).distinct(), "rules")
+        ends = ruled(rules)
+        if node == "o":
+            ends = ends.filter(F.col("o_kind") == "iri")
         # statements are many, (property, class) rules few: reduce to one row per end and class at once
         return ends.join(rules.withColumnRenamed("src", "p"), "p").select(F.col(node).alias("s"), F.col("dst").alias("o"))
 
@@ -133,9 +147,9 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
 
 def instances_of(triples: DataFrame, cls: str) -> DataFrame:
     """Instances of ``cls`` or of any class below it, each once."""
-    below = transitive_closure(_pairs(triples, "rdfs:subClassOf")).filter(F.col("dst") == cls)
-    wanted = below.select(F.col("src").alias("o")).unionByName(
-        triples.sparkSession.range(1).select(F.lit(cls).alias("o"))
-    )
+    named = triples.sparkSession.range(1).select(F.lit(cls).alias("node"))
+    up = _pairs(triples, "rdfs:subClassOf")
+    below = reachable(up.select(F.col("dst").alias("src"), F.col("src").alias("dst")), named)
+    wanted = stored(below.unionByName(named).distinct().select(F.col("node").alias("o")), "classes-below")
     typed = triples.filter(F.col("p") == "rdf:type")
     return typed.join(wanted, "o", "left_semi").select(F.col("s").alias("instance")).distinct()

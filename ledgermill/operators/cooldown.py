@@ -5,8 +5,8 @@ it. The time line of a rule is cut into segments of at least one cooldown. All a
 segment needs from the past is the first moment at which firing is allowed again,
 and it hands the same kind of moment on. That hand-over is a step function with one
 step per candidate in the first cooldown of the segment, so segments are solved
-independently, their step functions are joined level by level (hour, day, 64 days,
-everything), and the true moments are passed back down. No task ever holds the
+independently, their step functions are joined level by level (one cooldown, 288 and
+18432 of them, everything), and the true moments are passed back down. No task ever holds the
 candidates of more than one rule and segment.
 """
 
@@ -24,7 +24,7 @@ from ledgermill.session import stored
 
 Columns = dict[str, np.ndarray]
 
-HOUR = 3_600_000_000  # microseconds
+MINUTE = 60_000_000  # microseconds
 _FREE = np.iinfo(np.int64).min  # nothing fired yet
 
 
@@ -78,10 +78,14 @@ def _runs(df: DataFrame, keys: list[str], order: list[str], each: Callable[[Colu
 def _segment_steps(times: np.ndarray, start: int, wait: int) -> Columns:
     """Possible first firings of a segment and the moment each one hands on."""
     after = np.searchsorted(times, times + wait, side="left")
-    until = times + wait
-    for i in range(len(times) - 1, -1, -1):
-        if after[i] < len(times):
-            until[i] = until[after[i]]
+    # follow the firings to the last one inside the segment, doubling the stride each time
+    last_fired = np.where(after < len(times), after, np.arange(len(times)))
+    while True:
+        further = last_fired[last_fired]
+        if np.array_equal(further, last_fired):
+            break
+        last_fired = further
+    until = times[last_fired] + wait
     last = min(np.searchsorted(times, start + wait, side="left") + 1, len(times))
     return {"at": times[:last], "until": until[:last]}
 
@@ -139,8 +143,8 @@ def cooldown(
 ) -> DataFrame:
     """The candidates that fire; among rows of equal rule and time the first by ``tie``."""
     wait = int(timedelta(minutes=minutes) / timedelta(microseconds=1))
-    hour = max(HOUR, wait)
-    ratios = {"hour": 24, "day": 64}  # segments of a level per segment of the next
+    span = max(MINUTE, wait)  # a segment is one cooldown, so that a busy rule spreads over as many tasks as possible
+    ratios = {"span": 288, "day": 64}  # segments of a level per segment of the next
 
     def above(level: str):
         return F.expr(f"cast(floor({level} / {ratios[level]}D) as long)")
@@ -152,24 +156,24 @@ def cooldown(
     moments = stored(
         keyed.select(F.col("_rule").alias("rule"), F.col("_at").alias("at"))
         .distinct()
-        .withColumn("hour", F.expr(f"cast(floor(at / {hour}D) as long)")),
+        .withColumn("span", F.expr(f"cast(floor(at / {span}D) as long)")),
         "moments",
     )
     steps, entry = "rule string, {} long, at long, until long", "rule string, {} long, entry long"
 
-    # upwards: step functions of hours, days and blocks of 64 days
-    hours = stored(
-        _runs(moments, ["rule", "hour"], ["at"],
-              lambda g: _segment_steps(g["at"], int(g["hour"][0]) * hour, wait), steps.format("hour")),
-        "hours",
-    ).withColumn("day", above("hour"))
+    # upwards: step functions of single segments, of 288 ("day": with five minutes just that) and of 64 such
+    spans = stored(
+        _runs(moments, ["rule", "span"], ["at"],
+              lambda g: _segment_steps(g["at"], int(g["span"][0]) * span, wait), steps.format("span")),
+        "spans",
+    ).withColumn("day", above("span"))
     days = stored(
-        _runs(hours, ["rule", "day"], ["hour", "at"], lambda g: _merge_steps(g, "hour"), steps.format("day")),
+        _runs(spans, ["rule", "day"], ["span", "at"], lambda g: _merge_steps(g, "span"), steps.format("day")),
         "days",
     ).withColumn("block", above("day"))
     blocks = _runs(days, ["rule", "block"], ["day", "at"], lambda g: _merge_steps(g, "day"), steps.format("block"))
 
-    # downwards: a rule has one block per 64 days, however many candidates it has
+    # downwards: a rule has few blocks, however many candidates it has
     block_entry = _runs(
         blocks.withColumn("entry", F.lit(_FREE).cast("long")), ["rule"], ["block", "at"],
         lambda g: _hand_down(g, "block"), entry.format("block"),
@@ -178,13 +182,13 @@ def cooldown(
         days.join(block_entry, ["rule", "block"]), ["rule", "block"], ["day", "at"],
         lambda g: _hand_down(g, "day"), "rule string, block long, day long, entry long",
     ).drop("block")
-    hour_entry = _runs(
-        hours.join(day_entry, ["rule", "day"]), ["rule", "day"], ["hour", "at"],
-        lambda g: _hand_down(g, "hour"), "rule string, day long, hour long, entry long",
+    span_entry = _runs(
+        spans.join(day_entry, ["rule", "day"]), ["rule", "day"], ["span", "at"],
+        lambda g: _hand_down(g, "span"), "rule string, day long, span long, entry long",
     ).drop("day")
     fired = _runs(
-        moments.join(hour_entry, ["rule", "hour"]), ["rule", "hour"], ["at"],
-        lambda g: _fired(g["at"], int(g["entry"][0]), wait), "rule string, hour long, at long",
+        moments.join(span_entry, ["rule", "span"]), ["rule", "span"], ["at"],
+        lambda g: _fired(g["at"], int(g["entry"][0]), wait), "rule string, span long, at long",
     )
     firing = keyed.join(fired.select(F.col("rule").alias("_rule"), F.col("at").alias("_at")), ["_rule", "_at"], "left_semi")
     row = F.struct(*[F.col(c) for c in candidates.columns])

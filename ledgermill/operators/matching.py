@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Probe lengths: a name is looked up by a gram of the longest size that fits in it.
-GRAM_SIZES = (1, 3, 6, 12)
+GRAM_SIZES = (1, 2, 3, 6, 12)
 
 
 def _grams(name: Column, size: int) -> Column:
@@ -17,46 +17,52 @@ def _grams(name: Column, size: int) -> Column:
     ).otherwise(F.array().cast("array<string>"))
 
 
-def name_match_pairs(entities: DataFrame, id_col: str = "id", name_col: str = "name") -> DataFrame:
-    """Ordered pairs of different entities where one lower-cased name contains the other.
+def _contained(keys: DataFrame) -> DataFrame:
+    """(key1, key2): distinct keys of which one contains the other, both ways round, and every key with itself.
 
     If ``short`` occurs in ``long``, every gram of ``short`` does too, so looking up
     one gram of ``short`` finds every container: an equi-join instead of a cross
-    join. Each name is looked up by its rarest gram of the longest fitting size, so
-    common prefixes do not produce candidates. An empty name identifies nothing and
-    takes no part.
+    join. Each key is looked up by its rarest gram of the longest fitting size, so
+    common prefixes do not produce candidates.
     """
-    names = entities.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).filter(F.length("name") > 0)
-    keyed = names.withColumn("key", F.lower("name"))
     # grams of different sizes never coincide, so the concatenation holds each once
     grams = F.concat(*[_grams(F.col("key"), size) for size in GRAM_SIZES])
-    index = keyed.select("id", "name", "key", F.explode_outer(grams).alias("gram"))
-
+    index = keys.select("key", F.explode_outer(grams).alias("gram"))
     frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
     own = F.lit(None).cast("array<string>")
     for size in GRAM_SIZES:
         own = F.when(F.length("key") >= size, _grams(F.col("key"), size)).otherwise(own)
     probes = (
-        keyed.select("id", "name", "key", F.explode_outer(own).alias("gram"))
+        keys.select("key", F.explode_outer(own).alias("gram"))
         .join(frequency, "gram")
-        .groupBy("id", "name", "key")
+        .groupBy("key")
         .agg(F.min_by("gram", F.struct("uses", "gram")).alias("gram"))
     )
     inside = (
-        probes.select(F.col("id").alias("short_id"), F.col("name").alias("short_name"), F.col("key").alias("short"), "gram")
-        .join(index.select(F.col("id").alias("long_id"), F.col("name").alias("long_name"), F.col("key").alias("long"), "gram"), "gram")
-        .filter((F.col("short_id") != F.col("long_id")) & F.col("long").contains(F.col("short")))
+        probes.select(F.col("key").alias("short"), "gram")
+        .join(index.select(F.col("key").alias("long"), "gram"), "gram")
+        .filter(F.col("long").contains(F.col("short")))
     )
-    # equal names are found from both sides already, so only strict containment is mirrored
-    both_ways = F.when(
-        F.col("long") == F.col("short"), F.array(F.struct(F.col("short_id").alias("id1"), F.col("short_name").alias("name1"),
-                                                          F.col("long_id").alias("id2"), F.col("long_name").alias("name2")))
-    ).otherwise(
-        F.array(
-            F.struct(F.col("short_id").alias("id1"), F.col("short_name").alias("name1"),
-                     F.col("long_id").alias("id2"), F.col("long_name").alias("name2")),
-            F.struct(F.col("long_id").alias("id1"), F.col("long_name").alias("name1"),
-                     F.col("short_id").alias("id2"), F.col("short_name").alias("name2")),
-        )
-    )
-    return inside.select(F.inline(both_ways))
+    ways = [F.struct(F.col(a).alias("key1"), F.col(b).alias("key2")) for a, b in (("short", "long"), ("long", "short"))]
+    return inside.select(F.inline(F.when(F.col("long") == F.col("short"), F.array(ways[0])).otherwise(F.array(*ways))))
+
+
+def name_match_pairs(entities: DataFrame, id_col: str = "id", name_col: str = "name", first: int | None = None) -> DataFrame:
+    """Ordered pairs of different entities where one lower-cased name contains the other.
+
+    Names are matched once each, however many entities bear them; the entities are joined to the matched names
+    afterwards. An empty name identifies nothing and takes no part. With ``first`` only the pairs that can
+    be among that many smallest by (id1, id2) are formed: of each name the ``first + 1`` smallest identifiers.
+    """
+    names = entities.select(F.col(id_col).alias("id"), F.col(name_col).alias("name")).filter(F.length("name") > 0)
+    keyed = names.withColumn("key", F.lower("name"))
+    if first is not None:
+        smallest = Window.partitionBy("key").orderBy("id")
+        keyed = keyed.withColumn("_at", F.row_number().over(smallest)).filter(F.col("_at") <= first + 1).drop("_at")
+    matched = _contained(keyed.select("key").distinct())
+
+    def side(n: int) -> DataFrame:
+        return keyed.select(F.col("key").alias(f"key{n}"), F.col("id").alias(f"id{n}"), F.col("name").alias(f"name{n}"))
+
+    pairs = matched.join(side(1), "key1").join(side(2), "key2").filter(F.col("id1") != F.col("id2")).select("id1", "name1", "id2", "name2")
+    return pairs if first is None else pairs.orderBy("id1", "id2").limit(first)

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from ledgermill.session import stored
 
+ROWS_PER_PART = 2_000_000  # sorted by one task; more parts than the session's default follow from the input
+ROWS_PER_CHUNK = 1_000_000  # summed in order by one task
 FRAMES_PER_CHUNK = 40  # chunk length in frame lengths: 2.5 % of the rows are carried twice
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | position
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
@@ -23,8 +25,12 @@ _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Globally sorted copy of ``df`` with ``_part`` and ``_row`` (position inside it)."""
+    parts = -(-df.count() // ROWS_PER_PART)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the usual number may be merged at run time, a larger one is meant
+    ranged = df.repartitionByRange(parts, *order) if parts > usual else df.repartitionByRange(*order)
     placed = (
-        df.repartitionByRange(*order)
+        ranged
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())
     )
@@ -37,7 +43,7 @@ def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
 
 
 def _offsets(per_part: DataFrame, totals: Sequence[str]) -> DataFrame:
-    """Exclusive prefix sums over the per-partition totals (one row per partition)."""
+    """Exclusive prefix sums over totals: one row for each partition, or each chunk of a million rows."""
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return per_part.select(
         "_part", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in totals]
@@ -57,14 +63,18 @@ def dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "_idx"
 
 
 def running_totals(df: DataFrame, order: Sequence[str | Column], totals: dict[str, Column]) -> DataFrame:
-    """Inclusive running sums over the global order, one output column per entry."""
-    rows = _ranged(df.withColumns({f"_v_{k}": v for k, v in totals.items()}), order)
+    """Inclusive running sums over the global order, one output column per entry.
+
+    Sums of chunks of fixed size are added up first, so no task sums more than a chunk in order.
+    """
     names = [f"_v_{k}" for k in totals]
-    per_part = rows.groupBy("_part").agg(*[F.sum(n).alias(n) for n in names])
-    inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(F.broadcast(_offsets(per_part, names)), "_part")
+    rows = dense_index(df.withColumns({f"_v_{k}": v for k, v in totals.items()}), order)
+    rows = rows.withColumn("_part", F.expr(f"_idx div {ROWS_PER_CHUNK}"))
+    per_chunk = rows.groupBy("_part").agg(*[F.sum(n).alias(n) for n in names])
+    inside = Window.partitionBy("_part").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(_offsets(per_chunk, names), "_part")
     out = out.withColumns({k: F.col(f"_v_{k}_before") + F.sum(f"_v_{k}").over(inside) for k in totals})
-    return out.drop("_mid", "_part", "_row", *names, *[f"{n}_before" for n in names])
+    return out.drop("_idx", "_part", *names, *[f"{n}_before" for n in names])
 
 
 def bounded_frames(

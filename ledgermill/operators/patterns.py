@@ -12,6 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgermill.operators.closure import Rounds
+from ledgermill.session import stored
+
 TYPE, LABEL = "rdf:type", "rdfs:label"
 
 
@@ -70,8 +73,19 @@ class Graph:
     def a(self, cls: str | list[str], subject: str) -> DataFrame:
         return instances(self.triples, cls, subject)
 
+    def about(self, nodes: DataFrame, variable: str, *found: DataFrame) -> DataFrame:
+        """``found`` (patterns on ``variable``) for the distinct nodes of that variable, stored.
+
+        Many subjects lead to a few middle nodes (a currency, a country). Their values are looked up
+        once and stored, so Spark knows how little they are before it joins them back and need not
+        shuffle the subjects by a handful of keys.
+        """
+        wanted = nodes.select(variable).distinct()
+        return stored(every(wanted, *found), "middle")
+
     def path(self, first: str, second: str, subject: str, obj: str) -> DataFrame:
-        return every(self.p(first, subject, "_mid"), self.p(second, "_mid", obj)).select(subject, obj)
+        links = self.p(first, subject, "_mid")
+        return every(links, self.about(links, "_mid", self.p(second, "_mid", obj))).select(subject, obj)
 
     # ---- market ----------------------------------------------------------------
 
@@ -122,14 +136,15 @@ class Graph:
         ).orderBy("code")
 
     def count_by_sector(self, cls: str) -> DataFrame:
-        members = every(
-            self.a(cls, "member"), self.p("onto:belongsToSector", "member", "uri"), self.p(LABEL, "uri", "sector")
-        )
-        return members.groupBy("sector").agg(F.count("member").alias("count")).orderBy(F.col("count").desc(), "sector")
+        # count by the sector's node before its label is looked up
+        members = every(self.a(cls, "member"), self.p("onto:belongsToSector", "member", "uri"))
+        counts = every(members.groupBy("uri").agg(F.count("member").alias("_n")), self.p(LABEL, "uri", "sector"))
+        return counts.groupBy("sector").agg(F.sum("_n").alias("count")).orderBy(F.col("count").desc(), "sector")
 
     def companies_by_sector(self, part_of_label: str) -> DataFrame:
         sectors = self.p(LABEL, "sector", "sectorLabel").filter(F.lower("sectorLabel").contains(part_of_label.lower()))
-        companies = every(self.a("onto:Company", "company"), self.p("onto:belongsToSector", "company", "sector"), sectors)
+        links = self.p("onto:belongsToSector", "company", "sector")
+        companies = every(self.a("onto:Company", "company"), every(links, self.about(links, "sector", sectors)))
         # two separate optionals: the second one binds on the stock found by the first
         found = optional(companies, self.p(LABEL, "company", "name"), self.p("onto:hasStock", "company", "stock"))
         caps = self.p("onto:marketCap", "stock", "marketCap")
@@ -142,13 +157,13 @@ class Graph:
     # ---- exchange rates --------------------------------------------------------
 
     def exchange_rates(self) -> DataFrame:
+        targets = self.p("onto:toCurrency", "fx", "to_uri")
+        named = self.about(targets, "to_uri", self.p("skos:notation", "to_uri", "to_currency"), self.p(LABEL, "to_uri", "to_label"))
         return every(
             self.a("onto:ExchangeRate", "fx"),
             self.p("onto:rate", "fx", "rate"),
             self.path("onto:fromCurrency", "skos:notation", "fx", "from_currency"),
-            self.p("onto:toCurrency", "fx", "to_uri"),
-            self.p("skos:notation", "to_uri", "to_currency"),
-            self.p(LABEL, "to_uri", "to_label"),
+            every(targets, named),
         ).select("fx", "from_currency", "to_currency", "rate", "to_label").orderBy("to_currency", "fx")
 
     def exchange_rates_from(self, base: str, limit: int = 50) -> DataFrame:
@@ -214,12 +229,12 @@ class Graph:
         return optional(found, channels).orderBy(number("amount_eur").desc(), "tx")
 
     def transactions_with_fx(self, limit: int | None = 20) -> DataFrame:
+        links = self.p("onto:hasCurrency", "tx", "curr_uri")
         base = every(
             self.a("onto:Transaction", "tx"),
             self.p("onto:amount", "tx", "original_amount"),
             self.p("onto:amountEUR", "tx", "amount_eur"),
-            self.p("onto:hasCurrency", "tx", "curr_uri"),
-            self.p("skos:notation", "curr_uri", "currency"),
+            every(links, self.about(links, "curr_uri", self.p("skos:notation", "curr_uri", "currency"))),
         )
         if limit is not None:
             # every payment keeps at least one row, so the first rows come from the first payments
@@ -281,7 +296,7 @@ class Graph:
         base = self.a("onto:Transaction", "tx")
         statuses, amounts = self.p("onto:status", "tx", "status"), self.p("onto:amount", "tx", "amount")
         base = every(base, statuses.filter(F.col("status") == status)) if status else optional(base, statuses)
-        base = every(base, amounts.filter(number("amount") > min_amount)) if min_amount else optional(base, amounts)
+        base = every(base, amounts.filter(number("amount") > min_amount)) if min_amount is not None else optional(base, amounts)
         found = optional(
             base,
             self.p("onto:transactionId", "tx", "txId"),
@@ -293,16 +308,15 @@ class Graph:
     # ---- any entity ------------------------------------------------------------
 
     def describe(self, iri: str) -> DataFrame:
-        """Triples about ``iri``, and about the blank nodes it leads to."""
-        known = self.triples.filter(F.col("s") == iri).select("s", "p", "o")
-        frontier = known
+        """Triples about ``iri``, and about the blank nodes it leads to; each round is stored."""
+        rounds = Rounds(self.triples.sparkSession, "described")
+        frontier = rounds.add(self.triples.filter(F.col("s") == iri).select("s", "p", "o"))
         while True:
             blanks = frontier.filter(F.col("o").startswith("_:")).select(F.col("o").alias("s")).distinct()
-            blanks = blanks.join(known.select("s"), "s", "left_anti")
-            if blanks.isEmpty():
-                return known
-            frontier = self.triples.join(blanks, "s", "left_semi").select("s", "p", "o")
-            known = known.unionByName(frontier)
+            blanks = blanks.join(rounds.known().select("s"), "s", "left_anti")
+            frontier = rounds.add(self.triples.join(blanks, "s", "left_semi").select("s", "p", "o"))
+            if frontier.isEmpty():
+                return rounds.known()
 
     def construct_simple_stocks(self) -> DataFrame:
         found = every(
@@ -349,7 +363,7 @@ class Graph:
 
     def skos_related(self) -> DataFrame:
         def named(link, variable):
-            return every(self.p(link, "concept", "_n"), self.p("skos:prefLabel", "_n", variable)).select("concept", variable)
+            return self.path(link, "skos:prefLabel", "concept", variable)
 
         concepts = every(self.a("skos:Concept", "concept"), self.p("skos:prefLabel", "concept", "label", keep_lang=True))
         concepts = concepts.filter(english("label")).drop("label_lang")
@@ -359,12 +373,12 @@ class Graph:
 
     def skos_hierarchy(self) -> DataFrame:
         concepts = every(self.a("skos:Concept", "concept"), self.p("skos:prefLabel", "concept", "prefLabel", keep_lang=True))
-        broader = every(self.p("skos:broader", "concept", "_b"), self.p("skos:prefLabel", "_b", "broaderLabel"))
+        broader = self.path("skos:broader", "skos:prefLabel", "concept", "broaderLabel")
         narrower = (
             self.p("skos:broader", "_child", "concept").groupBy("concept").agg(F.count("_child").alias("narrowerCount"))
         )
         found = optional(
-            concepts.filter(english("prefLabel")).drop("prefLabel_lang"), broader.select("concept", "broaderLabel"), narrower
+            concepts.filter(english("prefLabel")).drop("prefLabel_lang"), broader, narrower
         )
         return found.orderBy("broaderLabel", "prefLabel")
 

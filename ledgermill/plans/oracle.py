@@ -32,7 +32,9 @@ def assemble(sql: str) -> str:
     visit(sql, ())
     if not ordered:
         return sql
-    ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered)
+    # the sets of triples are unions of many scans: evaluate them once
+    kept = {"quads", "tset"}
+    ctes = ",\n".join(f"{n} AS {'MATERIALIZED ' if n in kept else ''}({VIEWS[n]})" for n in ordered)
     body = sql.strip()
     if re.match(r"(?i)with\s+recursive\s", body):
         return f"WITH RECURSIVE {ctes},\n{body[body.lower().index('recursive') + 9:]}"

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.plans.inputs import Inputs, derive
+from ledgermill.plans.inputs import GIVEN, Inputs, derive
 from ledgermill.plans.oracle import VIEWS, view
 from ledgermill.session import stored
 
@@ -234,17 +234,35 @@ def quads(inputs: Inputs) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).filter(F.col("o").isNotNull())
 
 
-_stores: dict[tuple[str, str], DataFrame] = {}
+_stores: dict[tuple[str, str, int], DataFrame] = {}
+
+
+def forget() -> None:
+    """Stores are built anew from now on."""
+    _stores.clear()
+
+
+def _state(inputs: Inputs) -> int:
+    """Changes when a file behind the statements is added, rewritten or taken away; one listing per table."""
+    context = inputs.spark.sparkContext
+    found = []
+    for name in GIVEN:
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{inputs.folder}/{name}.parquet")
+        system = path.getFileSystem(context._jsc.hadoopConfiguration())
+        if system.exists(path):
+            found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in system.listStatus(path)]
+    return hash(tuple(sorted(found)))
 
 
 def _store(inputs: Inputs) -> DataFrame:
     """Distinct triples with one membership flag per graph, one folder per predicate.
 
-    Stored once per session and data folder. A triple pattern with a known predicate
+    Stored once per session and state of the data folder: files that were added or rewritten
+    give a new store. A triple pattern with a known predicate
     reads that folder only, and both the union of all graphs and each single graph
     are sets without a further shuffle.
     """
-    key = (inputs.spark.sparkContext.applicationId, inputs.folder)
+    key = (inputs.spark.sparkContext.applicationId, inputs.folder, _state(inputs))
     if key not in _stores:
         flags = [F.max(F.col("graph") == g).alias(f"in_{g}") for g in GRAPHS]
         triples = quads(inputs).groupBy(*COLUMNS).agg(*flags)

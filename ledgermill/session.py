@@ -38,9 +38,10 @@ def scratch_root(spark: SparkSession) -> str:
     its own; on a cluster a machine-local folder would be lost with its node.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if configured:
+        _refuse_temporary(configured, context.master)
         return configured.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId
@@ -49,6 +50,16 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_scratch[app]
 
 
+def _refuse_temporary(folder: str, master: str) -> None:
+    """A machine's own temporary folder cannot be shared; a mounted folder with a ``file:`` path can.
+
+    Masters that run on one machine (``local``, ``local-cluster``) share even that.
+    """
+    path = folder.removeprefix("file:").replace("//", "/")
+    if not master.startswith("local") and path.startswith(("/tmp/", "/var/tmp/", tempfile.gettempdir() + "/")):
+        raise RuntimeError(f"spark.checkpoint.dir must be a folder every executor can reach, not {folder}")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/ledgermill/{label}-{uuid.uuid4().hex}"
 

@@ -15,12 +15,12 @@ def _once(parsed: Column, name: str) -> Column:
 
 
 _META = (
-    "previousClose double, currency string, exchangeName string, longName string, shortName string, marketCap bigint, "
-    "fiftyTwoWeekHigh double, fiftyTwoWeekLow double, regularMarketDayHigh double, regularMarketDayLow double, marketState string"
+    "symbol:string, previousClose:double, currency:string, exchangeName:string, longName:string, shortName:string, marketCap:bigint, "
+    "fiftyTwoWeekHigh:double, fiftyTwoWeekLow:double"
 )
 CHART_SCHEMA = (
-    f"chart struct<result array<struct<meta struct<{_META.replace(' ', ':').replace(',:', ',')}>,"
-    "indicators struct<quote array<struct<close array<double>,volume array<bigint>>>>>>>"
+    f"chart struct<result:array<struct<meta:struct<{_META}>,"
+    "indicators:struct<quote:array<struct<close:array<double>,volume:array<bigint>>>>>>>"
 )
 
 
@@ -55,7 +55,7 @@ def parse_chart_quotes(raw: DataFrame, document: str = "raw", interval: str = "1
     percent = F.when(usable, F.try_divide(change, F.col("_previous")) * 100).otherwise(0.0)
     return docs.select(
         *kept,
-        F.coalesce("_meta.longName", "_meta.shortName").alias("company_name"),
+        F.coalesce("_meta.longName", "_meta.shortName", "_meta.symbol").alias("company_name"),
         F.coalesce("_meta.exchangeName", F.lit("Unknown")).alias("exchange"),
         F.coalesce("_meta.currency", F.lit("USD")).alias("currency"),
         F.round("_last", digits).alias("current_price"),
@@ -64,6 +64,8 @@ def parse_chart_quotes(raw: DataFrame, document: str = "raw", interval: str = "1
         F.round(percent, digits).alias("change_percent"),
         F.coalesce(F.try_element_at("_volumes", F.lit(-1)), F.lit(0)).alias("volume"),
         F.col("_meta.marketCap").alias("market_cap"),
+        F.col("_meta.fiftyTwoWeekHigh").alias("fifty_two_week_high"),
+        F.col("_meta.fiftyTwoWeekLow").alias("fifty_two_week_low"),
     )
 
 

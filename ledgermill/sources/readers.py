@@ -96,11 +96,16 @@ def read_jdbc(spark: SparkSession, url: str, table: str, driver: str, partition:
     return reader.load()
 
 
-def read_incremental(df: DataFrame, key: str, last, limit: int) -> tuple[DataFrame, object]:
-    """Next ``limit`` rows above the high-water mark, and the new mark (the old one when nothing is new)."""
-    batch = df.filter(F.col(key) > F.lit(last)).orderBy(key).limit(limit)
-    newest = batch.agg(F.max(key)).first()[0]
-    return batch, last if newest is None else newest
+def read_incremental(df: DataFrame, key: str, last, limit: int | None = None) -> tuple[DataFrame, object]:
+    """Rows above the high-water mark, and the new mark (the old one when nothing is new).
+
+    Without a limit everything new is one poll, read without a sort. ``limit`` is the size of a poll: it ends with the
+    key of the row at that place, and all rows of that key belong to it, so equal keys are never torn apart. The rows
+    are cut at the mark, so rows that arrive between the two reads wait for the next poll.
+    """
+    fresh = df.filter(F.col(key) > F.lit(last))
+    newest = (fresh if limit is None else fresh.select(key).orderBy(key).limit(limit)).agg(F.max(key)).first()[0]
+    return fresh.filter(F.col(key) <= F.lit(newest)), last if newest is None else newest
 
 
 def read_kafka_stream(spark: SparkSession, servers: str, topics: str, starting: str = "latest", **options: str) -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,15 @@ from ledgermill.sources import raw
 Handler = Callable[[DataFrame], DataFrame]
 
 
+@dataclass(frozen=True)
+class Route:
+    """How the messages of a topic become rows: their JSON schema, the projection, and a key that is unique over all batches."""
+
+    schema: str
+    rows: Handler
+    key: str | None = None
+
+
 def table_stream(spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
     """A parquet table of a data folder as a stream of its files."""
     schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
@@ -108,19 +119,22 @@ def for_each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None],
 
 
 class Dispatcher:
-    """Routes a message stream by topic to registered frame-to-frame handlers, each with its own table.
+    """Routes a message stream by topic to registered routes, each with its own table.
 
     A batch is written once per route from one cached copy. Part folders are named by
     batch id and overwritten, so a batch replayed after a failure does not add rows twice.
+    A malformed message goes to the table ``dead`` and counts as an error of its topic; a
+    message of an unknown topic, or of none, goes to ``other``. So each message is found in one table,
+    except that a route with a key keeps the first row of each key over all batches.
     """
 
     def __init__(self, root: str, default: Handler | None = None):
         self.root = root
-        self.handlers: dict[str, Handler] = {}
+        self.routes: dict[str, Route] = {}
         self.default = default
 
-    def on(self, topic: str, handler: Handler) -> Dispatcher:
-        self.handlers[topic] = handler
+    def on(self, topic: str, route: Route) -> Dispatcher:
+        self.routes[topic] = route
         return self
 
     def table(self, topic: str) -> str:
@@ -129,17 +143,34 @@ class Dispatcher:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            for topic, handler in self.handlers.items():
-                rows = handler(batch.filter(F.col("topic") == topic).select("key", "value"))
+            dead = []
+            for topic, route in self.routes.items():
+                parsed = raw.parse_messages(batch.filter(F.col("topic") == topic).select("key", "value"), route.schema)
+                rows = self._new(topic, route, route.rows(raw.good(parsed)), batch_id)
                 rows.write.mode("overwrite").parquet(f"{self.table(topic)}/batch={batch_id}")
+                dead.append(raw.dead_letters(parsed).withColumn("topic", F.lit(topic)))
+            letters = reduce(DataFrame.unionByName, dead) if dead else batch.filter("false").select("topic", F.col("value").alias("message"))
+            letters.write.mode("overwrite").parquet(f"{self.table('dead')}/batch={batch_id}")
             if self.default is not None:
-                rest = batch.filter(~F.col("topic").isin(*self.handlers))
-                self.default(rest).write.mode("overwrite").parquet(f"{self.table('other')}/batch={batch_id}")
-            counts = batch.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"))
+                known = F.coalesce(F.col("topic").isin(*self.routes), F.lit(False))
+                self.default(batch.filter(~known)).write.mode("overwrite").parquet(f"{self.table('other')}/batch={batch_id}")
+            errors = batch.sparkSession.read.parquet(f"{self.table('dead')}/batch={batch_id}").groupBy("topic").agg(F.count(F.lit(1)).alias("errors"))
+            counts = batch.groupBy("topic").agg(F.count(F.lit(1)).alias("messages")).join(errors, "topic", "left")
+            counts = counts.withColumn("errors", F.coalesce("errors", F.lit(0)))
             counts.write.mode("overwrite").parquet(f"{self.table('counts')}/batch={batch_id}")
         finally:
             batch.unpersist()
 
+    def _new(self, topic: str, route: Route, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Rows whose key came neither in an earlier batch nor earlier in this one; without a key value a row always counts."""
+        if route.key is None:
+            return rows
+        once = rows.filter(F.col(route.key).isNotNull()).dropDuplicates([route.key])
+        if batch_id > 0:
+            earlier = rows.sparkSession.read.parquet(self.table(topic)).filter(F.col("batch") < batch_id)
+            once = once.join(earlier.select(route.key), route.key, "left_anti")
+        return once.unionByName(rows.filter(F.col(route.key).isNull()))
+
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         return spark.read.parquet(self.table(topic)).drop("batch")
 
@@ -158,26 +189,49 @@ def fan_out(outputs: dict[str, Handler], root: str) -> Callable[[DataFrame, int]
     return write
 
 
-def stock_route(messages: DataFrame) -> DataFrame:
-    """Quote rows of the stream table; missing provenance counts as live market data."""
-    rows = raw.good(raw.parse_messages(messages, f"{raw.STOCK_SCHEMA}, market_state string, _real_data boolean"))
+def _moment():
+    """The message's own time, else now."""
+    return F.coalesce("timestamp", F.current_timestamp().cast("string")).alias("timestamp")
+
+
+def _stock_rows(rows: DataFrame) -> DataFrame:
+    """Missing provenance counts as live market data."""
     return rows.select(
         "symbol", F.col("current_price").alias("price"), "previous_close", "change", "change_percent", "volume", "currency",
         "exchange", "market_state", F.coalesce("_source", F.lit("kafka")).alias("source"),
-        F.coalesce("_real_data", F.lit(True)).alias("is_real_data"),
-        F.coalesce("timestamp", F.current_timestamp().cast("string")).alias("timestamp"),
+        F.coalesce("_real_data", F.lit(True)).alias("is_real_data"), _moment(),
     )
 
 
-def transaction_route(messages: DataFrame) -> DataFrame:
-    """Payment rows of the stream table, once per transaction id; provenance defaults to simulated."""
-    schema = f"{raw.TRANSACTION_SCHEMA}, sender_id string, receiver_id string, _source string, _real_data boolean"
-    rows = raw.good(raw.parse_messages(messages, schema))
+def _transaction_rows(rows: DataFrame) -> DataFrame:
+    """Missing provenance counts as simulated."""
     return rows.select(
         "transaction_id", "amount", "currency", "transaction_type", "status", "sender_id", "receiver_id",
-        F.coalesce("_source", F.lit("kafka")).alias("source"), F.coalesce("_real_data", F.lit(False)).alias("is_real_data"),
-        F.coalesce("timestamp", F.current_timestamp().cast("string")).alias("timestamp"),
-    ).dropDuplicates(["transaction_id"])
+        F.coalesce("_source", F.lit("kafka")).alias("source"), F.coalesce("_real_data", F.lit(False)).alias("is_real_data"), _moment(),
+    )
+
+
+def _anomaly_rows(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("type").alias("anomaly_type"), "symbol", "value", "severity", "message", "z_score", F.col("mean").alias("mean_value"),
+        "threshold", "detection_method", _moment(),
+    )
+
+
+def _forex_rows(rows: DataFrame) -> DataFrame:
+    return rows.select("base_currency", "target_currency", "rate", "reference_date", F.coalesce("_source", F.lit("kafka")).alias("source"), _moment())
+
+
+stock_route = Route(f"{raw.STOCK_SCHEMA}, market_state string, _real_data boolean", _stock_rows)
+transaction_route = Route(
+    f"{raw.TRANSACTION_SCHEMA}, sender_id string, receiver_id string, _source string, _real_data boolean", _transaction_rows, "transaction_id"
+)
+anomaly_route = Route(
+    "type string, symbol string, value double, severity string, message string, z_score double, mean double, threshold double, "
+    "detection_method string, timestamp string",
+    _anomaly_rows,
+)
+forex_route = Route("base_currency string, target_currency string, rate double, reference_date string, _source string, timestamp string", _forex_rows)
 
 
 def drain(stream: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
@@ -192,7 +246,3 @@ def drain(stream: DataFrame, label: str, checkpoint: str | None = None, path: st
 def drain_batches(stream: DataFrame, action: Callable[[DataFrame, int], None], label: str) -> None:
     for_each_batch(stream, action, scratch_path(stream.sparkSession, f"{label}-checkpoint"), available_now=True).awaitTermination()
 
-
-def await_any(spark: SparkSession) -> None:
-    """Wait until one of the session's streams ends, whichever it is."""
-    spark.streams.awaitAnyTermination()

@@ -1,107 +1,106 @@
-"""Detectors and cooldown with per-key state, for unbounded streams.
+"""Detectors and cooldown over unbounded streams, as the batch operators on micro-batches.
 
-Rows of a key are ordered by time inside a micro-batch; across batches they count in
-order of arrival. State is a bounded history (or one moment), and a micro-batch is
-bounded by the trigger options of its source.
+Each runs in ``foreachBatch``: what later batches need of earlier ones (the last rows of each key, or the moment a
+rule is free again) is a small table in a folder named by the batch id. A batch reads its predecessor's table, so a
+replayed batch gives the same rows and overwrites its own folders. The frames come from ``bounded_frames``, which splits
+a hot key over tasks. Across batches rows count in order of arrival, inside a batch by time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import timedelta
+from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_QUOTE_OUT = (
-    "symbol string, event_id long, type string, value double, severity string, z_score double, mean double, stdev double, "
-    "average_volume long, ratio double, detection_method string, ts timestamp"
-)
-_TX_OUT = "key string, tx_key long, value double, mean double, threshold double, severity string, ts timestamp"
-
-
-def _ordered(batches: Iterator[pd.DataFrame], *by: str) -> pd.DataFrame:
-    return pd.concat(list(batches), ignore_index=True).sort_values(list(by), kind="stable")
-
-
-def price_and_volume_anomalies(
-    quotes: DataFrame, window: int = 50, minimum: int = 10, limit: float = 2.5, times: float = 3.0
-) -> DataFrame:
-    """Stream of price and volume anomalies against the previous ``window`` quotes of the symbol."""
-
-    def detect(key, batches, state):
-        prices, volumes = (list(x) for x in state.get) if state.exists else ([], [])
-        rows = _ordered(batches, "ts", "event_id")
-        out = []
-        for event_id, price, volume, ts in zip(rows["event_id"], rows["current_price"], rows["volume"], rows["ts"]):
-            if len(prices) >= minimum:
-                mean, stdev = float(np.mean(prices)), float(np.std(prices, ddof=1))
-                z = (price - mean) / stdev if stdev > 0 else 0.0
-                if abs(z) > limit:
-                    out.append((key[0], event_id, "PRICE_SPIKE", price, "HIGH" if abs(z) > 3.5 else "MEDIUM",
-                                z, mean, stdev, None, None, "z-score", ts))
-                average = float(np.mean(volumes))
-                if average > 0 and volume > average * times:
-                    out.append((key[0], event_id, "VOLUME_SPIKE", float(volume), "MEDIUM", None, None, None,
-                                int(average), volume / average, "threshold", ts))
-            prices, volumes = [*prices[1 - window:], float(price)], [*volumes[1 - window:], int(volume)]
-        state.update((prices, volumes))
-        if out:
-            frame = pd.DataFrame(out, columns=[c.split()[0] for c in _QUOTE_OUT.split(", ")])
-            frame["average_volume"] = frame["average_volume"].astype("Int64")
-            yield frame
-
-    slim = quotes.select("symbol", "event_id", "current_price", "volume", F.col("ts").cast("timestamp").alias("ts"))
-    return slim.groupBy("symbol").applyInPandasWithState(
-        detect, _QUOTE_OUT, "prices array<double>, volumes array<long>", "append", "NoTimeout"
-    )
-
-
-def transaction_anomalies(
-    transactions: DataFrame, key: str, window: int = 200, minimum: int = 20, sigmas: float = 3.0, limit: float = 10000.0
-) -> DataFrame:
-    """Stream of large payments against the last ``window`` payments of the key, the current one included."""
-
-    def detect(group, batches, state):
-        recent = list(state.get[0]) if state.exists else []
-        rows = _ordered(batches, "ts", "tx_key")
-        out = []
-        for tx_key, amount, ts in zip(rows["tx_key"], rows["amount"], rows["ts"]):
-            recent = [*recent[1 - window:], float(amount)]
-            if len(recent) < minimum:
-                continue
-            mean, stdev = float(np.mean(recent)), float(np.std(recent, ddof=1))
-            if amount > mean + sigmas * stdev or amount > limit:
-                out.append((group[0], tx_key, amount, mean, mean + sigmas * stdev, "HIGH" if amount > 25000 else "MEDIUM", ts))
-        state.update((recent,))
-        if out:
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in _TX_OUT.split(", ")])
-
-    slim = transactions.select(
-        F.col(key).cast("string").alias("key"), "tx_key", "amount", F.col("created_at").cast("timestamp").alias("ts")
-    )
-    return slim.groupBy("key").applyInPandasWithState(detect, _TX_OUT, "recent array<double>", "append", "NoTimeout")
-
-
-def cooled_alerts(hits: DataFrame, minutes: int = 5) -> DataFrame:
-    """Rule hits ``(rule, point_id, ts)`` that fire; state is the moment the rule may fire again."""
-    wait = timedelta(minutes=minutes)
-
-    def fire(key, batches, state):
-        until = pd.Timestamp(state.get[0]) if state.exists else pd.Timestamp.min
-        rows = _ordered(batches, "ts", "point_id")
-        out = []
-        for point_id, ts in zip(rows["point_id"], rows["ts"]):
-            if ts >= until:
-                out.append((key[0], point_id, ts))
-                until = ts + wait
-        if out:
-            state.update((until.to_pydatetime(),))
-            yield pd.DataFrame(out, columns=["rule", "point_id", "ts"])
-
-    slim = hits.select("rule", "point_id", F.col("ts").cast("timestamp").alias("ts"))
-    return slim.groupBy("rule").applyInPandasWithState(
-        fire, "rule string, point_id string, ts timestamp", "until timestamp", "append", "NoTimeout"
-    )
+from ledgermill.operators import anomaly
+from ledgermill.operators.cooldown import cooldown
+
+
+class _Folders:
+    """Results and carried rows of the micro-batches under one root."""
+
+    def __init__(self, root: str):
+        self.root = root
+
+    def carried(self, spark: SparkSession, batch_id: int, schema: str) -> DataFrame:
+        """What the batch before ``batch_id`` left; nothing before the first."""
+        if batch_id == 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{self.root}/carried/{batch_id - 1}")
+
+    def write(self, batch_id: int, out: DataFrame, carry: DataFrame) -> None:
+        out.write.mode("overwrite").parquet(f"{self.root}/out/batch={batch_id}")
+        carry.write.mode("overwrite").parquet(f"{self.root}/carried/{batch_id}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.root}/out").drop("batch")
+
+
+class RollingDetector(_Folders):
+    """Runs ``detect(rows, order)`` on each batch together with the last ``window`` rows of every key seen before.
+
+    ``detect`` must give the hits of all rows it is handed, with the columns ``order``; those of carried rows are
+    left out again, since they were reported in their own batch.
+    """
+
+    def __init__(self, root: str, key: str, order: list[str], window: int, detect: Callable[[DataFrame, list[str]], DataFrame]):
+        super().__init__(root)
+        self.key, self.order, self.window, self.detect = key, order, window, detect
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = batch.withColumn("_arrival", F.lit(batch_id).cast("long"))
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
+        rows = new.unionByName(self.carried(spark, batch_id, schema)).persist()
+        try:
+            order = ["_arrival", *self.order]
+            hits = self.detect(rows, order).filter(F.col("_arrival") == batch_id).drop("_arrival")
+            # only the first rows of each key leave a task, and the carried rows stay a window per key
+            latest = Window.partitionBy(self.key).orderBy(*[F.col(c).desc() for c in order])
+            tail = rows.withColumn("_at", F.row_number().over(latest)).filter(F.col("_at") <= self.window).drop("_at")
+            self.write(batch_id, hits, tail)
+        finally:
+            rows.unpersist()
+
+
+def price_and_volume_anomalies(root: str, window: int = 50, minimum: int = 10, limit: float = 2.5, times: float = 3.0) -> RollingDetector:
+    """Price and volume anomalies against the previous ``window`` quotes of the symbol."""
+
+    def detect(rows: DataFrame, order: list[str]) -> DataFrame:
+        stats = anomaly.quote_statistics(rows, window, order=order)
+        prices = anomaly.price_zscore(stats, minimum, limit, keep=("_arrival",))
+        volumes = anomaly.volume_spike(stats, minimum, times, keep=("_arrival",))
+        return prices.unionByName(volumes, allowMissingColumns=True)
+
+    return RollingDetector(root, "symbol", ["ts", "event_id"], window, detect)
+
+
+def transaction_anomalies(root: str, key: str, window: int = 200, minimum: int = 20, sigmas: float = 3.0, limit: float = 10000.0) -> RollingDetector:
+    """Large payments against the last ``window`` payments of the key, the current one included."""
+
+    def detect(rows: DataFrame, order: list[str]) -> DataFrame:
+        return anomaly.large_transactions(rows, window, minimum, sigmas, limit, [key], order, keep=("_arrival", key))
+
+    return RollingDetector(root, key, ["created_at", "tx_key"], window, detect)
+
+
+class CooledAlerts(_Folders):
+    """Rule hits ``(rule, point_id, ts)`` that fire; carried is the moment each rule may fire again."""
+
+    def __init__(self, root: str, minutes: int = 5):
+        super().__init__(root)
+        self.minutes = minutes
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        hits = batch.select("rule", "point_id", "ts")
+        schema = f"rule string, free {hits.schema['ts'].dataType.simpleString()}"
+        free = self.carried(batch.sparkSession, batch_id, schema)  # one row per rule
+        ready = hits.join(free, "rule", "left").filter(F.col("free").isNull() | (F.col("ts") >= F.col("free"))).drop("free")
+        fired = cooldown(ready, self.minutes, tie=["point_id"]).persist()
+        try:
+            wait = F.expr(f"interval {self.minutes} minutes")
+            moments = fired.select("rule", (F.col("ts") + wait).alias("free")).unionByName(free)
+            self.write(batch_id, fired, moments.groupBy("rule").agg(F.max("free").alias("free")))
+        finally:
+            fired.unpersist()

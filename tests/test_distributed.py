@@ -6,6 +6,7 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators import cooldown as cooling
@@ -159,3 +160,17 @@ def test_name_matching_equals_all_pairs(spark):
         if i != j and a and b and (a.lower() in b.lower() or b.lower() in a.lower())
     )
     assert got == want
+
+
+def test_first_pairs_of_many_equal_names(spark):
+    rows = spark.range(10_000).selectExpr("concat('a', lpad(cast(id as string), 5, '0')) as id", "'Same Name' as name")
+    rows = rows.unionByName(spark.createDataFrame([("b", "same"), ("c", "other"), ("d", "")], "id string, name string"))
+    got = [(r.id1, r.id2) for r in name_match_pairs(rows, first=30).collect()]
+    assert got == [("a00000", f"a{i:05d}") for i in range(1, 31)]
+
+
+def test_frames_with_nearly_all_rows_in_one_key(spark):
+    df = spark.range(20_000).selectExpr("if(id % 100 = 0, 'rare', 'hot') as key", "id", "cast(id % 7 as double) as v")
+    out = bounded_frames(df, ["key"], ["id"], 10, lambda w: {"s": F.sum("v").over(w)}, True, chunk_rows=500)
+    plain = df.withColumn("t", F.sum("v").over(Window.partitionBy("key").orderBy("id").rowsBetween(-10, 0)))
+    assert out.join(plain, "id").where("s <> t").isEmpty() and out.count() == 20_000

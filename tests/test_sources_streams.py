@@ -1,11 +1,13 @@
 """Raw documents, readers and streams on literal rows."""
 
 import json
+import random
 from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from ledgermill.operators import anomaly
 from ledgermill.session import scratch_path, scratch_root
 from ledgermill.sources import raw, readers, writers
 from ledgermill.streaming import flows, stateful
@@ -121,15 +123,33 @@ def test_late_rows_are_dropped_and_counted(spark):
 
 
 def test_state_carries_over_batches(spark):
-    source, checkpoint, sink = (scratch_path(spark, n) for n in ("hits", "ck", "out"))
+    source, checkpoint, root = (scratch_path(spark, n) for n in ("hits", "ck", "out"))
+    alerts = stateful.CooledAlerts(root)
     schema = "rule string, point_id string, ts timestamp"
     minutes = [[0, 4, 5], [6, 9, 10, 11], [16]]
     for batch in minutes:
         rows = [("r", str(m), T0 + timedelta(minutes=m)) for m in batch]
         spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        flows.to_parquet(stateful.cooled_alerts(stream), sink, checkpoint, available_now=True).awaitTermination()
-    assert sorted(int(r.point_id) for r in spark.read.parquet(sink).collect()) == [0, 5, 10, 16]
+        flows.for_each_batch(stream, alerts, checkpoint, available_now=True).awaitTermination()
+    assert sorted(int(r.point_id) for r in alerts.read(spark).collect()) == [0, 5, 10, 16]
+    # a replayed batch gives its rows again, in place of the old ones
+    last = [("r", str(m), T0 + timedelta(minutes=m)) for m in minutes[-1]]
+    alerts(spark.createDataFrame(last, schema), 2)
+    assert sorted(int(r.point_id) for r in alerts.read(spark).collect()) == [0, 5, 10, 16]
+
+
+def test_detector_state_equals_one_frame_over_everything(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("aaab"), rng.gauss(100, 1) + (60 if i % 37 == 0 else 0), 100, T0 + timedelta(seconds=i // 2)) for i in range(400)]
+    schema = "event_id long, symbol string, current_price double, volume long, ts timestamp"
+    whole = spark.createDataFrame(rows, schema)
+    want = {r.event_id: r.z_score for r in anomaly.price_zscore(anomaly.quote_statistics(whole)).collect()}
+    detector = stateful.price_and_volume_anomalies(scratch_path(spark, "detector"))
+    for batch_id, (low, high) in enumerate([(0, 90), (90, 92), (92, 300), (300, 400)]):
+        detector(whole.filter(f"event_id >= {low} and event_id < {high}"), batch_id)
+    got = {r.event_id: r.z_score for r in detector.read(spark).collect()}
+    assert got == want and len(want) > 5
 
 
 def test_dispatch_replay_adds_nothing(spark):
@@ -149,6 +169,22 @@ def test_dispatch_replay_adds_nothing(spark):
     assert [r.topic for r in sinks.read(spark, "other").collect()] == ["forex"]
 
 
+def test_dispatch_loses_nothing(spark):
+    sinks = flows.Dispatcher(scratch_path(spark, "routes"), default=lambda rest: rest.select("topic", "value"))
+    sinks.on("tx", flows.transaction_route)
+    schema = "topic string, key string, value string"
+    first = [("tx", "k", '{"transaction_id":"a","amount":1}'), ("tx", "k", "{oops"), (None, "k", "lost"), ("tx", "k", '{"amount":7}')]
+    second = [("tx", "k", '{"transaction_id":"a","amount":2}'), ("tx", "k", '{"transaction_id":"b","amount":3}'), ("tx", "k", '{"amount":8}')]
+    for batch_id, rows in enumerate([first, second, second]):
+        sinks(spark.createDataFrame(rows, schema), min(batch_id, 1))
+    got = sorted((r.transaction_id or "", r.amount) for r in sinks.read(spark, "tx").collect())
+    assert got == [("", 7.0), ("", 8.0), ("a", 1.0), ("b", 3.0)]
+    assert [r.message for r in sinks.read(spark, "dead").collect()] == ["{oops"]
+    assert [r.value for r in sinks.read(spark, "other").collect()] == ["lost"]
+    counts = {r.topic: (r.messages, r.errors) for r in sinks.read(spark, "counts").groupBy("topic").sum().toDF("topic", "messages", "errors").collect()}
+    assert counts == {"tx": (6, 1), None: (1, 0)}
+
+
 def test_memory_sink(spark):
     source = scratch_path(spark, "mem")
     spark.range(5).write.parquet(source)
@@ -163,6 +199,13 @@ def test_incremental_mark(spark):
     assert [r.id for r in batch.collect()] == [4, 5, 6, 7] and mark == 7
     batch, mark = readers.read_incremental(rows, "id", 9, 4)
     assert batch.count() == 0 and mark == 9
+    batch, mark = readers.read_incremental(rows, "id", 3)
+    assert batch.count() == 6 and mark == 9
+    equal = rows.selectExpr("id div 5 as k")
+    batch, mark = readers.read_incremental(equal, "k", -1, 2)
+    assert batch.count() == 5 and mark == 0
+    plan = readers.read_incremental(rows, "id", 3)[0]._jdf.queryExecution().toString()
+    assert "Limit" not in plan and "Sort" not in plan
 
 
 def test_build_reports_each_table(spark):
