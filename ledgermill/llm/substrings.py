@@ -29,8 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import shuffles_released, slim
-from ledgermill.session import stored
+from ledgermill.llm.common import Scratch, shuffles_released, slim
 
 THRESHOLD = 200
 SEGMENT = 1 << 22  # windows of a text looked at together
@@ -163,41 +162,47 @@ def _joined(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(first[new].tolist(), last[np.append(new[1:], len(first)) - 1].tolist(), strict=True))
 
 
-def _again(table: DataFrame) -> DataFrame:
-    """Rows whose name occurs more than once."""
+def _again(table: DataFrame, scratch: Scratch, label: str) -> DataFrame:
+    """Rows whose name occurs more than once; the names are stored, so that their shuffle is over before the join's."""
     names = table.groupBy("name").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("name")
-    return table.join(names, "name", "left_semi")
+    return table.join(scratch.put(names, f"substring-{label}-names"), "name", "left_semi")
 
 
 def _ranges(table: DataFrame) -> DataFrame:
     return table.groupBy("row").agg(F.collect_list("first").alias("firsts"), F.collect_list("last").alias("lasts"))
 
 
-def repeated_windows(texts: DataFrame, threshold: int = THRESHOLD, segment: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
+def repeated_windows(texts: DataFrame, scratch: Scratch, threshold: int = THRESHOLD, segment: int = SEGMENT) -> tuple[DataFrame, DataFrame]:
     """Texts that share a place with another (row, text), and their repeated windows as ranges (row, firsts, lasts).
 
     ``texts`` has a number ``row`` (equal only for equal documents) and ``text``; it is read twice.
     """
-    places = stored(_places(texts, threshold, segment), "substring-places")
-    again = _again(places).groupBy("row", "first").agg(F.max("last").alias("last"), F.max("name").alias("name"), F.count(F.lit(1)).alias("_times"))
+    places = scratch.put(_places(texts, threshold, segment), "substring-places")
+    again = _again(places, scratch, "place").groupBy("row", "first")
+    again = again.agg(F.max("last").alias("last"), F.max("name").alias("name"), F.count(F.lit(1)).alias("_times"))
     place = F.collect_list(F.struct("first", "last", "name"))
     again = again.groupBy("row").agg(place.alias("_places"), F.max("_times").alias("copies"))
-    again = again.select("row", "copies", *(F.col(f"_places.{c}").alias(f"{c}s") for c in ("first", "last", "name")))
+    again = scratch.put(again.select("row", "copies", *(F.col(f"_places.{c}").alias(f"{c}s") for c in ("first", "last", "name"))), "substring-again")
+    scratch.drop(places)
     # equal rows have one number: one of them goes on, with the number of its copies
-    marked = stored(texts.join(again, "row").dropDuplicates(["row"]), "substring-marked")
-    blocks = stored(_blocks(marked, threshold), "substring-blocks")
+    marked = scratch.put(texts.join(again, "row").dropDuplicates(["row"]), "substring-marked")
+    scratch.drop(again)
+    blocks = scratch.put(_blocks(marked, threshold), "substring-blocks")
     groups = blocks.groupBy("name", "block").agg(F.sum("copies").alias("_n"), F.min(F.struct("row", "first")).alias("_one"))
-    groups = stored(groups, "substring-groups")
+    groups = scratch.put(groups, "substring-groups")
     variants = groups.groupBy("name").agg(F.count(F.lit(1)).alias("_variants"))
     judged = blocks.join(groups.join(variants, "name"), ["name", "block"])
     partner = (F.col("row") == F.col("_one.row")) & (F.col("first") == F.col("_one.first"))
-    judged = stored(
+    judged = scratch.put(
         judged.select("row", "first", "last", (F.col("_n") > 1).alias("settled"), ((F.col("_variants") > 1) & ((F.col("_n") == 1) | partner)).alias("doubt")),
         "substring-judged",
     )
+    scratch.drop(blocks, groups)
     doubtful = marked.select("row", "text").join(_ranges(judged.where("doubt")), "row")
-    windows = stored(_windows(doubtful, threshold), "substring-windows")
-    found = _again(windows).select("row", F.col("at").alias("first"), F.col("at").alias("last"))
+    windows = scratch.put(_windows(doubtful, threshold), "substring-windows")
+    found = _again(windows, scratch, "window").select("row", F.col("at").alias("first"), F.col("at").alias("last"))
+    found = scratch.put(found, "substring-found")
+    scratch.drop(windows)
     return marked, _ranges(judged.where("settled").select("row", "first", "last").unionByName(found))
 
 
@@ -218,10 +223,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 out.append((row, sum(b + 1 - a for a, b in spans), [{"start": a, "end": b + 1} for a, b in spans], kept.hexdigest()))
             yield pd.DataFrame(out, columns=["row", "n_removed", "spans", "kept"])
 
+    scratch = Scratch(docs.sparkSession)
     with shuffles_released(docs.sparkSession):
-        marked, ranges = repeated_windows(source.select("row", "text"), threshold, segment)
+        marked, ranges = repeated_windows(source.select("row", "text"), scratch, threshold, segment)
         changed = marked.select("row", "text").join(ranges, "row")
-        changed = stored(changed.mapInPandas(cut, "row long, n_removed long, spans array<struct<start:int,end:int>>, kept string"), "substring-cut")
+        changed = scratch.put(changed.mapInPandas(cut, "row long, n_removed long, spans array<struct<start:int,end:int>>, kept string"), "substring-cut")
+        scratch.drop_all_but(changed)
     whole = source.select("doc_id", "row", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("_whole"))
     return whole.join(changed, "row", "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"),
