@@ -122,7 +122,8 @@ def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
 def _collided(source: DataFrame, facts: DataFrame, groups: DataFrame) -> DataFrame:
     """Digests under which the full bytes of some row differ from those of the row that stays."""
     several = groups.where("n > 1").select("digest", F.col("best.doc_id").alias("keep_id"))
-    members = facts.select("digest", "doc_id").join(several, "digest").distinct()
+    # dealt by digest and identifier, so a large group does not land in one task
+    members = facts.select("digest", "doc_id").distinct().join(several, "digest")
     texts = stored(_texts(source, members), "dedup-hits")
     keepers = texts.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("digest", F.col("norm").alias("kept_norm"))
     return stored(

@@ -4,8 +4,8 @@ Statistics of every whole text are counted in one pass. Small boosted trees over
 rules: each path from a root is a conjunction of thresholds. A logistic model with a lasso penalty gives most rules no
 weight; the rest become one Spark column expression, so scoring is code that Spark generates.
 
-The model is fitted on a bounded sample: at most ``max_rows`` labelled rows, the smallest by a hash of the identifier. The
-statistics are taken of all documents.
+The model is fitted on a bounded sample: at most ``max_rows`` labelled rows, the smallest by a hash of the identifier among about
+twice as many that a threshold on the hash admits. The statistics are taken of all documents.
 
 Defined results: null texts are empty, and empty texts get a score like all others. Without labels of both kinds the score
 is the smoothed share of label 1. Several labels of one document count as their largest. Other columns are ignored.
@@ -162,5 +162,8 @@ def train(measured: DataFrame, labels: DataFrame, learn_from: Column, label_col:
     """Fit on at most ``max_rows`` labelled rows of :func:`measure`; ``learn_from`` is a condition over ``doc_id``."""
     known = labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("double").alias("label"))
     known = known.where(learn_from & F.col("label").isNotNull()).groupBy("doc_id").agg(F.max("label").alias("label"))
+    # a threshold on the hash leaves about twice the sample before it is sorted and cut
+    place = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
+    known = known.where(place < 2.0 * max_rows / max(1, known.count()))
     rows = measured.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).toPandas()
     return fit(rows[list(STATISTICS)].to_numpy(dtype=float), rows["label"].to_numpy(dtype=float))

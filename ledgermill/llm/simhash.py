@@ -83,28 +83,23 @@ def _moves(radius: int) -> list[list[int]]:
     return [m for m in every if m >= [0, 0, 0, 0]]
 
 
-def _forest(a: np.ndarray, b: np.ndarray, radius: int) -> tuple[list[int], list[int]]:
-    """Edges that span every group which links within the radius form between the two tiles."""
-    nodes = np.concatenate([a, b])
-    parent = np.arange(len(nodes))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    us, vs = [], []
-    other = b.view(np.uint64)
-    for i, x in enumerate(a.view(np.uint64)):
-        near = np.flatnonzero(np.bitwise_count(other ^ x) <= radius)
-        for j in near.tolist():
-            p, q = root(i), root(len(a) + j)
-            if p != q and nodes[i] != nodes[len(a) + j]:
-                parent[p] = q
-                us.append(int(nodes[i]))
-                vs.append(int(nodes[len(a) + j]))
-    return us, vs
+def spanning_edges(nodes: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Edges that span every group which links within the radius form between two tiles.
+
+    ``left`` and ``right`` hold a fingerprint in each row, as one or more 64-bit columns; ``nodes`` names the rows of
+    both. A row takes one edge to each group it is near and not yet part of, so a dense group costs no more than a sparse one.
+    """
+    _, group = np.unique(nodes, return_inverse=True)
+    split, out = len(left), []
+    for i in range(split):
+        far = np.bitwise_count(right ^ left[i]).sum(axis=1) if right.shape[1] > 1 else np.bitwise_count(right[:, 0] ^ left[i, 0])
+        near = np.flatnonzero((far <= radius) & (group[split:] != group[i]))
+        if len(near):
+            near = near[np.argsort(far[near], kind="stable")]
+            others, first = np.unique(group[split + near], return_index=True)
+            out += [(int(nodes[i]), int(nodes[split + j])) for j in near[first]]
+            group[np.isin(group, others)] = group[i]
+    return out
 
 
 def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
@@ -127,12 +122,12 @@ def links(distinct: DataFrame, radius: int = 2) -> DataFrame:
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            us, vs = [], []
+            found = []
             for a, b in zip(frame["left"], frame["right"], strict=True):
-                found = _forest(np.ascontiguousarray(a, dtype=np.int64), np.ascontiguousarray(b, dtype=np.int64), radius)
-                us += found[0]
-                vs += found[1]
-            yield pd.DataFrame({"u": np.array(us, dtype=np.int64), "v": np.array(vs, dtype=np.int64)})
+                nodes = np.concatenate([a, b]).astype(np.int64)
+                prints = nodes.view(np.uint64)[:, None]
+                found += spanning_edges(nodes, prints[: len(a)], prints[len(a) :], radius)
+            yield pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
 
     return pairs.mapInPandas(compare, "u long, v long")
 
