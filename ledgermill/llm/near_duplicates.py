@@ -6,9 +6,12 @@ Texts are near duplicates when their sets of five-word shingles have a Jaccard s
 set sizes and one range of population counts; sets that differ in size by more than the limit allows are never compared, nor
 tiles whose population counts differ beyond the radius. A tile pair yields a spanning forest.
 
-The forests' components are candidates. Each member is compared exactly with the first document of its component, those that
-fail are compared along their own edges, and what is confirmed makes the groups. So a group of copies costs one comparison
-per member.
+The forests' components are candidates: two documents within the radius are always in one. Each member is compared exactly with
+the first document of its component, those that fail are compared along their own edges, and what is confirmed makes groups.
+So a group of copies costs one comparison per member. A component that is not one group after that is open: its links need
+not be along the forest. Blocks of its members are compared with each other, and every pair within the radius is compared on the
+shingles unless both ends are already known to be in one group. No link within the radius is left out; the work on an open
+component grows with the pairs of different groups in it.
 
 Defined results: texts without words, and rows without an identifier, are in no group. Ties: the least identifier stays.
 """
@@ -31,6 +34,7 @@ from ledgermill.session import stored
 
 WIDTH, SIMILARITY, RADIUS = 5, 0.8, 30
 TILE = 4096
+BLOCK = 256  # members of an open component compared with as many others in a task
 _COUNTS = 8  # population counts in one range
 
 
@@ -95,26 +99,101 @@ def _confirmed(pairs: DataFrame, source: DataFrame, width: int, similarity: floa
             for u, x, y in zip(frame["u"], frame["left"], frame["right"], strict=True):
                 if u != last or x is None:
                     last, known = u, np.unique(shingle_hashes(x, width))
-                other = np.unique(shingle_hashes(y, width))
-                shared = len(np.intersect1d(known, other, assume_unique=True))
-                keep.append(shared >= similarity * (len(known) + len(other) - shared) - 1e-9)
+                keep.append(_similar(known, np.unique(shingle_hashes(y, width)), similarity))
             yield frame.loc[keep, ["u", "v"]]
 
     return both.mapInPandas(each, "u long, v long")
 
 
+def _similar(x: np.ndarray, y: np.ndarray, similarity: float) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return shared >= similarity * (len(x) + len(y) - shared) - 1e-9
+
+
+def joined_groups(frame: pd.DataFrame, similarity: float, radius: int) -> list[tuple[int, int]]:
+    """u, v: confirmed links that join the groups of the rows of side 0 with those of side 1 wherever a link does."""
+    sides = [frame[frame["side"] == side] for side in (0, 1)]
+    left, right = (s[["low", "high"]].to_numpy(np.int64).view(np.uint64) for s in sides)
+    names, group = np.unique(frame["label"].to_numpy(), return_inverse=True)
+    left_group, right_group = (group[(frame["side"] == side).to_numpy()] for side in (0, 1))
+    left_id, right_id = (s["doc_id"].tolist() for s in sides)
+    left_set, right_set = ([np.frombuffer(b, np.uint64) for b in s["shingles"]] for s in sides)
+    root = list(range(len(names)))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    far = sum(np.bitwise_count(left[:, None, k] ^ right[None, :, k]).astype(np.int16) for k in (0, 1))
+    small, large = (np.array([len(x) for x in s], dtype=np.float64) for s in (left_set, right_set))
+    sizes = np.minimum(small[:, None], large) >= similarity * np.maximum(small[:, None], large) - 1e-6
+    at = np.argwhere((far <= radius) & sizes & (left_group[:, None] != right_group))
+    out = []
+    for i, j in at[np.argsort(far[at[:, 0], at[:, 1]], kind="stable")].tolist():
+        p, q = find(int(left_group[i])), find(int(right_group[j]))
+        if p != q and _similar(left_set[i], right_set[j], similarity):
+            root[q] = p
+            out.append((left_id[i], right_id[j]))
+    return out
+
+
+def _remaining(loose: DataFrame, firm: DataFrame, source: DataFrame, width: int, similarity: float, radius: int) -> DataFrame:
+    """Links (u, v) that the confirmed ones lack, from all pairs of different groups of a candidate component."""
+    groups = components(firm).withColumnRenamed("root", "_group")
+    labelled = stored(loose.join(groups, "node", "left").select("node", "root", F.coalesce("_group", "node").alias("label")), "near-labels")
+    several = labelled.groupBy("root").agg(F.min("label").alias("_a"), F.max("label").alias("_z")).where("_a <> _z").select("root")
+    still = labelled.join(several, "root")
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for doc_id, root, label, text in zip(frame["doc_id"], frame["root"], frame["label"], frame["text"], strict=True):
+                hashes = np.unique(shingle_hashes(text, width))
+                both = np.array([fingerprint(hashes), fingerprint(mix(hashes))], dtype=np.uint64)
+                out.append((doc_id, root, label, *both.view(np.int64).tolist(), hashes.tobytes()))
+            yield pd.DataFrame(out, columns=["doc_id", "root", "label", "low", "high", "shingles"])
+
+    named = source.join(still.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "root", "label", "text")
+    members = stored(named.mapInPandas(each, "doc_id long, root long, label long, low long, high long, shingles binary"), "near-open")
+    # a block holds members of one large group, or whole small groups; long texts count more
+    weight = F.sum(1 + F.length("shingles") / (8 * 4096)) / BLOCK
+    large = members.groupBy("root", "label").agg(weight.alias("_weight")).withColumn("_large", F.col("_weight") > 1)
+    rest = F.sum(F.when(~F.col("_large"), F.col("_weight")))
+    rests = large.groupBy("root").agg(F.ceil(F.coalesce(rest, F.lit(0.0))).alias("_blocks"))
+    shares = stored(large.join(rests, "root").withColumn("_n", F.when(F.col("_large"), F.ceil("_weight")).otherwise(F.col("_blocks"))), "near-shares")
+    part = F.pmod(F.xxhash64(F.when(F.col("_large"), F.col("doc_id")).otherwise(F.col("label"))), "_n")
+    block = F.struct("root", F.when(F.col("_large"), F.col("label")).alias("own"), part.alias("part"))
+    blocked = stored(members.join(shares.drop("_weight", "_blocks"), ["root", "label"]).withColumn("block", block).drop("_n", "_large", "root"), "near-blocks")
+    blocks = stored(blocked.select("block").distinct().select(F.col("block.root").alias("root"), "block", F.xxhash64("block").alias("_order")), "near-block-names")
+    other = blocks.select("root", F.col("block").alias("other"), F.col("_order").alias("_other"))
+    alike = F.coalesce(F.col("block.own") == F.col("other.own"), F.lit(False))  # both of one large group
+    pairs = blocks.join(other, "root").where((F.struct("_order", "block") <= F.struct("_other", "other")) & ~alike)
+    pairs = stored(pairs.select(F.struct("block", "other").alias("pair")), "near-block-pairs")
+    sides = [pairs.select(F.col(f"pair.{name}").alias("block"), F.xxhash64("pair").alias("pair"), F.lit(side).alias("side")) for side, name in enumerate(("block", "other"))]
+    rows = blocked.join(sides[0].unionByName(sides[1]), "block").drop("block")
+
+    def compare(frame: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(joined_groups(frame, similarity, radius), columns=["u", "v"], dtype=np.int64)
+
+    return rows.groupBy("pair").applyInPandas(compare, "u long, v long")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """node, root: each document that has a near duplicate, and the least identifier of its group."""
     source = slim(docs, id_col, text_col).where("doc_id is not null")
     with shuffles_released(docs.sparkSession):
         marked = stored(_marked(source, width), "near-fingerprints")
         edges = stored(_links(marked, similarity, radius).distinct(), "near-edges")
-        loose = stored(components(edges), "near-candidates").where("node <> root")
-        firm = stored(_confirmed(loose.select(F.col("root").alias("u"), F.col("node").alias("v")), source, width, similarity), "near-confirmed")
-        rest = stored(loose.join(firm.select(F.col("v").alias("node")), "node", "left_anti").select("node"), "near-rest")
+        loose = stored(components(edges), "near-candidates")
+        firm = stored(_confirmed(loose.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v")), source, width, similarity), "near-confirmed")
+        rest = stored(loose.where("node <> root").join(firm.select(F.col("v").alias("node")), "node", "left_anti").select("node"), "near-rest")
         touching = edges.join(rest, edges["u"] == rest["node"], "left_semi").union(edges.join(rest, edges["v"] == rest["node"], "left_semi"))
         more = stored(_confirmed(touching.distinct(), source, width, similarity), "near-more")
-        return stored(components(firm.union(more)), "near-groups")
+        firm = stored(firm.union(more).where("u <> v").distinct(), "near-firm")
+        last = stored(_remaining(loose, firm, source, width, similarity, radius), "near-remaining")
+        return stored(components(firm.union(last)), "near-groups")
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -59,6 +59,44 @@ def test_a_dense_group_in_small_tiles(spark, monkeypatch):
     assert kept == {0, *range(1000, 1050)}
 
 
+def _jaccard(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def _changed(words, places, mark):
+    """One word of every five-word shingle run replaced at each of the places."""
+    out = list(words)
+    for k in places:
+        out[k] = f"{mark}{k}"
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("block", [256, 3])
+def test_links_beside_the_forest(spark, monkeypatch, block):
+    """Edit chains, copies around a hub at 0.7 and many of both: as brute force has them."""
+    monkeypatch.setattr(near_duplicates, "BLOCK", block, raising=False)
+    rows, at = [], 0
+    for n in range(12):
+        base = [f"w{n}x{i}" for i in range(400)]
+        first, second = range(5, 300, 40), range(20, 400, 48)
+        chain = [" ".join(base), _changed(base, first, "a"), _changed(_changed(base, first, "a").split(), second, "b")]
+        assert _jaccard(chain[0], chain[1]) >= 0.8 <= _jaccard(chain[1], chain[2]) and 0.6 < _jaccard(chain[0], chain[2]) < 0.8
+        hub = [f"h{n}x{i}" for i in range(400)]
+        copy = _changed(hub, range(3, 400, 26), "c")
+        copies = [" ".join(hub), *(_changed(copy.split(), [k], "d") for k in range(10, 70, 10))]
+        assert all(_jaccard(copies[0], c) < 0.8 for c in copies[1:]) and _jaccard(copies[1], copies[2]) > 0.9
+        for text in [chain[0], chain[2], chain[1]] if n % 2 else [chain[0], chain[1], chain[2]]:
+            rows.append((at, text, "en", "s", 0))
+            at += 1
+        for text in copies:
+            rows.append((at, text, "en", "s", 0))
+            at += 1
+    want = brute_groups([r[:2] for r in rows])
+    hung = {r.node: r.root for r in near_duplicates.near_groups(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {i: hung.get(i, i) for i in want} == want
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     where = folder(spark, tmp_path)
     docs = spark.read.parquet(f"{where}/documents.parquet")
