@@ -146,3 +146,18 @@ def test_planted_fuzzy_passages(spark, tmp_path):
 def test_very_long_documents(spark, tmp_path):
     got = run(spark, "op7_passages", folder(spark, tmp_path, AWKWARD)).collect()
     assert all(r.alike >= 0.8 for r in got)
+
+
+@pytest.mark.parametrize("cuts", [[(0, 35), (35, 70)], [(0, 35), (18, 52), (36, 70)], [(i, i + 20) for i in range(0, 60, 10)]])
+def test_passages_spread_over_earlier_documents(spark, tmp_path, cuts):
+    rng = np.random.default_rng(7)
+    rows, wanted = [], set()
+    for n in range(10):
+        passage = made_words(rng, 70)
+        for cut in [*(passage[a:b] for a, b in cuts), passage, passage, passage]:
+            rows.append((len(rows), " ".join(made_words(rng, 40) + cut + made_words(rng, 40)), "en", "s", 0))
+        wanted |= {len(rows) - 1, len(rows) - 2}
+    got = run(spark, "op7_passages", folder(spark, tmp_path, rows)).collect()
+    whole = {r.doc_id for r in got if r.end_word - r.first_word >= 66}
+    assert wanted <= whole
+    assert all(r.alike >= 0.8 and r.first_word >= 38 and r.end_word <= 112 for r in got)
