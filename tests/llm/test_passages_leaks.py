@@ -161,3 +161,18 @@ def test_passages_spread_over_earlier_documents(spark, tmp_path, cuts):
     whole = {r.doc_id for r in got if r.end_word - r.first_word >= 66}
     assert wanted <= whole
     assert all(r.alike >= 0.8 and r.first_word >= 38 and r.end_word <= 112 for r in got)
+
+
+@pytest.mark.parametrize(("every", "size"), [(5, 50), (6, 50), (7, 50), (8, 50), (10, 50), (6, 60)])
+def test_recall_of_edited_passages(spark, tmp_path, every, size):
+    rng = np.random.default_rng(every)
+    rows = []
+    for n in range(200):
+        passage = made_words(rng, size)
+        changed = [f"q{n}x{i}" if i % every == every - 1 else w for i, w in enumerate(passage)]
+        for words in (passage, changed):
+            rows.append((len(rows), " ".join(made_words(rng, 40) + words + made_words(rng, 40)), "en", "s", 0))
+    got = run(spark, "op7_passages", folder(spark, tmp_path, rows)).collect()
+    found = {(r.partner_id, r.doc_id) for r in got}
+    assert found <= {(2 * n, 2 * n + 1) for n in range(200)}
+    assert len(found) >= (0.9 if every == 5 else 0.97) * 200
