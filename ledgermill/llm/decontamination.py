@@ -5,7 +5,7 @@ stays or moves on, as a random bit of the step and the word decides. Two windows
 sequences that agree at most steps, since the walks fall into step again after an edit. So sampling ``SAMPLES`` steps gives a key
 that similar windows share with fair probability, and ``REPEATS`` walks with their own samples lift it to the wanted recall.
 
-Windows have about the size of the item: of the powers of two the largest that its words hold, laid over the item end to end. Of
+Windows have about the size of the item, ``WINDOW`` at most: of the powers of two the largest that its words hold, laid over the item end to end. Of
 the documents every window, at each word, is embedded; a walk goes on only while the steps sampled so far still lead to some
 item, which gives the same keys at a fraction of the cost. Windows with a key of an item are kept if the whole embeddings
 agree at ``AGREE`` of the steps. Candidates are verified exactly: the least edit distance of the whole item to any
@@ -34,8 +34,9 @@ from ledgermill.llm.common import slim
 from ledgermill.llm.words import NO_WORD, hashed, mix
 
 SAMPLES = 4
-REPEATS = 6
-AGREE = 0.4
+REPEATS = 12
+WINDOW = 32  # largest window: a longer one rarely keeps a sample of steps free of edits
+AGREE = 0.3
 BLOCK = 5000
 _SLICE = 400_000
 _GAP = 64  # empty places between documents, as many as the largest window
@@ -125,7 +126,7 @@ class Index:
         for n, (_, text) in enumerate(self.items):
             keys = _keys(text)
             if len(keys):
-                size = min(_GAP, 1 << (len(keys).bit_length() - 1))
+                size = min(WINDOW, 1 << (len(keys).bit_length() - 1))
                 for offset in sorted({*range(0, len(keys) - size + 1, size), len(keys) - size}):
                     by.setdefault(size, []).append((n, offset, keys[offset : offset + size]))
         self.classes = [self._class(size, rows, samples) for size, rows in sorted(by.items())]

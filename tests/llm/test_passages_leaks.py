@@ -176,3 +176,16 @@ def test_recall_of_edited_passages(spark, tmp_path, every, size):
     found = {(r.partner_id, r.doc_id) for r in got}
     assert found <= {(2 * n, 2 * n + 1) for n in range(200)}
     assert len(found) >= (0.9 if every == 5 else 0.97) * 200
+
+
+@pytest.mark.parametrize("size", [8, 20, 50, 64, 100])
+@pytest.mark.parametrize("every", [5, 7, 10])
+def test_recall_by_distance_between_typos(size, every):
+    rng = np.random.default_rng(100 * size + every)
+    items = [(i, " ".join(made_words(rng, size))) for i in range(40)]
+    texts = []
+    for _, text in items:
+        words = [("q" + w[1:]) if i % every == every - 1 else w for i, w in enumerate(text.split())]
+        texts.append(" ".join(made_words(rng, 40) + words + made_words(rng, 40)))
+    hits = decontamination._hits(decontamination.Index(items, 0.2), list(range(40)), texts)
+    assert len({h[:2] for h in hits} & {(i, i) for i in range(40)}) >= 36
