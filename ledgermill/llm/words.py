@@ -44,3 +44,10 @@ def hashed(raw: np.ndarray, gaps: np.ndarray = BLANK) -> tuple[np.ndarray, np.nd
     up, down = _powers(len(raw) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_SIGN[FOLD[raw]] * up[: len(raw)], dtype=np.uint64)])
     return mix((sums[ends] - sums[starts]) * down[starts]), starts, ends
+
+
+def numbered(text: str) -> tuple[list[bytes], np.ndarray]:
+    """The words of a text as they stand (``[^\\x20\\x09-\\x0D]+``) and a number for each, equal for equal words only."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    seen: dict[bytes, int] = {}
+    return words, np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))

@@ -23,7 +23,7 @@ def folder(spark, tmp_path, rows=AWKWARD, **tables):
     """A data folder with ``documents`` (extra, clashing columns included) and other tables given as (rows, schema)."""
     docs = spark.createDataFrame(rows, SCHEMA)
     docs.selectExpr("*", "lang AS rank", "source AS digest", "n_chars AS place", "text AS norm", "n_chars AS n").write.parquet(f"{tmp_path}/documents.parquet")
-    tables.setdefault("labels", ([(r[0], r[0] % 2, 0) for r in rows], "doc_id long, quality int, toxic int"))
+    tables.setdefault("labels", ([(r[0], r[0] % 2, 0) for r in rows if r[0] is not None], "doc_id long, quality int, toxic int"))
     tables.setdefault("benchmark", ([(0, "a benchmark text of some words")], "item_id long, text string"))
     for name, (data, schema) in tables.items():
         spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
