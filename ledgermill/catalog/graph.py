@@ -6,11 +6,11 @@ from ledgermill.catalog.registry import query
 from ledgermill.operators import closure, patterns
 from ledgermill.operators.patterns import Graph
 from ledgermill.plans.oracle import view
-from ledgermill.plans.triples import default_graph, named_graph, quads, stored_quads
+from ledgermill.plans.triples import SPREAD, default_graph, default_stars, named_graph, quads, stored_quads
 
 
 def g(d) -> Graph:
-    return Graph(default_graph(d))
+    return Graph(default_graph(d), default_stars(d), SPREAD)
 
 
 def m(p, s, o, more=""):
@@ -55,11 +55,11 @@ def _(d):
 
 @query(
     "grf_03_cross_border",
-    f"""SELECT tx, amount_eur, sender_country, receiver_country, channel FROM {a('onto:Transaction', 'tx')}
-    JOIN {m('onto:isCrossBorder', 'tx', 'flag', " AND o = 'true'")} USING (tx) JOIN {m('onto:amountEUR', 'tx', 'amount_eur')} USING (tx)
-    JOIN {path('onto:hasSender', 'onto:country', 'tx', 'sender_country')} USING (tx)
-    JOIN {path('onto:hasReceiver', 'onto:country', 'tx', 'receiver_country')} USING (tx)
-    LEFT JOIN {m('onto:usesChannel', 'tx', 'channel')} USING (tx)""",
+    """SELECT concat('data:T', CAST(o_orderkey AS STRING)) AS tx, CAST(CAST(o_totalprice / CAST(3.7 AS DOUBLE) AS DECIMAL(18,2)) AS STRING) AS amount_eur,
+    concat('country', CAST(c_nationkey AS STRING)) AS sender_country, concat('country', CAST(n_nationkey AS STRING)) AS receiver_country,
+    CASE WHEN mod(o_orderkey, 4) <> 0 THEN o_orderpriority END AS channel
+    FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = mod(o_orderkey, 25)
+    WHERE mod(o_orderkey, 5) <> 0 AND mod(o_orderkey, 2) = 0""",
 )
 def _(d):
     return g(d).cross_border()

@@ -8,7 +8,7 @@ from ledgermill.plans.layers import rounded
 from ledgermill.plans.oracle import view
 from ledgermill.session import scratch_path
 from ledgermill.sources import writers
-from ledgermill.streaming import flows, stateful
+from ledgermill.streaming import flows, progress, stateful
 
 
 def _quotes(d):
@@ -104,6 +104,32 @@ def _(d):
     return out.select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "tx_count")
 
 
+@query(
+    "str_04_dropped_rows",
+    """WITH timely AS (SELECT ts FROM events WHERE mod(event_id, 10) <> 0), late AS (SELECT ts FROM events WHERE mod(event_id, 10) = 0),
+    mark AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 DAY AS passed, max(ts) AS newest FROM timely)
+    SELECT 'timely' AS delivery, (SELECT count(*) FROM timely) AS input_rows, CAST(0 AS BIGINT) AS late_rows, CAST(0 AS BIGINT) AS dropped_rows
+    UNION ALL SELECT 'late', count(*), count(*) FILTER (ts < newest), count(*) FILTER (ts <= passed) FROM late, mark""",
+)
+def _(d):
+    """Per delivery: rows that came, rows older than the newest one before them, and those the watermark had passed."""
+    source, checkpoint, sink, reports = (scratch_path(d.spark, n) for n in ("late-in", "late-checkpoint", "late-out", "late-reports"))
+    rows = d.events.select(F.col("ts").cast("timestamp").alias("ts"), "event_id")
+    late = F.col("event_id") % 10 == 0
+    newest = F.lit(rows.filter(~late).agg(F.max("ts")).first()[0])
+    parts = {"timely": rows.filter(~late), "late": rows.filter(late)}
+    with progress.reported(d.spark, reports) as listener:
+        for name, part in parts.items():
+            part.write.mode("append").parquet(source)
+            stream = d.spark.readStream.schema(rows.schema).parquet(source)
+            flows.drain(flows.unique_stream(stream, ["event_id"], "ts", "1 day"), "late", checkpoint, sink, name)
+    behind = parts["late"].agg(F.count(F.when(F.col("ts") < newest, 1)).alias("late_rows")).withColumn("delivery", F.lit("late"))
+    counts = listener.table().groupBy(F.col("query_name").alias("delivery")).agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("dropped_rows").alias("dropped_rows")
+    )
+    return counts.join(behind, "delivery", "left").select("delivery", "input_rows", F.coalesce("late_rows", F.lit(0)).alias("late_rows"), "dropped_rows")
+
+
 @query(
     "str_05_throughput",
     f"""SELECT {_window_sql(10, 'SECOND')} AS window_start, count(*) AS tx_count, round(sum(current_price), 2) AS total_amount,
@@ -219,7 +245,7 @@ def _dispatched(d):
     for delivery in (messages, again.unionByName(lost)):
         delivery.write.mode("append").parquet(source)
         stream = d.spark.readStream.schema(messages.schema).parquet(source)
-        flows.for_each_batch(stream, sinks, checkpoint, available_now=True).awaitTermination()
+        sinks.start(stream, checkpoint, available_now=True).awaitTermination()
     return sinks
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgermill.operators.ordered import bounded_frames, running_totals
@@ -15,11 +15,8 @@ ANOMALY_COLUMNS = (
 )
 
 
-def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_price", order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
-    """History count, mean and spread of price and volume over the *previous* rows of the symbol.
-
-    Price and volume detectors share this one frame, hence one sort.
-    """
+def quote_frames(price: str = "current_price") -> Callable[[WindowSpec], dict[str, Column]]:
+    """History count, mean and spread of price and volume; both detectors share this one frame, hence one sort."""
 
     def columns(w):
         return {
@@ -29,8 +26,13 @@ def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_
             "mean_volume": F.avg("volume").over(w),
         }
 
+    return columns
+
+
+def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_price", order: Sequence[str] = ("ts", "event_id")) -> DataFrame:
+    """:func:`quote_frames` over the *previous* rows of the symbol."""
     slim = quotes.select("symbol", price, "volume", *dict.fromkeys([*order, "ts", "event_id"]))
-    return bounded_frames(slim, ["symbol"], list(order), window, columns, include_current=False)
+    return bounded_frames(slim, ["symbol"], list(order), window, quote_frames(price), include_current=False)
 
 
 def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price: str = "current_price", keep: Sequence[str] = ()) -> DataFrame:
@@ -74,23 +76,15 @@ def volume_spike(stats: DataFrame, minimum: int = 10, times: float = 3, keep: Se
     )
 
 
-def large_transactions(
-    transactions: DataFrame,
-    window: int = 200,
-    minimum: int = 20,
-    sigmas: float = 3,
-    limit: float = 10000,
-    partition_by: list[str] | None = None,
-    order: Sequence[str] = ("created_at", "tx_key"),
-    keep: Sequence[str] = (),
-) -> DataFrame:
-    """Amounts far above the last ``window`` payments, the current one included."""
+def amount_frames(w: WindowSpec) -> dict[str, Column]:
+    return {"n": F.count("amount").over(w), "mean": F.avg("amount").over(w), "stdev": F.stddev_samp("amount").over(w)}
 
-    def columns(w):
-        return {"n": F.count("amount").over(w), "mean": F.avg("amount").over(w), "stdev": F.stddev_samp("amount").over(w)}
 
-    needed = dict.fromkeys([*(partition_by or []), *order, *keep, "transaction_id", "amount"])
-    stats = bounded_frames(transactions.select(*needed), partition_by or [], list(order), window - 1, columns, include_current=True)
+def large_amounts(
+    stats: DataFrame, minimum: int = 20, sigmas: float = 3, limit: float = 10000,
+    order: Sequence[str] = ("created_at", "tx_key"), keep: Sequence[str] = (),
+) -> DataFrame:
+    """Amounts far above the mean of their frame, or above a fixed limit."""
     bar = F.col("mean") + F.lit(sigmas) * F.col("stdev")
     hits = stats.filter((F.col("n") >= minimum) & ((F.col("amount") > bar) | (F.col("amount") > limit)))
     return hits.select(
@@ -108,6 +102,22 @@ def large_transactions(
     )
 
 
+def large_transactions(
+    transactions: DataFrame,
+    window: int = 200,
+    minimum: int = 20,
+    sigmas: float = 3,
+    limit: float = 10000,
+    partition_by: list[str] | None = None,
+    order: Sequence[str] = ("created_at", "tx_key"),
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Amounts far above the last ``window`` payments, the current one included."""
+    needed = dict.fromkeys([*(partition_by or []), *order, *keep, "transaction_id", "amount"])
+    stats = bounded_frames(transactions.select(*needed), partition_by or [], list(order), window - 1, amount_frames, include_current=True)
+    return large_amounts(stats, minimum, sigmas, limit, order, keep)
+
+
 def metric_statistics(points: DataFrame, window: int = 100, quartiles: bool = True) -> DataFrame:
     """Count, mean, spread and index quartiles of the last ``window`` points, current included."""
 

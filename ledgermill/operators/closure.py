@@ -77,9 +77,15 @@ def full_lineage(edges: DataFrame, asset: str) -> DataFrame:
         *[F.struct(F.lit(d).alias("direction"), F.col(a).alias("src"), F.col(b).alias("dst")) for d, a, b in ends]
     )
     starts = edges.sparkSession.createDataFrame([(d, asset) for d, _, _ in ends], "direction string, node string")
-    # stored once: every round reads only the newest nodes' edges of it instead of rebuilding all of them
-    both = stored(edges.select(F.inline_outer(directed)).distinct().repartition("direction", "src").sortWithinPartitions("src"), "lineage", "direction")
-    return reachable(both, starts).withColumnRenamed("node", "asset")
+    return reachable(adjacency(edges.select(F.inline_outer(directed)), "direction"), starts).withColumnRenamed("node", "asset")
+
+
+def adjacency(edges: DataFrame, group: str) -> DataFrame:
+    """Distinct ``(group, src, dst)`` stored in order, one folder per group, so that a round reads what its newest nodes need.
+
+    Edges are cut by their whole order, hence the edges of a hub lie in as many parts as they need.
+    """
+    return stored(edges.distinct().repartitionByRange(group, "src", "dst").sortWithinPartitions("src", "dst"), "adjacency", group)
 
 
 #: So many predicates at most are listed in a filter, which then prunes the folders that are read.

@@ -10,6 +10,7 @@ fixed-size chunks that carry the few preceding rows they need.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -17,15 +18,28 @@ from pyspark.sql import functions as F
 from ledgermill.session import stored
 
 ROWS_PER_PART = 2_000_000  # sorted by one task; more parts than the session's default follow from the input
+BYTES_PER_PART = 64 << 20  # the same, of input files
+_UNKNOWN_BYTES = 1 << 60  # Spark's estimate for rows that come from no file is above this
 ROWS_PER_CHUNK = 1_000_000  # summed in order by one task
 FRAMES_PER_CHUNK = 40  # chunk length in frame lengths: 2.5 % of the rows are carried twice
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | position
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
+def _input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the files behind ``df``; None where a part of it does not come from files. Runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return total if total < _UNKNOWN_BYTES else None
+
+
 def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
-    """Globally sorted copy of ``df`` with ``_part`` and ``_row`` (position inside it)."""
-    parts = -(-df.count() // ROWS_PER_PART)
+    """Globally sorted copy of ``df`` with ``_part`` and ``_row`` (position inside it).
+
+    ``df`` runs twice, for the sample of the bounds and for the copy.
+    """
+    size = _input_bytes(df)
+    parts = -(-df.count() // ROWS_PER_PART) if size is None else -(-size // BYTES_PER_PART)
     usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # the usual number may be merged at run time, a larger one is meant
     ranged = df.repartitionByRange(parts, *order) if parts > usual else df.repartitionByRange(*order)
@@ -91,18 +105,71 @@ def bounded_frames(
     With ``include_current`` the frame is the current row and the
     ``preceding`` rows before it, otherwise only the rows before it.
     """
-    chunk_rows = max(chunk_rows or max(FRAMES_PER_CHUNK * preceding, 1000), preceding)
     indexed = dense_index(df, [*keys, *order])
-    chunk = F.expr(f"_idx div {chunk_rows}")
-    in_tail = F.col("_idx") % chunk_rows >= chunk_rows - preceding
+    return _frames(_chunked(indexed, preceding, chunk_rows), keys, preceding, columns, include_current)
+
+
+def carried_frames(
+    df: DataFrame,
+    before: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    preceding: int,
+    columns: Callable[[WindowSpec], dict[str, Column]],
+    include_current: bool,
+    chunk_rows: int | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`bounded_frames` of rows that come after those of ``before``, and what to carry on.
+
+    ``before`` holds the last ``preceding`` rows of each key with ``_back``, counted from 1 for the last one. Only the new rows
+    are sorted; carried rows join the first two chunks of their key, beyond which they cannot be in a frame. The
+    second result has the same columns as ``before``: rows are numbered in order, so a key's last ones follow from its greatest
+    number, and the rows of a key without new ones pass through.
+    """
+    indexed = dense_index(df, [*keys, *order])
+    chunks = _chunked(indexed, preceding, chunk_rows)
+    ends = indexed.groupBy(*keys).agg(F.min("_idx").alias("_lo"), F.max("_idx").alias("_hi"))
+    # one row per key of the batch
+    ends = stored(ends, "key-ends").withColumnsRenamed({k: f"_key_{i}" for i, k in enumerate(keys)})
+
+    def with_ends(rows: DataFrame, how: str) -> DataFrame:
+        same = [rows[k].eqNullSafe(ends[f"_key_{i}"]) for i, k in enumerate(keys)]
+        joined = rows.join(ends, reduce(lambda a, b: a & b, same), how) if same else rows.crossJoin(F.broadcast(ends))
+        return joined.drop(*[f"_key_{i}" for i in range(len(keys))])
+
+    size = _chunk_rows(preceding, chunk_rows)
+    earlier = with_ends(before, "inner").withColumn("_chunk", F.explode(F.expr(f"array(_lo div {size}, _lo div {size} + 1)")))
+    earlier = earlier.withColumns({"_idx": -F.col("_back"), "_halo": F.lit(True)}).drop("_back", "_lo", "_hi")
+    frames = _frames(chunks.unionByName(earlier), keys, preceding, columns, include_current)
+
+    new = with_ends(indexed, "inner").withColumn("_back", F.col("_hi") - F.col("_idx") + 1)
+    old = with_ends(before, "left").withColumn("_back", F.col("_back") + F.coalesce(F.col("_hi") - F.col("_lo") + 1, F.lit(0)))
+    tail = new.select(*before.columns).unionByName(old.select(*before.columns)).filter(F.col("_back") <= preceding)
+    return frames, tail
+
+
+def _chunk_rows(preceding: int, chunk_rows: int | None) -> int:
+    return max(chunk_rows or max(FRAMES_PER_CHUNK * preceding, 1000), preceding)
+
+
+def _chunked(indexed: DataFrame, preceding: int, chunk_rows: int | None) -> DataFrame:
+    """Rows with their ``_chunk``; the last ``preceding`` of a chunk once more, as ``_halo``, with the next one."""
+    size = _chunk_rows(preceding, chunk_rows)
+    chunk = F.expr(f"_idx div {size}")
+    in_tail = F.col("_idx") % size >= size - preceding
     home = F.struct(chunk.alias("chunk"), F.lit(False).alias("halo"))
     next_chunk = F.struct((chunk + 1).alias("chunk"), F.lit(True).alias("halo"))
-    placed = (
+    return (
         indexed.withColumn("_at", F.explode(F.when(in_tail, F.array(home, next_chunk)).otherwise(F.array(home))))
         .withColumns({"_chunk": F.col("_at.chunk"), "_halo": F.col("_at.halo")})
         .drop("_at")
     )
+
+
+def _frames(
+    chunks: DataFrame, keys: Sequence[str], preceding: int, columns: Callable[[WindowSpec], dict[str, Column]], include_current: bool
+) -> DataFrame:
     frame = (
         Window.partitionBy("_chunk", *keys).orderBy("_idx").rowsBetween(-preceding, 0 if include_current else -1)
     )
-    return placed.withColumns(columns(frame)).filter(~F.col("_halo")).drop("_chunk", "_halo", "_idx")
+    return chunks.withColumns(columns(frame)).filter(~F.col("_halo")).drop("_chunk", "_halo", "_idx")

@@ -3,10 +3,14 @@
 A pattern is a filter on the predicate; patterns are combined by natural joins on
 the variables they share, and an optional block is joined inside first and then
 left-joined. Repeated optional values multiply rows, as bag semantics demand.
+
+Patterns on one subject form a star. They are read from a table bucketed by subject where there is one, so a star is joined
+bucket by bucket without a shuffle; queries join their stars first and follow links to other nodes afterwards.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -62,16 +66,33 @@ def english(column: str) -> Column:
 
 
 class Graph:
-    """The reference's graph questions over one triple table."""
+    """The reference's graph questions over one triple table.
+
+    ``stars`` may hold the same triples bucketed by subject, all but those of the predicates ``spread``.
+    """
 
-    def __init__(self, triples: DataFrame):
-        self.triples = triples
+    def __init__(self, triples: DataFrame, stars: DataFrame | None = None, spread: Sequence[str] = ()):
+        self.triples, self.stars, self.spread = triples, stars, spread
+
+    def _source(self, predicate: str) -> DataFrame:
+        return self.triples if self.stars is None or predicate in self.spread else self.stars
 
     def p(self, predicate: str, subject: str, obj: str, keep_lang: bool = False) -> DataFrame:
-        return pattern(self.triples, predicate, subject, obj, keep_lang)
+        return pattern(self._source(predicate), predicate, subject, obj, keep_lang)
 
     def a(self, cls: str | list[str], subject: str) -> DataFrame:
-        return instances(self.triples, cls, subject)
+        return instances(self._source(TYPE), cls, subject)
+
+    def named(self, star: DataFrame, predicate: str, **variables: str) -> DataFrame:
+        """Follow links of ``star``: for each given variable the ``predicate`` of the node it holds, under the given name.
+
+        The nodes of all variables are looked up together, once, and joined back by Spark's choice of join.
+        """
+        nodes = reduce(DataFrame.unionByName, [star.select(F.col(v).alias("_node")) for v in variables.values()]).distinct()
+        values = self.about(nodes, "_node", self.p(predicate, "_node", "_value"))
+        for name, variable in variables.items():
+            star = star.join(values.select(F.col("_node").alias(variable), F.col("_value").alias(name)), variable)
+        return star.drop(*variables.values())
 
     def about(self, nodes: DataFrame, variable: str, *found: DataFrame) -> DataFrame:
         """``found`` (patterns on ``variable``) for the distinct nodes of that variable, stored.
@@ -119,7 +140,7 @@ class Graph:
 
     def stock_by_symbol(self, symbol: str) -> DataFrame:
         return optional(
-            every(self.a("onto:Stock", "stock"), literal_is(self.triples, "onto:symbol", "stock", symbol)),
+            every(self.a("onto:Stock", "stock"), literal_is(self._source("onto:symbol"), "onto:symbol", "stock", symbol)),
             self.p(LABEL, "stock", "name"),
             self.p("onto:price", "stock", "price"),
             self.path("onto:hasCurrency", "onto:currencyCode", "stock", "currency"),
@@ -207,26 +228,34 @@ class Graph:
 
     # ---- payments --------------------------------------------------------------
 
-    def high_value_transactions(self, above: float = 10000, limit: int = 50) -> DataFrame:
-        found = every(
+    def high_value_star(self, above: float = 10000) -> DataFrame:
+        star = every(
             self.a("onto:Transaction", "tx"),
             self.p("onto:amountEUR", "tx", "amount").filter(number("amount") > above),
-            self.path("onto:hasSender", LABEL, "tx", "sender_name"),
-            self.path("onto:hasReceiver", LABEL, "tx", "receiver_name"),
+            self.p("onto:hasSender", "tx", "_from"),
+            self.p("onto:hasReceiver", "tx", "_to"),
         )
-        with_status = optional(found, self.p("onto:status", "tx", "status"))
-        return with_status.orderBy(number("amount").desc(), "tx").limit(limit)
+        return optional(star, self.p("onto:status", "tx", "status"))
 
-    def cross_border(self) -> DataFrame:
-        found = every(
+    def high_value_transactions(self, above: float = 10000, limit: int = 50) -> DataFrame:
+        star = stored(self.high_value_star(above), "star")
+        found = self.named(star, LABEL, sender_name="_from", receiver_name="_to")
+        return found.orderBy(number("amount").desc(), "tx").limit(limit)
+
+    def cross_border_star(self) -> DataFrame:
+        star = every(
             self.a("onto:Transaction", "tx"),
-            literal_is(self.triples, "onto:isCrossBorder", "tx", "true"),
+            literal_is(self._source("onto:isCrossBorder"), "onto:isCrossBorder", "tx", "true"),
             self.p("onto:amountEUR", "tx", "amount_eur"),
-            self.path("onto:hasSender", "onto:country", "tx", "sender_country"),
-            self.path("onto:hasReceiver", "onto:country", "tx", "receiver_country"),
+            self.p("onto:hasSender", "tx", "_from"),
+            self.p("onto:hasReceiver", "tx", "_to"),
         )
-        channels = self.p("onto:usesChannel", "tx", "channel")
-        return optional(found, channels).orderBy(number("amount_eur").desc(), "tx")
+        return optional(star, self.p("onto:usesChannel", "tx", "channel"))
+
+    def cross_border(self) -> DataFrame:
+        star = stored(self.cross_border_star(), "star")
+        found = self.named(star, "onto:country", sender_country="_from", receiver_country="_to")
+        return found.orderBy(number("amount_eur").desc(), "tx")
 
     def transactions_with_fx(self, limit: int | None = 20) -> DataFrame:
         links = self.p("onto:hasCurrency", "tx", "curr_uri")
@@ -297,12 +326,8 @@ class Graph:
         statuses, amounts = self.p("onto:status", "tx", "status"), self.p("onto:amount", "tx", "amount")
         base = every(base, statuses.filter(F.col("status") == status)) if status else optional(base, statuses)
         base = every(base, amounts.filter(number("amount") > min_amount)) if min_amount is not None else optional(base, amounts)
-        found = optional(
-            base,
-            self.p("onto:transactionId", "tx", "txId"),
-            self.path("onto:transactionCurrency", "onto:currencyCode", "tx", "currency"),
-            self.p("onto:date", "tx", "date"),
-        )
+        star = optional(base, self.p("onto:transactionId", "tx", "txId"), self.p("onto:date", "tx", "date"))
+        found = optional(star, self.path("onto:transactionCurrency", "onto:currencyCode", "tx", "currency"))
         return found.orderBy(F.col("date").desc_nulls_last(), "tx").limit(limit)
 
     # ---- any entity ------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 from typing import NamedTuple
 
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from ledgermill.plans.inputs import GIVEN, Inputs, derive
 from ledgermill.plans.oracle import VIEWS, view
-from ledgermill.session import stored
+from ledgermill.session import scratch_path
 
 COLUMNS = ["s", "p", "o", "o_kind", "datatype", "lang"]
 GRAPHS = ("data", "ontology", "vocabulary", "inferred")
+#: Predicates that may give one subject any number of objects; their statements are not gathered by subject.
+SPREAD = ("skos:narrower", "skos:hasTopConcept")
+BYTES_PER_BUCKET = 64 << 20  # of the input files
 
 
 class Quad(NamedTuple):
@@ -220,21 +224,28 @@ view("quads", "SELECT DISTINCT * FROM triples")
 view("tset", f"SELECT DISTINCT {', '.join(COLUMNS)} FROM triples")
 
 
-def quads(inputs: Inputs) -> DataFrame:
-    """All statements; each source is scanned once and every row yields all of its statements."""
+def quads(inputs: Inputs, statements: list[Quad] | None = None) -> DataFrame:
+    """All statements, or those of some kinds; each source is scanned once and every row yields all of its statements."""
     by_source: dict[str, list[Quad]] = {}
-    for quad in STATEMENTS:
+    for quad in STATEMENTS if statements is None else statements:
         by_source.setdefault(quad.source, []).append(quad)
     parts = []
-    for source, statements in by_source.items():
+    for source, kinds in by_source.items():
         structs = ", ".join(
-            "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in q.fields().items()) + ")" for q in statements
+            "named_struct(" + ", ".join(f"'{name}', {expr}" for name, expr in q.fields().items()) + ")" for q in kinds
         )
         parts.append(derive(f"SELECT inline_outer(array({structs})) FROM {source}", inputs))
     return reduce(DataFrame.unionByName, parts).filter(F.col("o").isNotNull())
 
 
-_stores: dict[tuple[str, str, int], DataFrame] = {}
+class Store(NamedTuple):
+    """``every``: all triples with one membership flag per graph. ``stars``: those of one subject in one bucket, without ``SPREAD``."""
+
+    every: DataFrame
+    stars: DataFrame
+
+
+_stores: dict[tuple[str, str, int], Store] = {}
 
 
 def forget() -> None:
@@ -242,8 +253,8 @@ def forget() -> None:
     _stores.clear()
 
 
-def _state(inputs: Inputs) -> int:
-    """Changes when a file behind the statements is added, rewritten or taken away; one listing per table."""
+def _files(inputs: Inputs) -> list[tuple[str, int, int]]:
+    """Path, length and time of every input file; one listing per table."""
     context = inputs.spark.sparkContext
     found = []
     for name in GIVEN:
@@ -251,36 +262,52 @@ def _state(inputs: Inputs) -> int:
         system = path.getFileSystem(context._jsc.hadoopConfiguration())
         if system.exists(path):
             found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in system.listStatus(path)]
-    return hash(tuple(sorted(found)))
+    return sorted(found)
 
 
-def _store(inputs: Inputs) -> DataFrame:
-    """Distinct triples with one membership flag per graph, one folder per predicate.
+def _store(inputs: Inputs) -> Store:
+    """Distinct triples with one membership flag per graph, one folder per predicate, bucketed by subject inside.
 
     Stored once per session and state of the data folder: files that were added or rewritten
-    give a new store. A triple pattern with a known predicate
-    reads that folder only, and both the union of all graphs and each single graph
-    are sets without a further shuffle.
+    give a new store. A triple pattern with a known predicate reads that folder only, patterns of one subject are joined
+    bucket by bucket without a shuffle, and both the union of all graphs and each single graph are sets without a further shuffle.
+    The statements are dealt by subject once, before they are made distinct; the buckets are the same ones.
     """
-    key = (inputs.spark.sparkContext.applicationId, inputs.folder, _state(inputs))
+    spark = inputs.spark
+    files = _files(inputs)
+    key = (spark.sparkContext.applicationId, inputs.folder, hash(tuple(files)))
     if key not in _stores:
+        # at least as many as a shuffle makes, so that a side that has to be dealt anew is dealt to the buckets
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(f[1] for f in files) // BYTES_PER_BUCKET)
         flags = [F.max(F.col("graph") == g).alias(f"in_{g}") for g in GRAPHS]
-        triples = quads(inputs).groupBy(*COLUMNS).agg(*flags)
-        # subjects vary inside the largest predicate, so one predicate spans many tasks
-        _stores[key] = stored(triples.repartition("p", "s"), "triples", "p")
+        path, table = scratch_path(spark, "triples"), f"triples_{uuid.uuid4().hex}"
+
+        def distinct(rows: DataFrame) -> DataFrame:
+            return rows.groupBy(*COLUMNS).agg(*flags)
+
+        by_subject = distinct(quads(inputs, [q for q in STATEMENTS if q.p not in SPREAD]).repartition(buckets, "s"))
+        by_subject.write.partitionBy("p").bucketBy(buckets, "s").sortBy("s").option("path", path).saveAsTable(table)
+        distinct(quads(inputs, [q for q in STATEMENTS if q.p in SPREAD])).write.mode("append").partitionBy("p").parquet(path)
+        stars = spark.table(table)
+        _stores[key] = Store(spark.read.schema(stars.schema).parquet(path), stars)
     return _stores[key]
 
 
 def default_graph(inputs: Inputs) -> DataFrame:
     """Union of all graphs as a set of triples."""
-    return _store(inputs).select(*COLUMNS)
+    return _store(inputs).every.select(*COLUMNS)
+
+
+def default_stars(inputs: Inputs) -> DataFrame:
+    """The same without the predicates ``SPREAD``, to be joined by subject without a shuffle."""
+    return _store(inputs).stars.select(*COLUMNS)
 
 
 def named_graph(inputs: Inputs, graph: str) -> DataFrame:
-    return _store(inputs).filter(F.col(f"in_{graph}")).select(*COLUMNS)
+    return _store(inputs).every.filter(F.col(f"in_{graph}")).select(*COLUMNS)
 
 
 def stored_quads(inputs: Inputs) -> DataFrame:
     """One row per triple and graph that holds it."""
     graphs = F.filter(F.array(*[F.when(F.col(f"in_{g}"), F.lit(g)) for g in GRAPHS]), lambda g: g.isNotNull())
-    return _store(inputs).select(F.explode(graphs).alias("graph"), *COLUMNS)
+    return _store(inputs).every.select(F.explode(graphs).alias("graph"), *COLUMNS)

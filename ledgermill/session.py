@@ -4,11 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: State of streams: on disk, and a batch writes what it changed to the checkpoint instead of a whole snapshot.
+STATE_ON_DISK = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -31,6 +40,22 @@ def build_session(app: str = "ledgermill", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """Session settings within a block; a stream keeps those it was started under."""
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 

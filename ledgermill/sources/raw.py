@@ -148,6 +148,13 @@ def parse_messages(raw: DataFrame, schema: str, value: str = "value") -> DataFra
     return rows
 
 
+def message_field(value: Column, schema: str, field: str) -> Column:
+    """One field of a JSON message as text; null where the message is not of that shape or has no such value."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_malformed"}
+    data = F.from_json(value.cast("string"), f"{schema}, _malformed string", options)
+    return F.when(data["_malformed"].isNull(), data[field].cast("string"))
+
+
 def good(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("_malformed").isNull()).drop("_malformed")
 

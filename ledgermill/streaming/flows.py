@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.functions import market, money
-from ledgermill.session import scratch_path
+from ledgermill.session import STATE_ON_DISK, scratch_path, settings
 from ledgermill.sources import raw
 
 Handler = Callable[[DataFrame], DataFrame]
@@ -18,7 +18,10 @@ Handler = Callable[[DataFrame], DataFrame]
 
 @dataclass(frozen=True)
 class Route:
-    """How the messages of a topic become rows: their JSON schema, the projection, and a key that is unique over all batches."""
+    """How the messages of a topic become rows: their JSON schema, the projection, and a field whose values are unique over all time.
+
+    The projection must keep the key under its name.
+    """
 
     schema: str
     rows: Handler
@@ -98,9 +101,12 @@ def to_parquet(stream: DataFrame, path: str, checkpoint: str, name: str | None =
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", path).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    return writer.start()
+    return _started(writer, stream.sparkSession, available_now)
+
+
+def _started(writer, spark: SparkSession, available_now: bool):
+    with settings(spark, STATE_ON_DISK):
+        return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
 def to_console(stream: DataFrame, name: str = "output"):
@@ -114,18 +120,21 @@ def to_memory(stream: DataFrame, name: str, available_now: bool = True):
 
 
 def for_each_batch(stream: DataFrame, action: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = False):
-    writer = stream.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if available_now else writer).start()
+    return _started(stream.writeStream.foreachBatch(action).option("checkpointLocation", checkpoint), stream.sparkSession, available_now)
 
 
 class Dispatcher:
     """Routes a message stream by topic to registered routes, each with its own table.
 
-    A batch is written once per route from one cached copy. Part folders are named by
+    :meth:`start` runs it. A batch is written once per route from one cached copy. Part folders are named by
     batch id and overwritten, so a batch replayed after a failure does not add rows twice.
     A malformed message goes to the table ``dead`` and counts as an error of its topic; a
     message of an unknown topic, or of none, goes to ``other``. So each message is found in one table,
     except that a route with a key keeps the first row of each key over all batches.
+
+    Which keys came before is state of the stream itself: one entry per topic and key in the state store on disk, without
+    expiry. A batch looks up its own keys and logs the new ones, so its work does not grow with the tables, which
+    are never read, and a replayed batch starts from the state before it.
     """
 
     def __init__(self, root: str, default: Handler | None = None):
@@ -140,13 +149,35 @@ class Dispatcher:
     def table(self, topic: str) -> str:
         return f"{self.root}/{topic}"
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+    def start(self, messages: DataFrame, checkpoint: str, available_now: bool = False):
+        """Run on a stream of ``topic``, ``key`` and ``value``."""
+        return for_each_batch(self.marked(messages), self, checkpoint, available_now)
+
+    def marked(self, messages: DataFrame) -> DataFrame:
+        """All messages, and once more, marked as ``_first``, each that brings a new key to its route."""
+        columns = [F.col(c).cast("string").alias(c) for c in ("topic", "key", "value")]
+        every = messages.select(*columns, F.lit(False).alias("_first"))
+        ids = [
+            F.when(F.col("topic") == topic, raw.message_field(F.col("value"), route.schema, route.key))
+            for topic, route in self.routes.items() if route.key
+        ]
+        if not ids:
+            return every
+        keyed = messages.select(*columns, F.coalesce(*ids).alias("_id")).filter(F.col("_id").isNotNull())
+        first = keyed.dropDuplicates(["topic", "_id"]).select("topic", "key", "value", F.lit(True).alias("_first"))
+        return every.unionByName(first)
+
+    def __call__(self, marked: DataFrame, batch_id: int) -> None:
+        marked = marked.persist()
         try:
+            batch, first = marked.filter(~F.col("_first")).drop("_first"), marked.filter("_first")
             dead = []
             for topic, route in self.routes.items():
-                parsed = raw.parse_messages(batch.filter(F.col("topic") == topic).select("key", "value"), route.schema)
-                rows = self._new(topic, route, route.rows(raw.good(parsed)), batch_id)
+                parsed = self._parsed(batch, topic)
+                rows = route.rows(raw.good(parsed))
+                if route.key:
+                    new = route.rows(raw.good(self._parsed(first, topic)))
+                    rows = new.unionByName(rows.filter(F.col(route.key).isNull()))
                 rows.write.mode("overwrite").parquet(f"{self.table(topic)}/batch={batch_id}")
                 dead.append(raw.dead_letters(parsed).withColumn("topic", F.lit(topic)))
             letters = reduce(DataFrame.unionByName, dead) if dead else batch.filter("false").select("topic", F.col("value").alias("message"))
@@ -159,17 +190,10 @@ class Dispatcher:
             counts = counts.withColumn("errors", F.coalesce("errors", F.lit(0)))
             counts.write.mode("overwrite").parquet(f"{self.table('counts')}/batch={batch_id}")
         finally:
-            batch.unpersist()
+            marked.unpersist()
 
-    def _new(self, topic: str, route: Route, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Rows whose key came neither in an earlier batch nor earlier in this one; without a key value a row always counts."""
-        if route.key is None:
-            return rows
-        once = rows.filter(F.col(route.key).isNotNull()).dropDuplicates([route.key])
-        if batch_id > 0:
-            earlier = rows.sparkSession.read.parquet(self.table(topic)).filter(F.col("batch") < batch_id)
-            once = once.join(earlier.select(route.key), route.key, "left_anti")
-        return once.unionByName(rows.filter(F.col(route.key).isNull()))
+    def _parsed(self, batch: DataFrame, topic: str) -> DataFrame:
+        return raw.parse_messages(batch.filter(F.col("topic") == topic).select("key", "value"), self.routes[topic].schema)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
         return spark.read.parquet(self.table(topic)).drop("batch")
@@ -234,11 +258,11 @@ anomaly_route = Route(
 forex_route = Route("base_currency string, target_currency string, rate double, reference_date string, _source string, timestamp string", _forex_rows)
 
 
-def drain(stream: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None) -> DataFrame:
+def drain(stream: DataFrame, label: str, checkpoint: str | None = None, path: str | None = None, name: str | None = None) -> DataFrame:
     """Run a stream over everything available, into parquet, and return the table."""
     spark = stream.sparkSession
     path = path or scratch_path(spark, label)
-    query = to_parquet(stream, path, checkpoint or scratch_path(spark, f"{label}-checkpoint"), available_now=True)
+    query = to_parquet(stream, path, checkpoint or scratch_path(spark, f"{label}-checkpoint"), name, available_now=True)
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(path)
 

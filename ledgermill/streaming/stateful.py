@@ -2,7 +2,7 @@
 
 Each runs in ``foreachBatch``: what later batches need of earlier ones (the last rows of each key, or the moment a
 rule is free again) is a small table in a folder named by the batch id. A batch reads its predecessor's table, so a
-replayed batch gives the same rows and overwrites its own folders. The frames come from ``bounded_frames``, which splits
+replayed batch gives the same rows and overwrites its own folders. The frames come from ``carried_frames``, which splits
 a hot key over tasks. Across batches rows count in order of arrival, inside a batch by time.
 """
 
@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
 from ledgermill.operators import anomaly
 from ledgermill.operators.cooldown import cooldown
+from ledgermill.operators.ordered import carried_frames
 
 
 class _Folders:
@@ -38,28 +39,29 @@ class _Folders:
 
 
 class RollingDetector(_Folders):
-    """Runs ``detect(rows, order)`` on each batch together with the last ``window`` rows of every key seen before.
+    """Hits of each batch, judged by frames over its rows and the ``preceding`` rows of every key before it.
 
-    ``detect`` must give the hits of all rows it is handed, with the columns ``order``; those of carried rows are
-    left out again, since they were reported in their own batch.
+    Only the batch is sorted. Carried rows are attached to the rows that can see them, and the next ones follow from the
+    numbers that sorting gave, so a batch costs its own rows and one pass over the carried table.
     """
 
-    def __init__(self, root: str, key: str, order: list[str], window: int, detect: Callable[[DataFrame, list[str]], DataFrame]):
+    def __init__(
+        self, root: str, keys: list[str], order: list[str], columns: list[str], preceding: int, include_current: bool,
+        frames: Callable[[WindowSpec], dict[str, Column]], hits: Callable[[DataFrame], DataFrame],
+    ):
         super().__init__(root)
-        self.key, self.order, self.window, self.detect = key, order, window, detect
+        self.keys, self.order, self.columns = keys, order, [*dict.fromkeys([*keys, *order, *columns])]
+        self.preceding, self.include_current, self.frames, self.hits = preceding, include_current, frames, hits
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        new = batch.withColumn("_arrival", F.lit(batch_id).cast("long"))
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new.schema)
-        rows = new.unionByName(self.carried(spark, batch_id, schema)).persist()
+        rows = batch.select(*self.columns).persist()
         try:
-            order = ["_arrival", *self.order]
-            hits = self.detect(rows, order).filter(F.col("_arrival") == batch_id).drop("_arrival")
-            # only the first rows of each key leave a task, and the carried rows stay a window per key
-            latest = Window.partitionBy(self.key).orderBy(*[F.col(c).desc() for c in order])
-            tail = rows.withColumn("_at", F.row_number().over(latest)).filter(F.col("_at") <= self.window).drop("_at")
-            self.write(batch_id, hits, tail)
+            schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "_back long"])
+            before = self.carried(batch.sparkSession, batch_id, schema)
+            frames, tail = carried_frames(
+                rows, before, self.keys, self.order, self.preceding, self.frames, self.include_current
+            )
+            self.write(batch_id, self.hits(frames), tail)
         finally:
             rows.unpersist()
 
@@ -67,22 +69,21 @@ class RollingDetector(_Folders):
 def price_and_volume_anomalies(root: str, window: int = 50, minimum: int = 10, limit: float = 2.5, times: float = 3.0) -> RollingDetector:
     """Price and volume anomalies against the previous ``window`` quotes of the symbol."""
 
-    def detect(rows: DataFrame, order: list[str]) -> DataFrame:
-        stats = anomaly.quote_statistics(rows, window, order=order)
-        prices = anomaly.price_zscore(stats, minimum, limit, keep=("_arrival",))
-        volumes = anomaly.volume_spike(stats, minimum, times, keep=("_arrival",))
-        return prices.unionByName(volumes, allowMissingColumns=True)
+    def hits(stats: DataFrame) -> DataFrame:
+        return anomaly.price_zscore(stats, minimum, limit).unionByName(anomaly.volume_spike(stats, minimum, times), allowMissingColumns=True)
 
-    return RollingDetector(root, "symbol", ["ts", "event_id"], window, detect)
+    columns = ["current_price", "volume"]
+    return RollingDetector(root, ["symbol"], ["ts", "event_id"], columns, window, False, anomaly.quote_frames(), hits)
 
 
 def transaction_anomalies(root: str, key: str, window: int = 200, minimum: int = 20, sigmas: float = 3.0, limit: float = 10000.0) -> RollingDetector:
     """Large payments against the last ``window`` payments of the key, the current one included."""
+    order = ["created_at", "tx_key"]
 
-    def detect(rows: DataFrame, order: list[str]) -> DataFrame:
-        return anomaly.large_transactions(rows, window, minimum, sigmas, limit, [key], order, keep=("_arrival", key))
+    def hits(stats: DataFrame) -> DataFrame:
+        return anomaly.large_amounts(stats, minimum, sigmas, limit, order, keep=(key,))
 
-    return RollingDetector(root, key, ["created_at", "tx_key"], window, detect)
+    return RollingDetector(root, [key], order, ["transaction_id", "amount"], window - 1, True, anomaly.amount_frames, hits)
 
 
 class CooledAlerts(_Folders):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgermill.operators import anomaly
 from ledgermill.session import scratch_path, scratch_root
 from ledgermill.sources import raw, readers, writers
-from ledgermill.streaming import flows, stateful
+from ledgermill.streaming import flows, progress, stateful
 
 T0 = datetime(2024, 1, 1)
 
@@ -152,37 +152,91 @@ def test_detector_state_equals_one_frame_over_everything(spark):
     assert got == want and len(want) > 5
 
 
+MESSAGES = "topic string, key string, value string"
+
+
+def _deliver(spark, sinks, source, checkpoint, rows):
+    spark.createDataFrame(rows, MESSAGES).coalesce(1).write.mode("append").parquet(source)
+    query = sinks.start(spark.readStream.schema(MESSAGES).parquet(source), checkpoint, available_now=True)
+    query.awaitTermination()
+    return query
+
+
 def test_dispatch_replay_adds_nothing(spark):
-    root = scratch_path(spark, "routes")
+    root, source, checkpoint = (scratch_path(spark, n) for n in ("routes", "in", "ck"))
     sinks = flows.Dispatcher(root, default=lambda rest: rest.select("topic"))
     sinks.on("stocks", flows.stock_route).on("tx", flows.transaction_route)
-    batch = spark.createDataFrame(
-        [("stocks", "k", '{"symbol":"a","price":1}'), ("tx", "k", '{"transaction_id":"t","amount":5}'),
-         ("tx", "k", '{"transaction_id":"t","amount":5}'), ("forex", "k", "{}")],
-        "topic string, key string, value string",
-    )
-    sinks(batch, 0)
-    sinks(batch, 0)
+    rows = [
+        ("stocks", "k", '{"symbol":"a","price":1}'), ("tx", "k", '{"transaction_id":"t","amount":5}'),
+        ("tx", "k", '{"transaction_id":"t","amount":5}'), ("forex", "k", "{}"),
+    ]
+    _deliver(spark, sinks, source, checkpoint, rows)
+
+    class Broken(Exception):
+        pass
+
+    def fail(batch, batch_id):
+        sinks(batch, batch_id)
+        raise Broken
+
+    # a batch that fails after its tables are written is run again from the state before it
+    new = [("tx", "k", '{"transaction_id":"u","amount":6}'), ("tx", "k", '{"transaction_id":"t","amount":7}')]
+    spark.createDataFrame(new, MESSAGES).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(MESSAGES).parquet(source)
+    with pytest.raises(Exception, match="Broken"):
+        flows.for_each_batch(sinks.marked(stream), fail, checkpoint, available_now=True).awaitTermination()
+    sinks.start(stream, checkpoint, available_now=True).awaitTermination()
     assert sinks.read(spark, "stocks").count() == 1
-    row = sinks.read(spark, "tx").collect()
-    assert len(row) == 1 and row[0].source == "kafka" and row[0].is_real_data is False
+    found = sinks.read(spark, "tx").collect()
+    assert sorted((r.transaction_id, r.amount) for r in found) == [("t", 5.0), ("u", 6.0)]
+    assert found[0].source == "kafka" and found[0].is_real_data is False
     assert [r.topic for r in sinks.read(spark, "other").collect()] == ["forex"]
 
 
 def test_dispatch_loses_nothing(spark):
+    source, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "ck")
     sinks = flows.Dispatcher(scratch_path(spark, "routes"), default=lambda rest: rest.select("topic", "value"))
     sinks.on("tx", flows.transaction_route)
-    schema = "topic string, key string, value string"
     first = [("tx", "k", '{"transaction_id":"a","amount":1}'), ("tx", "k", "{oops"), (None, "k", "lost"), ("tx", "k", '{"amount":7}')]
-    second = [("tx", "k", '{"transaction_id":"a","amount":2}'), ("tx", "k", '{"transaction_id":"b","amount":3}'), ("tx", "k", '{"amount":8}')]
-    for batch_id, rows in enumerate([first, second, second]):
-        sinks(spark.createDataFrame(rows, schema), min(batch_id, 1))
-    got = sorted((r.transaction_id or "", r.amount) for r in sinks.read(spark, "tx").collect())
-    assert got == [("", 7.0), ("", 8.0), ("a", 1.0), ("b", 3.0)]
+    second = [("tx", "k", '{"transaction_id":"a","amount":2}'), ("tx", "k", '{"transaction_id":"b","amount":3}'), ("tx", "k", '{"amount":8}'), ("tx", None, None)]
+    for rows in (first, second):
+        _deliver(spark, sinks, source, checkpoint, rows)
+    got = sorted((r.transaction_id or "", r.amount or 0) for r in sinks.read(spark, "tx").collect())
+    assert got == [("", 0), ("", 7.0), ("", 8.0), ("a", 1.0), ("b", 3.0)]
     assert [r.message for r in sinks.read(spark, "dead").collect()] == ["{oops"]
     assert [r.value for r in sinks.read(spark, "other").collect()] == ["lost"]
     counts = {r.topic: (r.messages, r.errors) for r in sinks.read(spark, "counts").groupBy("topic").sum().toDF("topic", "messages", "errors").collect()}
-    assert counts == {"tx": (6, 1), None: (1, 0)}
+    assert counts == {"tx": (7, 1), None: (1, 0)}
+
+
+def test_dispatch_work_does_not_grow_with_its_tables(spark):
+    """Over 20 batches each reads its own delivery only: the tables move away half way, and no key comes twice."""
+    source, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "ck")
+    halves = [flows.Dispatcher(scratch_path(spark, "routes")).on("tx", flows.transaction_route) for _ in range(2)]
+    logged = []
+    for number in range(20):
+        rows = [("tx", "k", f'{{"transaction_id":"{key}","amount":{number}}}') for key in (number, number + 1, 0)]
+        query = _deliver(spark, halves[number // 10], source, checkpoint, rows)
+        progress = [p for p in query.recentProgress if p["numInputRows"]]
+        assert [p["numInputRows"] for p in progress] == [6]  # every message, and once more for its key
+        logged.append(progress[0]["stateOperators"][0]["customMetrics"]["rocksdbBytesCopied"])
+    assert max(logged[5:]) <= 2 * max(1, max(logged[:5]))
+    found = [r.transaction_id for half in halves for r in half.read(spark, "tx").collect()]
+    assert sorted(found, key=int) == [str(k) for k in range(21)]
+
+
+def test_batches_report_what_they_drop(spark):
+    source, checkpoint, sink, reports = (scratch_path(spark, n) for n in ("in", "ck", "out", "reports"))
+    schema = "at timestamp, id long"
+    with progress.reported(spark, reports) as listener:
+        for name, minutes in (("first", (0, 1, 2, 90)), ("second", (1, 3, 80, 200))):
+            rows = [(T0 + timedelta(minutes=m), 10 * m) for m in minutes]
+            spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+            stream = flows.unique_stream(spark.readStream.schema(schema).parquet(source), ["id"], "at")
+            flows.drain(stream, "unique", checkpoint, sink, name)
+    found = listener.table().where("input_rows > 0").orderBy("batch_id").collect()
+    assert [(r.query_name, r.input_rows, r.dropped_rows) for r in found] == [("first", 4, 0), ("second", 4, 2)]
+    assert len({r.query_id for r in found}) == 1 and spark.read.parquet(sink).count() == 6
 
 
 def test_memory_sink(spark):
