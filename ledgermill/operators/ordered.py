@@ -19,7 +19,6 @@ from ledgermill.session import stored
 
 ROWS_PER_PART = 2_000_000  # sorted by one task; more parts than the session's default follow from the input
 BYTES_PER_PART = 64 << 20  # the same, of input files
-_UNKNOWN_BYTES = 1 << 60  # Spark's estimate for rows that come from no file is above this
 ROWS_PER_CHUNK = 1_000_000  # summed in order by one task
 FRAMES_PER_CHUNK = 40  # chunk length in frame lengths: 2.5 % of the rows are carried twice
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | position
@@ -27,10 +26,14 @@ _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
 def _input_bytes(df: DataFrame) -> int | None:
-    """Bytes of the files behind ``df``; None where a part of it does not come from files. Runs no job."""
+    """Bytes of the files behind ``df``; None where a part of it comes from elsewhere, whose size is only guessed. Runs no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    total = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    return total if total < _UNKNOWN_BYTES else None
+    total = 0
+    for leaf in (leaves.apply(i) for i in range(leaves.size())):
+        if leaf.getClass().getSimpleName() not in ("LogicalRelation", "LocalRelation", "OneRowRelation"):
+            return None
+        total += int(str(leaf.stats().sizeInBytes()))
+    return total
 
 
 def _ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
