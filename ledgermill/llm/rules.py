@@ -41,9 +41,11 @@ NOTICE = (
 )
 RULES = ("punctuation", "navigation", "boilerplate")
 _DOUBLED, _ENDED, _SEPARATORS, _NOTICE = (re.compile(p, re.ASCII) for p in (DOUBLED, ENDED, SEPARATORS, NOTICE))
-_NO_SYMBOL = str.maketrans("", "", SYMBOLS)
-_PROSE = str.maketrans("", "", NOT_PROSE)
-_NO_BLANK = str.maketrans("", "", BLANKS)
+#: Without one of these, in lower case, a text holds no notice; the expression is then not tried on its lines.
+_IN_NOTICES = (
+    "licen", "rights reserved", "copyright", "(c) ", "©", "cookie", "privacy policy", "terms of ", "javascript", "click here", "subscribe",
+    "sign up", "sign in", "login", "log in", "read more", "lorem ipsum",
+)
 
 
 @dataclass(frozen=True)
@@ -54,17 +56,25 @@ class Limits:
     max_lost: int = 40  # percent of characters
 
 
-def failed_rule(line: str, limits: Limits = Limits()) -> str | None:
-    """The first of ``RULES`` that a line without surrounding blanks fails."""
-    n_words = len(line.encode("utf-8", "surrogatepass").split())
-    if 20 * (len(line) - len(line.translate(_PROSE))) >= len(line) or 4 * len(_DOUBLED.findall(line)) > n_words:
+def _count(text: str, signs: str) -> int:
+    return sum(text.count(sign) for sign in signs)
+
+
+def failed_rule(line: str, limits: Limits = Limits(), notices: bool = True) -> str | None:
+    """The first of ``RULES`` that a line without surrounding blanks fails; without ``notices`` it is known to hold none."""
+    doubled = len(_DOUBLED.findall(line)) if "!" in line or "?" in line else 0
+    if 20 * _count(line, NOT_PROSE) >= len(line) or doubled and 4 * doubled > _words(line):
         return "punctuation"
-    if n_words >= limits.long_line and not _ENDED.search(line):
+    if not _ENDED.search(line) and _words(line) >= limits.long_line:
         return "punctuation"
-    separators = len(_SEPARATORS.findall(line))
-    if separators >= 2 and 4 * separators >= n_words:
+    separators = len(_SEPARATORS.findall(line)) if "|" in line or not line.isascii() else 0
+    if separators >= 2 and 4 * separators >= _words(line):
         return "navigation"
-    return "boilerplate" if _NOTICE.search(line) else None
+    return "boilerplate" if notices and _NOTICE.search(line) else None
+
+
+def _words(line: str) -> int:
+    return len(line.encode("utf-8", "surrogatepass").split())
 
 
 def repeated_words(ids: np.ndarray) -> int:
@@ -85,6 +95,8 @@ def judge(text: str, limits: Limits = Limits()) -> dict[str, object]:
     seen: set[str] = set()
     removed, left = dict.fromkeys(RULES, 0), []
     n_dup_lines = line_chars = lost_chars = 0
+    lower = text.lower()
+    notices = any(part in lower for part in _IN_NOTICES)
     for line in text.split("\n"):
         bare = line.strip(BLANKS)
         if not bare:
@@ -93,7 +105,7 @@ def judge(text: str, limits: Limits = Limits()) -> dict[str, object]:
         n_dup_lines += line in seen
         seen.add(line)
         line_chars += len(bare)
-        rule = failed_rule(bare, limits)
+        rule = failed_rule(bare, limits, notices)
         if rule:
             removed[rule] += 1
             lost_chars += len(bare)
@@ -102,7 +114,7 @@ def judge(text: str, limits: Limits = Limits()) -> dict[str, object]:
     n_words, n_repeat_words = len(ids), repeated_words(ids)
     base_failed = n_words < limits.min_words or 100 * n_repeat_words > limits.max_repeated * n_words
     return {
-        "n_words": n_words, "word_chars": len(text.translate(_NO_BLANK)), "n_symbols": len(text) - len(text.translate(_NO_SYMBOL)),
+        "n_words": n_words, "word_chars": len(text) - _count(text, BLANKS), "n_symbols": _count(text, SYMBOLS),
         "n_dup_lines": n_dup_lines, "n_repeat_words": n_repeat_words, **{f"n_{rule}": n for rule, n in removed.items()},
         "line_chars": line_chars, "lost_chars": lost_chars, "cleaned": "\n".join(left), "base_failed": base_failed,
         "kept": not base_failed and 100 * lost_chars <= limits.max_lost * line_chars,

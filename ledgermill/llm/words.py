@@ -49,5 +49,5 @@ def hashed(raw: np.ndarray, gaps: np.ndarray = BLANK) -> tuple[np.ndarray, np.nd
 def numbered(text: str) -> tuple[list[bytes], np.ndarray]:
     """The words of a text as they stand (``[^\\x20\\x09-\\x0D]+``) and a number for each, equal for equal words only."""
     words = text.encode("utf-8", "surrogatepass").split()
-    seen: dict[bytes, int] = {}
-    return words, np.fromiter((seen.setdefault(w, len(seen)) for w in words), np.int64, len(words))
+    numbers = {word: i for i, word in enumerate(dict.fromkeys(words))}
+    return words, np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))

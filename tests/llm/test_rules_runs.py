@@ -135,7 +135,7 @@ def test_lines_are_judged_by_rule():
 def test_documents_that_lose_too_much_go(spark):
     prose = "\n".join(" ".join(f"word{i}of{k}" for k in range(9)) + "." for i in range(9))
     menus = "\n".join(" | ".join(f"item{i}of{k}" for k in range(9)) for i in range(9))
-    rows = [(1, prose, "", "", 0), (2, f"{prose}\n{menus[:60]}\nAll rights reserved.", "", "", 0), (3, f"{prose}\n{menus}", "", "", 0)]
+    rows = [(1, prose, "", "", 0), (2, f"{prose}\n{menus[:60]}.\nAll rights reserved.", "", "", 0), (3, f"{prose}\n{menus}", "", "", 0)]
     found = {r.doc_id: r for r in rules.clean(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert found[1].kept and found[1].cleaned == prose
     assert found[2].kept and found[2].cleaned == prose and (found[2].n_navigation, found[2].n_boilerplate) == (1, 1)
