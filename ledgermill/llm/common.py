@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgermill.session import scratch_path
+from ledgermill.session import scratch_path, stored
 
 #: The white space of all contracts, ``[\x20\x09-\x0D]``.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -34,6 +35,49 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Da
     return docs.join(wanted, docs[id_col].eqNullSafe(wanted["_wanted_id"]), "left_semi")
 
 
+#: Rows of a side that is broadcast; each is a file name and a number, so a side stays below some 100 MB. Beyond it Spark shuffles.
+BROADCAST_ROWS = 500_000
+PLACE = ["_file", "_row"]
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """``docs`` as rows of files, so that :func:`place` tells each row from all others whatever its columns hold.
+
+    A table read from Parquet is taken as it is, anything else is stored first.
+    """
+    try:
+        docs.select(*place(docs)).schema
+        return docs
+    except AnalysisException:
+        return stored(docs, "located")
+
+
+def place(docs: DataFrame) -> list[Column]:
+    """File and row index of each row of a table read from Parquet, as the columns ``PLACE``."""
+    where = docs.metadataColumn("_metadata")
+    return [where["file_path"].alias("_file"), where["row_index"].alias("_row")]
+
+
+def bounded(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A stored side of a join, to be broadcast if it is counted to be small."""
+    return F.broadcast(side) if side.count() <= rows else side
+
+
+def rows_at(docs: DataFrame, places: DataFrame, *columns: Column | str) -> DataFrame:
+    """The rows of ``docs`` (located) at stored ``places``, with the columns of ``places`` and some of their own."""
+    rows = docs.select(*place(docs), *columns)
+    return rows.join(bounded(places), PLACE)
+
+
+def rows_not_at(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (located) that are not at stored ``places``; all columns. Only a large ``places`` moves the rows."""
+    file, row = place(docs)
+    gone = bounded(places.select(*(F.col(c).alias(f"_gone{c}") for c in PLACE)))
+    kept = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_all"), file, row)
+    kept = kept.join(gone, (kept["_file"] == gone["_gone_file"]) & (kept["_row"] == gone["_gone_row"]), "left_anti")
+    return kept.select("_all.*")
+
+
 @contextmanager
 def shuffles_released(spark: SparkSession):
     """Within the block, each query that ends gives its shuffle files back at once. For steps that store what they make."""

@@ -1,14 +1,16 @@
 """Exact deduplication as a stateful stream.
 
-One row per document (digest, identifier, length, place of the content) runs through a streaming aggregation whose
-state is kept on disk (RocksDB), keyed by digest and never expired: the state of a digest holds the best identifier,
-its locator and the number of rows seen. Map-side aggregation precedes the keyed state, so a group that holds a third of
-all rows reaches its state as one row per task. Digest hits are then confirmed on the full bytes; texts that share a digest
-but differ are split into groups of their own.
-
-Defined results: a null text is empty, and empty texts are equal to each other. Rows are told apart by their place, so of
-repeated rows with one identifier exactly one is kept. An empty table gives an empty result. A null identifier is
-allowed and loses every tie.
+One row per document (digest, length, identifier, content locator) runs through a streaming aggregation whose
+state is kept on disk (RocksDB), keyed by digest and never expired: the state of a digest holds the best row's identifier
+and locator and the number of rows seen. Map-side aggregation precedes the keyed state, so a group that holds a third of
+all rows reaches its state as one row per task. The locator is file and row index; digest hits are confirmed on the full bytes
+found there, least against greatest text of a digest, again combined on the map side. Texts that share a digest but
+differ are split into groups of their own.
+
+Defined results: a null text is empty, and empty texts are equal to each other. Rows are told apart by their locators alone:
+one identifier may have several texts, a null identifier is one like any other and loses every tie, and of repeated rows exactly one is kept.
+An empty table gives an empty result. Texts are compared whole, however long. Other columns, whatever their names, are ignored;
+:func:`without_copies` returns them unchanged.
 """
 
 from __future__ import annotations
@@ -18,16 +20,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import BLANKS, slim
-from ledgermill.session import ROCKSDB, scratch_path, stored
-
-#: The state store: on disk, nothing preallocated, a change log instead of whole snapshots in each micro-batch.
-_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
-    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
-
+from ledgermill.llm.common import BLANKS, PLACE, located, place, rows_at, rows_not_at
+from ledgermill.session import STATE_ON_DISK, scratch_path, settings, stored
 
 def without_blanks(text: Column) -> Column:
     return F.translate(text, BLANKS, "")
@@ -45,29 +39,20 @@ def _grouped_by_stream(facts_path: str, facts: DataFrame, files_per_batch: int)
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    before = {key: spark.conf.get(key, None) for key in _STORE}
-    for key, value in _STORE.items():
-        spark.conf.set(key, value)
-    try:
-        (
+    with settings(spark, STATE_ON_DISK):
+        query = (
             spark.readStream.schema(facts.schema)
             .option("maxFilesPerTrigger", files_per_batch)
             .parquet(facts_path)
             .groupBy("digest")
-            .agg(F.max("rank").alias("best"), F.count(F.lit(1)).alias("n"))
+            .agg(F.min("rank").alias("best"), F.count(F.lit(1)).alias("n"))
             .writeStream.outputMode("update")
             .option("checkpointLocation", state)
             .trigger(availableNow=True)
             .foreachBatch(write)
             .start()
-            .awaitTermination()
         )
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
+    query.awaitTermination()
     schema = f"digest string, best {facts.schema['rank'].dataType.simpleString()}, n long, batch int"
     updates = spark.read.schema(schema).parquet(out) if _has_batches(spark, out) else spark.createDataFrame([], schema)
     last = F.max(F.struct("batch", "best", "n"))
@@ -83,77 +68,49 @@ def exact_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     digest: Callable[[Column], Column] = sha256, files_per_batch: int = 64,
 ) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, digest, place: one row per row of ``docs``.
+    """doc_id, keep_id, group_size, kept, digest and the locator (``PLACE``): one row per row of ``docs``.
 
     Texts are equal when they are identical after white space is deleted. Of a group the row with the most code points
     stays, then the smallest identifier. ``digest`` may be any function of the normalised text; a weak one costs time, never
     correctness.
     """
+    docs = located(docs)
     spark = docs.sparkSession
-    source = slim(docs, id_col, text_col)
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     path = scratch_path(spark, "dedup-facts")
-    place = F.monotonically_increasing_id()
-    (
-        source.select("doc_id", digest(without_blanks(F.col("text"))).alias("digest"), F.length("text").alias("n_chars"))
-        .withColumn("place", place)
-        .select("doc_id", "digest", F.struct("n_chars", (-F.col("doc_id")).alias("neg_id"), (-F.col("place")).alias("neg_place"), "doc_id").alias("rank"))
-        .write.parquet(path)
-    )
+    rows = docs.select(docs[id_col].alias("doc_id"), digest(without_blanks(text)).alias("digest"), F.length(text).alias("n_chars"), *place(docs))
+    rank = F.struct((-F.col("n_chars")).alias("shorter"), F.col("doc_id").isNull().alias("unnamed"), "doc_id", *PLACE)
+    rows.select("digest", rank.alias("rank")).write.parquet(path)
     facts = spark.read.parquet(path)
     groups = stored(_grouped_by_stream(path, facts, files_per_batch), "dedup-groups")
-    joined = facts.join(groups, "digest").select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("rank.neg_place") == F.col("best.neg_place")).alias("kept"), "digest", (-F.col("rank.neg_place")).alias("place"),
-    )
-    wrong = _collided(source, facts, groups)
+    joined = _judged(facts.join(groups, "digest"))
+    several = stored(facts.join(groups.where("n > 1"), "digest").select("digest", *_place_of("rank")), "dedup-hits")
+    texts = rows_at(docs, several, without_blanks(text).alias("norm"))
+    differ = texts.groupBy("digest").agg(F.min("norm").alias("least"), F.max("norm").alias("greatest")).where("least <> greatest")
+    wrong = stored(differ.select("digest"), "dedup-collisions")
     if wrong.isEmpty():
         return joined
-    return _split_collisions(source, facts, wrong)(joined)
+    # regroup the rows of collided digests on the text itself
+    mixed = stored(facts.join(wrong, "digest").select("digest", "rank", *_place_of("rank")), "dedup-mixed")
+    rows = rows_at(docs, mixed, without_blanks(text).alias("norm"))
+    best = rows.groupBy("digest", "norm").agg(F.min("rank").alias("best"), F.count(F.lit(1)).alias("n"))
+    return joined.join(wrong, "digest", "left_anti").unionByName(_judged(rows.drop(*PLACE).join(best, ["digest", "norm"])))
 
 
-def _texts(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Normalised texts of the wanted identifiers, with the wanted columns."""
-    texts = source.select(F.col("doc_id").alias("_id"), "text")
-    return wanted.join(texts, F.col("doc_id").eqNullSafe(F.col("_id"))).select(
-        *wanted.columns, without_blanks(F.col("text")).alias("norm")
-    )
-
-
-def _collided(source: DataFrame, facts: DataFrame, groups: DataFrame) -> DataFrame:
-    """Digests under which the full bytes of some row differ from those of the row that stays."""
-    several = groups.where("n > 1").select("digest", F.col("best.doc_id").alias("keep_id"))
-    # dealt by digest and identifier, so a large group does not land in one task
-    members = facts.select("digest", "doc_id").distinct().join(several, "digest")
-    texts = stored(_texts(source, members), "dedup-hits")
-    keepers = texts.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("digest", F.col("norm").alias("kept_norm"))
-    return stored(
-        texts.join(keepers, "digest").where("norm <> kept_norm").select("digest").distinct(), "dedup-collisions"
-    )
+def _place_of(rank: str) -> list[Column]:
+    return [F.col(f"{rank}.{c}").alias(c) for c in PLACE]
 
 
-def _split_collisions(source: DataFrame, facts: DataFrame, wrong: DataFrame) -> Callable[[DataFrame], DataFrame]:
-    """Regroup the rows of collided digests on the text itself."""
-    rows = _texts(source, facts.join(wrong, "digest", "left_semi").select("digest", "doc_id", "rank").distinct())
-    rows = rows.dropDuplicates(["digest", "doc_id", "rank"])
-    best = rows.groupBy("digest", "norm").agg(F.max("rank").alias("best"), F.count(F.lit(1)).alias("n"))
-    regrouped = rows.join(best, ["digest", "norm"]).select(
-        "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("rank.neg_place") == F.col("best.neg_place")).alias("kept"), "digest", (-F.col("rank.neg_place")).alias("place"),
+def _judged(rows: DataFrame) -> DataFrame:
+    """Rows with their own ``rank``, the ``best`` one of their group and its size ``n``."""
+    return rows.select(
+        F.col("rank.doc_id").alias("doc_id"), F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
+        (F.struct(*_place_of("rank")) == F.struct(*_place_of("best"))).alias("kept"), "digest", *_place_of("rank"),
     )
-    return lambda joined: joined.join(wrong, "digest", "left_anti").unionByName(regrouped)
 
 
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; one row where an identifier is repeated with one text."""
-    groups = exact_groups(docs, id_col, text_col)
-    kept = stored(groups.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")), "dedup-kept")
-    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_all")).where("_all > 1").select("doc_id")
-    repeated = stored(repeated, "dedup-repeated-ids")
-    wanted = kept.select(F.col("doc_id").alias("_kept_id"))
-    rows = docs.join(wanted, docs[id_col].eqNullSafe(wanted["_kept_id"]), "left_semi")
-    if repeated.isEmpty():
-        return rows
-    twice = repeated.select(F.col("doc_id").alias("_twice_id"))
-    once = rows.join(twice, rows[id_col].eqNullSafe(twice["_twice_id"]), "left_anti")
-    again = rows.join(twice, rows[id_col].eqNullSafe(twice["_twice_id"]), "left_semi")
-    return once.unionByName(again.withColumn("_norm", without_blanks(F.coalesce(F.col(text_col), F.lit("")))).dropDuplicates([id_col, "_norm"]).drop("_norm"))
+    """The rows of ``docs`` that stay, all columns: one row of each group."""
+    docs = located(docs)
+    gone = stored(exact_groups(docs, id_col, text_col).where("NOT kept").select(*PLACE), "dedup-gone")
+    return rows_not_at(docs, gone)

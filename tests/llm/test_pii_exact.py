@@ -116,3 +116,22 @@ def test_empty_table(spark, tmp_path, name):
 def test_awkward_rows(spark, tmp_path):
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept, r.text_sha256) for r in run(spark, "op8_exact_dedup", folder(spark, tmp_path)).collect()}
     assert got == groups_of(AWKWARD)
+
+
+def test_one_identifier_with_two_texts_and_null_identifiers(spark):
+    """Rows are told apart by where they stand, not by their identifiers."""
+    rows = [(3, "b"), (5, "a"), (5, "b"), (6, "a"), (7, "c"), (7, "d"), (8, "c"), (9, "d"), (None, "y"), (2, "y"), (None, "z"), (None, "z ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(docs).collect() if r.doc_id is not None)
+    want = [(2, 2, 2, True), (3, 3, 2, True), (5, 3, 2, False), (5, 5, 2, True), (6, 5, 2, False), (7, 7, 2, True), (7, 7, 2, True), (8, 7, 2, False), (9, 7, 2, False)]
+    assert got == want
+    kept = sorted(((r.doc_id, r.text) for r in exact_dedup.without_copies(docs).collect()), key=str)
+    assert kept == sorted([(3, "b"), (5, "a"), (7, "c"), (7, "d"), (2, "y"), (None, "z ")], key=str)
+
+
+def test_many_equal_rows_and_clashing_names(spark):
+    docs = spark.range(20_000).selectExpr("id % 3 AS doc_id", "'same' AS text", "id AS _row", "'x' AS _file", "id AS _gone_row", "id AS `a.b`", "id AS rank", "1 AS n")
+    groups = exact_dedup.exact_groups(docs)
+    assert groups.where("kept").select("doc_id", "keep_id", "group_size").collect() == [(0, 0, 20_000)]
+    kept = exact_dedup.without_copies(docs)
+    assert kept.columns == docs.columns and kept.count() == 1
