@@ -37,7 +37,7 @@ def rows_with_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> Da
 
 #: Rows of a side that is broadcast; each is a file name and a number, so a side stays below some 100 MB. Beyond it Spark shuffles.
 BROADCAST_ROWS = 500_000
-PLACE = ["_file", "_row"]
+PLACE = ["_in_file", "_at_row"]
 
 
 def located(docs: DataFrame) -> DataFrame:
@@ -55,7 +55,7 @@ def located(docs: DataFrame) -> DataFrame:
 def place(docs: DataFrame) -> list[Column]:
     """File and row index of each row of a table read from Parquet, as the columns ``PLACE``."""
     where = docs.metadataColumn("_metadata")
-    return [where["file_path"].alias("_file"), where["row_index"].alias("_row")]
+    return [where["file_path"].alias(PLACE[0]), where["row_index"].alias(PLACE[1])]
 
 
 def bounded(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -71,11 +71,8 @@ def rows_at(docs: DataFrame, places: DataFrame, *columns: Column | str) -> DataF
 
 def rows_not_at(docs: DataFrame, places: DataFrame) -> DataFrame:
     """The rows of ``docs`` (located) that are not at stored ``places``; all columns. Only a large ``places`` moves the rows."""
-    file, row = place(docs)
-    gone = bounded(places.select(*(F.col(c).alias(f"_gone{c}") for c in PLACE)))
-    kept = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_all"), file, row)
-    kept = kept.join(gone, (kept["_file"] == gone["_gone_file"]) & (kept["_row"] == gone["_gone_row"]), "left_anti")
-    return kept.select("_all.*")
+    kept = docs.select(F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("_all"), *place(docs))
+    return kept.join(bounded(places.select(*PLACE)), PLACE, "left_anti").select("_all.*")
 
 
 @contextmanager

@@ -13,7 +13,12 @@ not be along the forest. Blocks of its members are compared with each other, and
 shingles unless both ends are already known to be in one group. No link within the radius is left out; the work on an open
 component grows with the pairs of different groups in it.
 
-Defined results: texts without words, and rows without an identifier, are in no group. Ties: the least identifier stays.
+Rows are told apart by file and row index and carry a number in the order of their identifiers, so one identifier may have
+several texts. Texts leave their rows only for members of candidate components.
+
+Defined results: null texts and texts without words are in no group. Of a group the row with the least identifier stays, null identifiers
+after all others, then the first by its place; so of repeated rows one stays. Texts are compared whole, however long. An empty table gives
+an empty result. Other columns, whatever their names, are left as they are.
 """
 
 from __future__ import annotations
@@ -26,10 +31,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import shuffles_released, slim
+from ledgermill.llm.common import PLACE, located, place, rows_at, rows_not_at, shuffles_released
 from ledgermill.llm.components import components
 from ledgermill.llm.simhash import fingerprint, shingle_hashes, spanning_edges
 from ledgermill.llm.words import mix
+from ledgermill.operators.ordered import dense_index
 from ledgermill.session import stored
 
 WIDTH, SIMILARITY, RADIUS = 5, 0.8, 30
@@ -38,17 +44,19 @@ BLOCK = 256  # members of an open component compared with as many others in a ta
 _COUNTS = 8  # population counts in one range
 
 
-def _marked(source: DataFrame, width: int) -> DataFrame:
+def _marked(texts: DataFrame, width: int) -> DataFrame:
+    """Place, fingerprint and size of the shingle set of each text with words."""
+
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"], strict=True):
+            for file, row, text in zip(*(frame[c] for c in PLACE), frame["text"], strict=True):
                 hashes = np.unique(shingle_hashes(text, width))
                 both = np.array([fingerprint(hashes), fingerprint(mix(hashes))], dtype=np.uint64)
-                out.append((doc_id, *both.view(np.int64).tolist(), len(hashes)))
-            yield pd.DataFrame(out, columns=["doc_id", "low", "high", "size"])
+                out.append((file, row, *both.view(np.int64).tolist(), len(hashes)))
+            yield pd.DataFrame(out, columns=[*PLACE, "low", "high", "size"])
 
-    return source.mapInPandas(each, "doc_id long, low long, high long, size int").where("size > 0")
+    return texts.mapInPandas(each, f"{PLACE[0]} string, {PLACE[1]} long, low long, high long, size int").where("size > 0")
 
 
 def _links(marked: DataFrame, similarity: float, radius: int) -> DataFrame:
@@ -86,10 +94,10 @@ def _links(marked: DataFrame, similarity: float, radius: int) -> DataFrame:
     return pairs.select(columns).repartition(F.xxhash64(F.col("l_doc_id")[0], F.col("doc_id")[0])).mapInPandas(compare, "u long, v long")
 
 
-def _confirmed(pairs: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose shingle sets are similar enough."""
-    left = source.select(F.col("doc_id").alias("u"), F.col("text").alias("left"))
-    right = source.select(F.col("doc_id").alias("v"), F.col("text").alias("right"))
+def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose shingle sets are similar enough; ``texts`` holds all their ends."""
+    left = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("left"))
+    right = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("right"))
     both = stored(pairs.join(right, "v"), "near-members").join(left, "u")
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,7 +147,7 @@ def joined_groups(frame: pd.DataFrame, similarity: float, radius: int) -> list[t
     return out
 
 
-def _remaining(loose: DataFrame, firm: DataFrame, source: DataFrame, width: int, similarity: float, radius: int) -> DataFrame:
+def _remaining(loose: DataFrame, firm: DataFrame, texts: DataFrame, width: int, similarity: float, radius: int) -> DataFrame:
     """Links (u, v) that the confirmed ones lack, from all pairs of different groups of a candidate component."""
     groups = components(firm).withColumnRenamed("root", "_group")
     labelled = stored(loose.join(groups, "node", "left").select("node", "root", F.coalesce("_group", "node").alias("label")), "near-labels")
@@ -155,7 +163,7 @@ def _remaining(loose: DataFrame, firm: DataFrame, source: DataFrame, width: int,
                 out.append((doc_id, root, label, *both.view(np.int64).tolist(), hashes.tobytes()))
             yield pd.DataFrame(out, columns=["doc_id", "root", "label", "low", "high", "shingles"])
 
-    named = source.join(still.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "root", "label", "text")
+    named = texts.join(still.withColumnRenamed("node", "doc_id"), "doc_id").select("doc_id", "root", "label", "text")
     members = stored(named.mapInPandas(each, "doc_id long, root long, label long, low long, high long, shingles binary"), "near-open")
     # a block holds members of one large group, or whole small groups; long texts count more
     weight = F.sum(1 + F.length("shingles") / (8 * 4096)) / BLOCK
@@ -180,23 +188,38 @@ def _remaining(loose: DataFrame, firm: DataFrame, source: DataFrame, width: int,
     return rows.groupBy("pair").applyInPandas(compare, "u long, v long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
-    """node, root: each document that has a near duplicate, and the least identifier of its group."""
-    source = slim(docs, id_col, text_col).where("doc_id is not null")
+def _groups(docs: DataFrame, text_col: str, id_col: str, width: int, similarity: float, radius: int) -> tuple[DataFrame, DataFrame]:
+    """(node, root) in numbers of rows, and the identifier and place of each number; ``docs`` is located."""
+    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     with shuffles_released(docs.sparkSession):
-        marked = stored(_marked(source, width), "near-fingerprints")
+        rows = docs.select(docs[id_col].alias("id"), docs[id_col].isNull().alias("unnamed"), *place(docs))
+        rows = stored(dense_index(rows, ["unnamed", "id", *PLACE], "doc_id").drop("unnamed"), "near-rows")
+        marked = stored(_marked(docs.select(*place(docs), text.alias("text")), width), "near-fingerprints")
+        marked = stored(marked.join(rows.drop("id"), PLACE).drop(*PLACE), "near-numbered")
         edges = stored(_links(marked, similarity, radius).distinct(), "near-edges")
         loose = stored(components(edges), "near-candidates")
-        firm = stored(_confirmed(loose.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v")), source, width, similarity), "near-confirmed")
+        members = stored(rows.join(loose.select(F.col("node").alias("doc_id")), "doc_id").select("doc_id", *PLACE), "near-places")
+        texts = stored(rows_at(docs, members, text.alias("text")).drop(*PLACE), "near-texts")
+        firm = stored(_confirmed(loose.where("node <> root").select(F.col("root").alias("u"), F.col("node").alias("v")), texts, width, similarity), "near-confirmed")
         rest = stored(loose.where("node <> root").join(firm.select(F.col("v").alias("node")), "node", "left_anti").select("node"), "near-rest")
         touching = edges.join(rest, edges["u"] == rest["node"], "left_semi").union(edges.join(rest, edges["v"] == rest["node"], "left_semi"))
-        more = stored(_confirmed(touching.distinct(), source, width, similarity), "near-more")
+        more = stored(_confirmed(touching.distinct(), texts, width, similarity), "near-more")
         firm = stored(firm.union(more).where("u <> v").distinct(), "near-firm")
-        last = stored(_remaining(loose, firm, source, width, similarity, radius), "near-remaining")
-        return stored(components(firm.union(last)), "near-groups")
+        last = stored(_remaining(loose, firm, texts, width, similarity, radius), "near-remaining")
+        return stored(components(firm.union(last)), "near-groups"), rows
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """node, root: the identifier of each row that has a near duplicate, and the least identifier of its group."""
+    groups, rows = _groups(located(docs), text_col, id_col, width, similarity, radius)
+    named = rows.select("doc_id", "id")
+    own = groups.join(named.toDF("node", "_node"), "node").join(named.toDF("root", "_root"), "root")
+    return own.select(F.col("_node").alias("node"), F.col("_root").alias("root"))
 
 
 def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` but for those whose group has a document with a smaller identifier."""
-    gone = near_groups(docs, id_col, text_col).where("node <> root").select(F.col("node").alias("_gone_id"))
-    return docs.join(gone, docs[id_col] == gone["_gone_id"], "left_anti")
+    """The rows of ``docs`` but for those whose group has a row before them."""
+    docs = located(docs)
+    groups, rows = _groups(docs, text_col, id_col, WIDTH, SIMILARITY, RADIUS)
+    gone = groups.where("node <> root").select(F.col("node").alias("doc_id"))
+    return rows_not_at(docs, stored(rows.join(gone, "doc_id").select(*PLACE), "near-gone"))

@@ -130,7 +130,7 @@ def test_one_identifier_with_two_texts_and_null_identifiers(spark):
 
 
 def test_many_equal_rows_and_clashing_names(spark):
-    docs = spark.range(20_000).selectExpr("id % 3 AS doc_id", "'same' AS text", "id AS _row", "'x' AS _file", "id AS _gone_row", "id AS `a.b`", "id AS rank", "1 AS n")
+    docs = spark.range(20_000).selectExpr("id % 3 AS doc_id", "'same' AS text", "id AS _at_row", "'x' AS _in_file", "id AS _row", "id AS _metadata", "id AS `a.b`", "id AS rank", "1 AS n")
     groups = exact_dedup.exact_groups(docs)
     assert groups.where("kept").select("doc_id", "keep_id", "group_size").collect() == [(0, 0, 20_000)]
     kept = exact_dedup.without_copies(docs)

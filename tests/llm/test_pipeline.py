@@ -97,6 +97,21 @@ def test_links_beside_the_forest(spark, monkeypatch, block):
     assert {i: hung.get(i, i) for i in want} == want
 
 
+def test_one_identifier_with_two_texts_and_null_identifiers(spark):
+    """Rows are told apart by where they stand; a text is lost only where a near copy of it stays."""
+    t, u = (" ".join(f"{mark}{k}" for k in range(60)) for mark in "tu")
+    rows = [(1, t), (2, t + " x"), (3, u), (3, t), (4, u + " y"), (None, u), (None, "alone " * 3), (None, None), (None, None)]
+    kept = near_duplicates.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(1, t), (3, u), (None, "alone " * 3), (None, None), (None, None)], key=str)
+
+
+def test_clashing_names_pass_through(spark):
+    rows = spark.range(40).selectExpr("id AS doc_id", "concat('a b c d e f g ', id % 20) AS text", "id AS node", "id AS root", "id AS _at_row", "'f' AS _in_file", "id AS _row", "id AS size", "id AS _gone_id")
+    for stage in (near_duplicates.without_near_duplicates,):
+        out = stage(rows)
+        assert out.columns == rows.columns and 1 <= out.count() <= 20
+
+
 def test_stages_keep_the_columns(spark, tmp_path):
     where = folder(spark, tmp_path)
     docs = spark.read.parquet(f"{where}/documents.parquet")
