@@ -6,8 +6,8 @@ from the number of pieces, so a group stays small at any size. Within a group, f
 each into the first sequence with room. A tournament tree over the sequences' room finds it in logarithmic time. A group
 leaves about one sequence unfilled.
 
-Tokenising is memoised by word: the vocabulary file splits a text at white space, letters, digits and signs, and a word's
-ids do not depend on its neighbours. A text with signs for which this split might differ from the tokenizer's own is given to the
+Tokenising is memoised by word, in a bounded memory that each worker keeps from task to task: the vocabulary file splits a text at white
+space, letters, digits and signs, and a word's ids do not depend on its neighbours. A text with signs for which this split might differ from the tokenizer's own is given to the
 tokenizer as a whole.
 
 Defined results: a null or empty text is the end mark alone. Repeated rows are packed like other rows. An empty table
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.common import slim
+from ledgermill.llm.common import located, place, slim
 from ledgermill.session import stored
 
 ROOM = 4096
@@ -38,17 +38,19 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 #: Other signs (and the dotted capital I) and the special tokens' brackets.
 _UNSURE = re.compile("[^\\t-\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u024f]|<\\|")
 _WORDS_AT_ONCE = 2000
+MEMORY = 600_000  # words an encoder holds ready, and as many of before; some 100 bytes each
 
 
 class Encoder:
     """Token ids of texts, little-endian unsigned 32-bit, without special tokens."""
 
-    def __init__(self, path: str, memory: int = 300_000):
+    def __init__(self, path: str, memory: int = MEMORY):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self._memory = memory
         self._known: dict[str, bytes] = {}
+        self._earlier: dict[str, bytes] = {}
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
@@ -77,19 +79,36 @@ class Encoder:
         try:
             return b"".join(map(self._known.__getitem__, words))
         except KeyError:
-            if len(self._known) > self._memory:
-                self._known.clear()
-            new = [w for w in dict.fromkeys(words) if w not in self._known]
+            if len(self._known) > self._memory:  # what was not used since the last time is forgotten
+                self._known, self._earlier = {}, self._known
+            new = []
+            for word in dict.fromkeys(words):
+                if word not in self._known:
+                    if word in self._earlier:
+                        self._known[word] = self._earlier[word]
+                    else:
+                        new.append(word)
             self._learn(new)
             return b"".join(map(self._known.__getitem__, words))
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this process; Spark's workers are used again for later tasks, which then start with what it has learnt."""
+    if path not in _encoders:
+        _encoders.clear()
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", room: int = ROOM) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: the documents' ids cut at multiples of ``room``."""
     source = slim(docs, id_col, text_col)
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = Encoder(vocabulary)
+        encode = encoder(vocabulary)
         end = np.array([END], dtype="<u4").tobytes()
         for frame in frames:
             rows = []
@@ -126,9 +145,15 @@ def first_fit_decreasing(lengths: np.ndarray, room: int = ROOM) -> tuple[np.ndar
 
 
 def pack(cut: DataFrame, room: int = ROOM, group: int = GROUP, seed: int = 17) -> DataFrame:
-    """The rows of ``cut`` (any table with ``length``) with sequence_id and offset; ``cut`` should be stored, it is read twice."""
+    """The rows of ``cut`` (any table with ``length``) with sequence_id and offset.
+
+    Rows are dealt by where they stand in the stored table, so equal rows go to different groups like any others.
+    """
+    cut = located(cut)
+    names = cut.columns
     groups = max(1, -(-cut.count() // group))
-    dealt = cut.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), *cut.columns), F.lit(groups)))
+    file, row = place(cut)
+    dealt = cut.select(*names, F.pmod(F.xxhash64(F.lit(seed), file, row), F.lit(groups)).alias("_group"))
 
     def fill(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values([c for c in frame.columns if c != "_group"], kind="stable")

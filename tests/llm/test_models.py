@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgermill.llm import ngram_lm, packing, queries
 from tests.llm.helpers import AWKWARD, SCHEMA, folder, run
@@ -173,3 +174,18 @@ def test_probabilities_sum_to_one(spark):
             ordered = np.array([before, key])
             total += 10 ** model.scores(ordered, np.array([pair, pair]))[2][1]
         assert total == pytest.approx(1.0)
+
+
+def test_equal_rows_are_dealt_to_all_groups(spark):
+    """40,000 equal rows: as many groups as of any other rows, none above its usual size."""
+    cut = spark.range(40_000).selectExpr("1L AS doc_id", "0L AS start", "10L AS length", "7L AS ids_crc32", "10L AS doc_tokens")
+    out = packing.pack(cut, group=2000)
+    sizes = [r["count"] for r in out.groupBy(F.shiftright("sequence_id", 32).alias("g")).count().collect()]
+    assert sum(sizes) == 40_000 and len(sizes) == 20 and max(sizes) < 2 * 2000
+    assert out.selectExpr("count(DISTINCT sequence_id, offset)").first()[0] == 40_000
+
+
+def test_a_small_word_memory_changes_nothing():
+    texts = [" ".join(f"word{i % k}s{i}" for i in range(60)) for k in (3, 7, 11)] * 3
+    plain, small = packing.Encoder(queries.vocabulary()), packing.Encoder(queries.vocabulary(), memory=20)
+    assert [plain(t) for t in texts] == [small(t) for t in texts] == [plain._whole(t) for t in texts]
