@@ -215,10 +215,8 @@ def _(d):
 
 @query(
     "agg_03_market_overview",
-    """WITH per_trend AS (SELECT exchange, trend, count(*) AS n, sum(price_eur) AS price, sum(volume) AS volume FROM silver_stocks GROUP BY exchange, trend)
-    SELECT exchange, CAST(sum(n) AS BIGINT) AS stock_count, CAST(coalesce(sum(n) FILTER (trend = 'UP'), 0) AS BIGINT) AS stocks_up,
-    CAST(coalesce(sum(n) FILTER (trend = 'DOWN'), 0) AS BIGINT) AS stocks_down, CAST(sum(volume) AS BIGINT) AS total_volume,
-    round(sum(price) / sum(n), 2) AS avg_price_eur FROM per_trend GROUP BY exchange""",
+    """SELECT exchange, count(*) AS stock_count, count(*) FILTER (trend = 'UP') AS stocks_up, count(*) FILTER (trend = 'DOWN') AS stocks_down,
+    CAST(sum(volume) AS BIGINT) AS total_volume, round(avg(price_eur), 2) AS avg_price_eur FROM silver_stocks GROUP BY exchange""",
 )
 def _(d):
     return warehouse.market_overview(d.silver_stocks)
@@ -226,11 +224,9 @@ def _(d):
 
 @query(
     "agg_04_transaction_summary",
-    """SELECT day AS tx_date, len(rows) AS tx_count, round(list_sum(rows), 2) AS total_volume_eur, round(list_avg(rows), 2) AS avg_amount_eur,
-    crossing AS cross_border_count, flagged AS aml_flagged FROM (
-      SELECT tx_date AS day, list(amount_eur) AS rows, CAST(sum(CAST(is_cross_border AS INT)) AS BIGINT) AS crossing,
-      CAST(sum(CAST(requires_aml_check AS INT)) AS BIGINT) AS flagged FROM silver_transactions
-      WHERE date_diff('day', tx_date, DATE '2001-08-01') <= 7 GROUP BY tx_date) daily""",
+    """SELECT tx_date, count(*) AS tx_count, round(sum(amount_eur), 2) AS total_volume_eur, round(avg(amount_eur), 2) AS avg_amount_eur,
+    count(*) FILTER (is_cross_border) AS cross_border_count, count(*) FILTER (requires_aml_check) AS aml_flagged
+    FROM silver_transactions WHERE tx_date >= DATE '2001-08-01' - INTERVAL 7 DAY GROUP BY tx_date""",
 )
 def _(d):
     from datetime import date
@@ -240,11 +236,9 @@ def _(d):
 
 @query(
     "agg_05_cross_border_flows",
-    """WITH pairs AS (SELECT struct_pack(a := sender_country, b := receiver_country) AS pair, amount_eur FROM silver_transactions WHERE is_cross_border),
-    flows AS (SELECT pair, count(*) AS n, sum(amount_eur) AS total FROM pairs GROUP BY pair),
-    placed AS (SELECT *, row_number() OVER (ORDER BY round(total, 2) DESC, pair.a, pair.b) AS place FROM flows)
-    SELECT pair.a AS sender_country, pair.b AS receiver_country, n AS tx_count, round(total, 2) AS total_volume_eur, round(total / n, 2) AS avg_amount_eur
-    FROM placed WHERE place <= 20""",
+    """SELECT sender_country, receiver_country, count(*) AS tx_count, round(sum(amount_eur), 2) AS total_volume_eur, round(avg(amount_eur), 2) AS avg_amount_eur
+    FROM silver_transactions WHERE is_cross_border GROUP BY sender_country, receiver_country
+    ORDER BY total_volume_eur DESC, sender_country, receiver_country LIMIT 20""",
 )
 def _(d):
     return warehouse.cross_border_flows(d.silver_transactions)
@@ -252,12 +246,10 @@ def _(d):
 
 @query(
     "agg_06_kpis",
-    """WITH sides AS (SELECT is_cross_border AS crossing, count(*) AS n, sum(amount_eur) AS volume FROM silver_transactions GROUP BY 1),
-    crossed AS (SELECT coalesce(max(n), 0) AS n FROM sides WHERE crossing)
-    SELECT CAST(sum(s.n) AS BIGINT) AS total_transactions, round(sum(s.volume), 2) AS total_volume_eur, round(sum(s.volume) / sum(s.n), 2) AS avg_transaction_eur,
-    max(crossed.n) AS cross_border_count, round(100 * max(crossed.n) / sum(s.n), 1) AS cross_border_pct,
-    (SELECT count(symbol) FROM silver_stocks) AS stock_count, (SELECT round(mean(price_eur), 2) FROM silver_stocks) AS avg_stock_price_eur,
-    (SELECT CAST(sum(volume) AS BIGINT) FROM silver_stocks) AS total_volume FROM sides s, crossed""",
+    """SELECT count(*) AS total_transactions, round(sum(amount_eur), 2) AS total_volume_eur, round(avg(amount_eur), 2) AS avg_transaction_eur,
+    count(*) FILTER (is_cross_border) AS cross_border_count, round(100.0 * count(*) FILTER (is_cross_border) / count(*), 1) AS cross_border_pct,
+    (SELECT count(*) FROM silver_stocks) AS stock_count, (SELECT round(avg(price_eur), 2) FROM silver_stocks) AS avg_stock_price_eur,
+    (SELECT CAST(sum(volume) AS BIGINT) FROM silver_stocks) AS total_volume FROM silver_transactions""",
 )
 def _(d):
     return warehouse.kpis(d.silver_transactions, d.silver_stocks)
