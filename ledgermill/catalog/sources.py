@@ -194,9 +194,9 @@ def _(d):
 
 @query("src_11_paged", "SELECT event_id, user_id, ts FROM events")
 def _(d):
-    # a key with many equal values, read in about four polls of a quarter each
+    # a key with many equal values, read in polls of a fixed size
     rows = d.events.select("event_id", "user_id", "ts")
-    page, mark, path = -(-rows.count() // 4), -1, scratch_path(d.spark, "polls")
+    page, mark, path = 2500, -1, scratch_path(d.spark, "polls")
     while True:
         batch, newest = readers.read_incremental(rows, "user_id", mark, page)
         if newest == mark:

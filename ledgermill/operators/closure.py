@@ -100,37 +100,44 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
     """Triples entailed by sub-class, sub-property, domain and range statements, without the asserted ones.
 
     The schema is closed first, on its own; the instances are then joined with the
-    closed schema once per rule instead of being iterated over.
+    closed schema once per rule instead of being iterated over. What is made is held against those asserted statements only
+    that can be equal to it: types by a class that something implies, and the predicates that stand above another one. The rest
+    of the store is neither read nor shuffled.
     """
     classes = transitive_closure(_pairs(triples, "rdfs:subClassOf"))
     properties = transitive_closure(_pairs(triples, "rdfs:subPropertyOf"))
     every = triples.select("s", "p", "o", "o_kind")
 
-    def ruled(schema: DataFrame, column: str = "src") -> DataFrame:
-        """Statements of the predicates that a part of the schema names, when it names few enough to list."""
-        names = [r[0] for r in schema.select(column).distinct().limit(_LISTED + 1).collect()]
-        return every.filter(F.col("p").isin(names)) if len(names) <= _LISTED else every
+    def names(schema: DataFrame, column: str) -> list[str] | None:
+        """Names in a part of the schema, when they are few enough to list."""
+        found = [r[0] for r in schema.select(column).distinct().limit(_LISTED + 1).collect()]
+        return found if len(found) <= _LISTED else None
+
+    def about(listed: list[str] | None) -> DataFrame:
+        return every if listed is None else every.filter(F.col("p").isin(listed))
 
-    base = every
     # statements by super-properties
-    lifted = ruled(properties).join(properties.select(F.col("src").alias("p"), F.col("dst").alias("q")), "p").select(
-        "s", F.col("q").alias("p"), "o", "o_kind"
+    lifted = about(names(properties, "src")).join(properties.select(F.col("src").alias("p"), F.col("dst").alias("q")), "p").select(
+        "s", F.col("q").alias("p"), "o"
     )
 
-    def implied(predicate: str, node: str) -> DataFrame:
-        """Class implied for one end of a statement: by the property itself or any above it."""
+    def rules_of(predicate: str) -> DataFrame:
+        """Property and class: its own statement, or that of a property above it; a table of its own, so Spark knows its size."""
         direct = _pairs(triples, predicate)
         through = properties.withColumnRenamed("dst", "mid").join(direct.withColumnRenamed("src", "mid"), "mid")
-        # a table of its own, so Spark knows its size before the join
-        rules = stored(direct.unionByName(through.select("src", "dst")).distinct(), "rules")
-        ends = ruled(rules)
+        return stored(direct.unionByName(through.select("src", "dst")).distinct(), "rules")
+
+    domains, ranges = rules_of("rdfs:domain"), rules_of("rdfs:range")
+
+    def implied(rules: DataFrame, node: str) -> DataFrame:
+        ends = about(names(rules, "src"))
         if node == "o":
             ends = ends.filter(F.col("o_kind") == "iri")
         # statements are many, (property, class) rules few: reduce to one row per end and class at once
         return ends.join(rules.withColumnRenamed("src", "p"), "p").select(F.col(node).alias("s"), F.col("dst").alias("o"))
 
-    asserted_types = base.filter(F.col("p") == "rdf:type").select("s", "o")
-    typed = implied("rdfs:domain", "s").unionByName(implied("rdfs:range", "o")).distinct()
+    asserted_types = every.filter(F.col("p") == "rdf:type").select("s", "o")
+    typed = implied(domains, "s").unionByName(implied(ranges, "o")).distinct()
     above = (
         asserted_types.unionByName(typed)
         .join(classes.select(F.col("src").alias("o"), F.col("dst").alias("up")), "o")
@@ -142,13 +149,22 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
         return pairs.select(F.col("src").alias("s"), F.lit(predicate).alias("p"), F.col("dst").alias("o"))
 
     entailed = (
-        lifted.select("s", "p", "o")
+        lifted
         .unionByName(type_rows)
         .unionByName(schema_rows(classes, "rdfs:subClassOf"))
         .unionByName(schema_rows(properties, "rdfs:subPropertyOf"))
         .distinct()
     )
-    return entailed.join(base.select("s", "p", "o"), ["s", "p", "o"], "left_anti")
+    made = classes.select("dst").unionByName(domains.select("dst")).unionByName(ranges.select("dst")).distinct()
+    made = stored(made.withColumnRenamed("dst", "o"), "made-classes")
+    supers = names(properties, "dst")
+    if supers is None or "rdf:type" in supers:
+        known = about(None if supers is None else [*supers, "rdf:type", "rdfs:subClassOf", "rdfs:subPropertyOf"]).select("s", "p", "o")
+    else:
+        known = about([*supers, "rdfs:subClassOf", "rdfs:subPropertyOf"]).select("s", "p", "o").unionByName(
+            asserted_types.join(made, "o", "left_semi").select("s", F.lit("rdf:type").alias("p"), "o")
+        )
+    return entailed.join(known, ["s", "p", "o"], "left_anti")
 
 
 def instances_of(triples: DataFrame, cls: str) -> DataFrame:

@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+
+from ledgermill.operators.ordered import dense_index
 
 
 def read_rate_history(spark: SparkSession, path: str) -> DataFrame:
@@ -96,6 +99,43 @@ def read_jdbc(spark: SparkSession, url: str, table: str, driver: str, partition:
     return reader.load()
 
 
+PICKED = 10_000  # so many keys at most are sorted on the driver
+
+
+def key_at(rows: DataFrame, key: str, place: int):
+    """The key of the row at ``place`` in the order of ``key`` (the greatest, if there are fewer rows); None without rows.
+
+    A sketch of the keys names two bounds around the place, a count tells which side of them it lies on, and the search goes on
+    there. Every step is one aggregation over the rows in question: nothing is sorted, and no task takes the first rows of all.
+    Keys of types without such a sketch (text) are numbered over a range-partitioned order instead.
+    """
+    kind = rows.schema[key].dataType
+    if not isinstance(kind, (NumericType, DateType, TimestampType, TimestampNTZType)):
+        last = rows.agg(F.max(key)).first()[0]
+        found = dense_index(rows.select(key), [key], "_place").filter(F.col("_place") == place).first()
+        return found[key] if found else last
+    rows, value = rows.select(key).filter(F.col(key).isNotNull()), F.col(key)
+    while True:
+        n, low, high = rows.agg(F.count(key), F.min(key), F.max(key)).first()
+        if place >= n or low == high:
+            return high
+        if n <= PICKED:
+            return sorted(r[0] for r in rows.collect())[place]
+        share = place / n
+        left, right = rows.agg(F.percentile_approx(key, [max(0.0, share - 0.001), min(1.0, share + 0.001)], 10_000)).first()[0]
+        if (left, right) == (low, high):
+            right = left  # few different keys: the least one is judged alone
+        under, inside = rows.agg(F.count_if(value < F.lit(left)), F.count_if(value.between(F.lit(left), F.lit(right)))).first()
+        if place < under:
+            rows = rows.filter(value < F.lit(left))
+        elif place < under + inside:
+            if left == right:
+                return left
+            rows, place = rows.filter(value.between(F.lit(left), F.lit(right))), place - under
+        else:
+            rows, place = rows.filter(value > F.lit(right)), place - under - inside
+
+
 def read_incremental(df: DataFrame, key: str, last, limit: int | None = None) -> tuple[DataFrame, object]:
     """Rows above the high-water mark, and the new mark (the old one when nothing is new).
 
@@ -104,7 +144,7 @@ def read_incremental(df: DataFrame, key: str, last, limit: int | None = None) ->
     are cut at the mark, so rows that arrive between the two reads wait for the next poll.
     """
     fresh = df.filter(F.col(key) > F.lit(last))
-    newest = (fresh if limit is None else fresh.select(key).orderBy(key).limit(limit)).agg(F.max(key)).first()[0]
+    newest = fresh.agg(F.max(key)).first()[0] if limit is None else key_at(fresh, key, limit - 1)
     return fresh.filter(F.col(key) <= F.lit(newest)), last if newest is None else newest
 
 

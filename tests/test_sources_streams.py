@@ -262,6 +262,16 @@ def test_incremental_mark(spark):
     assert "Limit" not in plan and "Sort" not in plan
 
 
+@pytest.mark.parametrize("values", ["id", "id % 7", "id div 9000", "cast(id * id as double)", "timestamp_seconds(id)", "cast(id % 50 as string)", "if(id < 30000, 5, id)"])
+def test_key_at_a_place(spark, monkeypatch, values):
+    monkeypatch.setattr(readers, "PICKED", 100)
+    rows = spark.range(40_000).selectExpr(f"{values} AS k").repartition(7)
+    want = sorted(r.k for r in rows.collect())
+    for place in (0, 1, 12_345, 39_999, 50_000):
+        assert readers.key_at(rows, "k", place) == want[min(place, 39_999)]
+    assert readers.key_at(rows.limit(0), "k", 3) is None
+
+
 def test_build_reports_each_table(spark):
     from ledgermill.plans.build import build_tables
     from ledgermill.plans.layers import Layers
