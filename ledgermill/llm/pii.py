@@ -5,7 +5,8 @@ its score. Matches are leftmost and do not overlap within a kind. Positions coun
 the text at the same pattern: the pieces between the matches and the matches alternate.
 
 The patterns are written so that no text, however long, costs more than linear time: repetitions are possessive or bounded,
-and a run that cannot start a match is not entered again at each of its characters (``(?:\\G|(?<!...))``).
+and a run that cannot start a match is not entered again at each of its characters (``(?:\\G|(?<!...))``). Starts of matches are
+sums over chunks of matches, so a text of very many numbers costs little more than its length.
 
 Defined results: null and empty texts have no span; an empty table gives an empty result. Rows are independent, so repeated
 rows repeat their result. Columns besides identifier and text are ignored.
@@ -13,6 +14,8 @@ rows repeat their result. Columns besides identifier and text are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,21 +95,56 @@ def _valid(kind: str, match: Column) -> Column:
 _SPANS = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
+_CHUNK = 256  # steps placed in one run; lists grow by copies, so they are kept short
+_PLACED = "array<struct<start:int,match:string,gap:string>>"
+
+
+def _placed(steps: Column) -> Column:
+    """Start of each match from the lengths of the gaps and matches before it: sums of chunks first, then inside each chunk."""
+    ends = lambda at, step: at + F.length(step["gap"]) + F.length(step["match"])
+
+    def inside(chunk: Column, begin: Column) -> Column:
+        empty = F.struct(begin.alias("at"), F.array().cast(_PLACED).alias("all"))
+
+        def place(state: Column, step: Column) -> Column:
+            start = state["at"] + F.length(step["gap"])
+            one = F.struct(start.alias("start"), step["match"].alias("match"), step["gap"].alias("gap"))
+            return F.struct(ends(state["at"], step).alias("at"), F.concat(state["all"], F.array(one)).alias("all"))
+
+        return F.aggregate(chunk, empty, place, lambda state: state["all"])
+
+    def begins(chunks: Column) -> Column:
+        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("all"))
+        sizes = F.transform(chunks, lambda chunk: F.aggregate(chunk, F.lit(0), ends))
+        return F.aggregate(
+            sizes, empty, lambda state, size: F.struct((state["at"] + size).alias("at"), F.concat(state["all"], F.array(state["at"])).alias("all")),
+            lambda state: state["all"],
+        )
+
+    def whole(steps: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.size(steps), F.lit(_CHUNK)), lambda at: at < F.size(steps))
+        chunks = F.transform(firsts, lambda at: F.slice(steps, at + 1, F.lit(_CHUNK)))
+        return _bound(chunks, lambda known: F.flatten(F.zip_with(known, begins(known), inside)))
+
+    return _bound(steps, whole)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once; an expression inside a lambda would be for each element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def spans(text: Column, kind: str) -> Column:
     """Confirmed spans of one kind, in order of their start."""
     pattern = PATTERNS[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
-    steps = F.zip_with(between, found, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,match:string,gap:string>>").alias("all"))
-
-    def place(state: Column, step: Column) -> Column:
-        start = state["at"] + F.length(step["gap"])
-        one = F.struct(start.alias("start"), step["match"].alias("match"), step["gap"].alias("gap"))
-        return F.struct((start + F.length(step["match"])).alias("at"), F.concat(state["all"], F.array(one)).alias("all"))
-
-    placed = F.aggregate(steps, empty, place, lambda state: state["all"])
-    confirmed = F.filter(placed, lambda s: _valid(kind, s["match"]))
+    steps = _bound(
+        found,
+        lambda matches: F.zip_with(
+            F.slice(F.split(text, pattern, -1), F.lit(1), F.size(matches)), matches, lambda gap, match: F.struct(gap.alias("gap"), match.alias("match"))
+        ),
+    )
+    confirmed = F.filter(_placed(steps), lambda s: _valid(kind, s["match"]))
     named = F.transform(
         confirmed,
         lambda s: F.struct(
