@@ -16,7 +16,6 @@ document is ``und``. Ties go to the language that sorts first. Columns besides t
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ from ledgermill.llm.common import slim
 
 BUCKETS = 1 << 15
 ORDERS = (2, 3, 4)
-_LETTER = re.compile(r"[^\W\d_]")
+_LISTED = 10_000  # languages whose shares are written into the filter; more are joined
 _KNOWN = np.array([c if chr(c).isalpha() else 32 for c in range(0x250)], dtype=np.uint32)
 _CHUNK = 1 << 20
 
@@ -65,7 +64,7 @@ class Model:
         return total / len(buckets) + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if not self.languages or text is None or not _LETTER.search(text):
+        if not self.languages or text is None or not any(map(str.isalpha, text)):
             return "und", 0.0, True
         p = _softmax(self.logits(text)[None, :] / self.temperature)[0]
         best = int(p.argmax())
@@ -134,7 +133,13 @@ def train(docs: DataFrame, learn_from: Column, id_col: str = "doc_id", text_col:
     # a threshold on the hash leaves about twice the sample before languages are brought together
     shares = known.groupBy("lang").agg((2.0 * per_language / F.count(F.lit(1))).alias("_share"))
     place = F.col("order") / F.lit(2.0**64) + 0.5
-    known = known.join(shares, "lang").where(place < F.col("_share"))
+    # as a map in the filter, so that the rows of a language are not brought together before it
+    listed = shares.limit(_LISTED + 1).collect()
+    if len(listed) <= _LISTED:
+        share = F.create_map(*(F.lit(x) for r in listed for x in (r["lang"], r["_share"]))) if listed else F.create_map().cast("map<string,double>")
+        known = known.where(place < F.try_element_at(share, "lang"))
+    else:
+        known = known.join(shares, "lang").where(place < F.col("_share"))
     within = Window.partitionBy("lang").orderBy("order", "doc_id")
     chosen = known.withColumn("_at", F.row_number().over(within)).where(F.col("_at") <= per_language).select("doc_id", "lang", "order")
     texts = slim(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id")  # per_language rows of each language at most

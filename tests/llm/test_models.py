@@ -189,3 +189,9 @@ def test_a_small_word_memory_changes_nothing():
     texts = [" ".join(f"word{i % k}s{i}" for i in range(60)) for k in (3, 7, 11)] * 3
     plain, small = packing.Encoder(queries.vocabulary()), packing.Encoder(queries.vocabulary(), memory=20)
     assert [plain(t) for t in texts] == [small(t) for t in texts] == [plain._whole(t) for t in texts]
+
+
+def test_numerals_are_no_letters(spark, tmp_path):
+    rows = [(1, "½ ² Ⅷ 123 __", "en", "", 0), (2, "plain words here", "en", "", 0), (3, "andere Wörter dort", "de", "", 0), (4, "ªº", "de", "", 0)]
+    got = {r.doc_id: (r.lang_pred, r.score) for r in run(spark, "op2_language", folder(spark, tmp_path, rows)).collect()}
+    assert got[1][0] == "und" and all(got[i][0] != "und" for i in (2, 3, 4))
