@@ -38,7 +38,7 @@ _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^\s{_L}{_N}]+")
 #: Other signs (and the dotted capital I) and the special tokens' brackets.
 _UNSURE = re.compile("[^\\t-\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u024f]|<\\|")
 _WORDS_AT_ONCE = 2000
-MEMORY = 600_000  # words an encoder holds ready, and as many of before; some 100 bytes each
+MEMORY = 150_000  # words an encoder holds ready, and as many of before; some 300 bytes each, in every worker and from task to task
 
 
 class Encoder:
