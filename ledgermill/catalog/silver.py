@@ -9,7 +9,6 @@ from ledgermill.plans.layers import rounded
 from ledgermill.plans.oracle import view
 
 
-
 def _euro(value):
     """Units of a currency per euro; a currency that is not listed passes through."""
     return f"CASE currency WHEN 'USD' THEN {value} / 1.08e0 WHEN 'GBP' THEN {value} / 0.86e0 ELSE {value} END"
