@@ -101,6 +101,9 @@ class Scratch:
         self._paths.append((table, path))
         return table
 
+    def tables(self) -> list[DataFrame]:
+        return [t for t, _ in self._paths]
+
     def drop_all_but(self, *tables: DataFrame) -> None:
         self.drop(*[t for t, _ in self._paths if not any(t is x for x in tables)])
 
