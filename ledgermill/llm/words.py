@@ -24,7 +24,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least n powers of an odd base and of its inverse."""
     size = 1 << max(12, (n - 1).bit_length())
     if size not in _POWERS:
         if len(_POWERS) > 3:
@@ -41,7 +42,7 @@ def hashed(raw: np.ndarray, gaps: np.ndarray = BLANK) -> tuple[np.ndarray, np.nd
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     edge = np.flatnonzero(np.diff(np.concatenate([[True], gaps[raw], [True]]).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
-    up, down = _powers(len(raw) + 1)
+    up, down = powers(len(raw) + 1)
     sums = np.concatenate([[np.uint64(0)], np.cumsum(_SIGN[FOLD[raw]] * up[: len(raw)], dtype=np.uint64)])
     return mix((sums[ends] - sums[starts]) * down[starts]), starts, ends
 

@@ -120,6 +120,31 @@ def test_best_chain_equals_brute_force(seed):
     assert sorted(i for c in found for i in c) == sorted({i for c in found for i in c})
 
 
+def test_two_seeds_apart_make_no_chain():
+    rng = np.random.default_rng(3)
+    told = set()
+    for _ in range(3000):
+        a, b = rng.integers(0, 60, 2), rng.integers(0, 60, 2)
+        if rng.random() < 0.3:
+            b = a + int(rng.integers(0, 9))
+        if (a[0], b[0]) == (a[1], b[1]):
+            continue
+        apart = passages.apart(b, a)
+        assert apart == (not passages.chains(passages.segments(a, b), passages.SEED + 1))
+        told.add(apart)
+    assert told == {True, False}
+
+
+def test_names_of_stretches_are_equal_where_the_words_are():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 3, 400).astype(np.uint32)
+    names = passages.stretch_names(words, np.arange(400), 6)
+    kept = {}
+    for i in range(395):
+        assert kept.setdefault(names[i], words[i : i + 6].tolist()) == words[i : i + 6].tolist()
+    assert len(kept) == len({tuple(words[i : i + 6]) for i in range(395)}) and not names[395:].any()
+
+
 def test_planted_fuzzy_passages(spark, tmp_path):
     rng = np.random.default_rng(2)
     passage = made_words(rng, 80)
