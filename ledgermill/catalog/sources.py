@@ -6,7 +6,7 @@ from ledgermill.catalog.registry import query
 from ledgermill.operators import silver
 from ledgermill.plans.layers import rounded
 from ledgermill.plans.oracle import view
-from ledgermill.plans.triples import stored_quads
+from ledgermill.plans.triples import graph_quads
 from ledgermill.session import scratch_path
 from ledgermill.sources import raw, readers, writers
 
@@ -239,7 +239,7 @@ def _(d):
 @query("src_15_ntriples", "SELECT graph, s, p, o, o_kind, datatype, lang FROM quads")
 def _(d):
     path = scratch_path(d.spark, "quads")
-    readers.to_ntriples(stored_quads(d)).write.text(path)
+    readers.to_ntriples(graph_quads(d)).write.text(path)
     return readers.read_ntriples(d.spark, path, "data")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,17 +98,25 @@ def _pairs(triples: DataFrame, predicate: str) -> DataFrame:
     return triples.filter(F.col("p") == predicate).select(F.col("s").alias("src"), F.col("o").alias("dst"))
 
 
-def rdfs_closure(triples: DataFrame) -> DataFrame:
+def rdfs_closure(triples: DataFrame | Callable[[Sequence[str]], DataFrame]) -> DataFrame:
     """Triples entailed by sub-class, sub-property, domain and range statements, without the asserted ones.
 
+    ``triples`` is a table or a function that gives the triples of some predicates (all of them, if none is named).
+
     The schema is closed first, on its own; the instances are then joined with the
     closed schema once per rule instead of being iterated over. What is made is held against those asserted statements only
     that can be equal to it: types by a class that something implies, and the predicates that stand above another one. The rest
     of the store is neither read nor shuffled.
     """
-    classes = transitive_closure(_pairs(triples, "rdfs:subClassOf"))
-    properties = transitive_closure(_pairs(triples, "rdfs:subPropertyOf"))
-    every = triples.select("s", "p", "o", "o_kind")
+    def of(predicates: Sequence[str]) -> DataFrame:
+        rows = triples(predicates) if callable(triples) else triples.filter(F.col("p").isin(list(predicates))) if predicates else triples
+        return rows.select("s", "p", "o", "o_kind")
+
+    def pairs(predicate: str) -> DataFrame:
+        return _pairs(of([predicate]), predicate)
+
+    classes = transitive_closure(pairs("rdfs:subClassOf"))
+    properties = transitive_closure(pairs("rdfs:subPropertyOf"))
 
     def names(schema: DataFrame, column: str) -> list[str] | None:
         """Names in a part of the schema, when they are few enough to list."""
@@ -114,7 +124,9 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
         return found if len(found) <= _LISTED else None
 
     def about(listed: list[str] | None) -> DataFrame:
-        return every if listed is None else every.filter(F.col("p").isin(listed))
+        if listed is None:
+            return of([])
+        return of(listed) if listed else of(["rdf:type"]).limit(0)
 
     # statements by super-properties
     lifted = about(names(properties, "src")).join(properties.select(F.col("src").alias("p"), F.col("dst").alias("q")), "p").select(
@@ -123,7 +135,7 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
 
     def rules_of(predicate: str) -> DataFrame:
         """Property and class: its own statement, or that of a property above it; a table of its own, so Spark knows its size."""
-        direct = _pairs(triples, predicate)
+        direct = pairs(predicate)
         through = properties.withColumnRenamed("dst", "mid").join(direct.withColumnRenamed("src", "mid"), "mid")
         return stored(direct.unionByName(through.select("src", "dst")).distinct(), "rules")
 
@@ -136,7 +148,7 @@ def rdfs_closure(triples: DataFrame) -> DataFrame:
         # statements are many, (property, class) rules few: reduce to one row per end and class at once
         return ends.join(rules.withColumnRenamed("src", "p"), "p").select(F.col(node).alias("s"), F.col("dst").alias("o"))
 
-    asserted_types = every.filter(F.col("p") == "rdf:type").select("s", "o")
+    asserted_types = of(["rdf:type"]).select("s", "o")
     typed = implied(domains, "s").unionByName(implied(ranges, "o")).distinct()
     above = (
         asserted_types.unionByName(typed)

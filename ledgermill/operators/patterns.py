@@ -10,7 +10,7 @@ bucket by bucket without a shuffle; queries join their stars first and follow li
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -20,18 +20,20 @@ from ledgermill.operators.closure import Rounds
 from ledgermill.session import stored
 
 TYPE, LABEL = "rdf:type", "rdfs:label"
+BROADCAST_ROWS = 50_000  # so many nodes at most Spark may send to every task
 
 
 def pattern(triples: DataFrame, predicate: str, subject: str, obj: str, keep_lang: bool = False) -> DataFrame:
+    """Subjects and objects of one predicate, to be sort-merged: files of triples are far smaller than their rows in memory."""
     columns = [F.col("s").alias(subject), F.col("o").alias(obj)]
     if keep_lang:
         columns.append(F.col("lang").alias(f"{obj}_lang"))
-    return triples.filter(F.col("p") == predicate).select(*columns)
+    return triples.filter(F.col("p") == predicate).select(*columns).hint("merge")
 
 
 def instances(triples: DataFrame, cls: str | list[str], subject: str) -> DataFrame:
     classes = [cls] if isinstance(cls, str) else cls
-    found = triples.filter((F.col("p") == TYPE) & F.col("o").isin(*classes)).select(F.col("s").alias(subject))
+    found = triples.filter((F.col("p") == TYPE) & F.col("o").isin(*classes)).select(F.col("s").alias(subject)).hint("merge")
     return found if len(classes) == 1 else found.distinct()
 
 
@@ -68,13 +70,18 @@ def english(column: str) -> Column:
 class Graph:
     """The reference's graph questions over one triple table.
 
-    ``stars`` may hold the same triples bucketed by subject, all but those of the predicates ``spread``.
+    ``stars`` may hold the same triples bucketed by subject, all but those of the predicates ``spread``. Instead of tables
+    there may be a function ``of`` that gives the triples of one predicate; ``triples`` is then needed by questions about all only.
     """
 
-    def __init__(self, triples: DataFrame, stars: DataFrame | None = None, spread: Sequence[str] = ()):
-        self.triples, self.stars, self.spread = triples, stars, spread
+    def __init__(
+        self, triples: DataFrame | None, stars: DataFrame | None = None, spread: Sequence[str] = (), of: Callable[[str], DataFrame] | None = None
+    ):
+        self.triples, self.stars, self.spread, self.of = triples, stars, spread, of
 
     def _source(self, predicate: str) -> DataFrame:
+        if self.of is not None:
+            return self.of(predicate)
         return self.triples if self.stars is None or predicate in self.spread else self.stars
 
     def p(self, predicate: str, subject: str, obj: str, keep_lang: bool = False) -> DataFrame:
@@ -102,7 +109,9 @@ class Graph:
         shuffle the subjects by a handful of keys.
         """
         wanted = nodes.select(variable).distinct()
-        return stored(every(wanted, *found), "middle")
+        values = stored(every(wanted, *found), "middle")
+        # the footers tell the rows; the size of the files says little about them in memory
+        return values if values.count() <= BROADCAST_ROWS else values.hint("merge")
 
     def path(self, first: str, second: str, subject: str, obj: str) -> DataFrame:
         links = self.p(first, subject, "_mid")
@@ -339,9 +348,9 @@ class Graph:
         while True:
             blanks = frontier.filter(F.col("o").startswith("_:")).select(F.col("o").alias("s")).distinct()
             blanks = blanks.join(rounds.known().select("s"), "s", "left_anti")
-            frontier = rounds.add(self.triples.join(blanks, "s", "left_semi").select("s", "p", "o"))
-            if frontier.isEmpty():
+            if blanks.isEmpty():
                 return rounds.known()
+            frontier = rounds.add(self.triples.join(blanks, "s", "left_semi").select("s", "p", "o"))
 
     def construct_simple_stocks(self) -> DataFrame:
         found = every(
@@ -352,7 +361,7 @@ class Graph:
         return found.select(F.inline(rows)).distinct()
 
     def type_counts(self, prefix: str) -> DataFrame:
-        typed = self.triples.filter((F.col("p") == TYPE) & F.col("o").startswith(prefix))
+        typed = self._source(TYPE).filter((F.col("p") == TYPE) & F.col("o").startswith(prefix))
         return typed.groupBy(F.col("o").alias("type")).agg(F.count("s").alias("count")).orderBy(F.col("count").desc(), "type")
 
     def kb_stats(self, prefix: str = "onto:") -> DataFrame:
@@ -424,7 +433,8 @@ class Graph:
         return self._labelled(tops)
 
     def narrower_concepts(self, iri: str) -> DataFrame:
-        children = self.triples.filter((F.col("p") == "skos:narrower") & (F.col("s") == iri)).select(F.col("o").alias("concept"))
+        links = self._source("skos:narrower")
+        children = links.filter((F.col("p") == "skos:narrower") & (F.col("s") == iri)).select(F.col("o").alias("concept"))
         return self._labelled(children, self.p("skos:altLabel", "concept", "altLabel"))
 
     def search_concepts(self, keyword: str, limit: int = 50) -> DataFrame:
@@ -456,8 +466,8 @@ def ontology_classes(ontology: DataFrame, prefix: str = "onto:") -> DataFrame:
     ).orderBy("class")
 
 
-def ontology_properties(triples: DataFrame, prefix: str = "onto:") -> DataFrame:
-    g = Graph(triples)
+def ontology_properties(triples: DataFrame | Graph, prefix: str = "onto:") -> DataFrame:
+    g = triples if isinstance(triples, Graph) else Graph(triples)
 
     def of(kind):
         return g.a(f"owl:{kind}", "property").withColumn("type", F.lit(kind))
