@@ -194,15 +194,13 @@ def _(d):
 
 @query("src_11_paged", "SELECT event_id, user_id, ts FROM events")
 def _(d):
-    # a key with many equal values, read in polls of a fixed size
+    # a key with many equal values, read in polls of a fixed size, all of them in one pass
     rows = d.events.select("event_id", "user_id", "ts")
-    page, mark, path = 2500, -1, scratch_path(d.spark, "polls")
-    while True:
-        batch, newest = readers.read_incremental(rows, "user_id", mark, page)
-        if newest == mark:
-            return d.spark.read.schema(rows.schema).parquet(path)
-        batch.write.mode("append").parquet(path)
-        mark = newest
+    page, path = 2500, scratch_path(d.spark, "polls")
+    batch, _ = readers.read_incremental(rows, "user_id", -1)
+    polls = readers.cut_polls(batch, "user_id", page)
+    polls.repartitionByRange("poll", "user_id").sortWithinPartitions("poll", "user_id").write.parquet(path)
+    return d.spark.read.parquet(path).select(*rows.columns)
 
 
 def _messages(d):

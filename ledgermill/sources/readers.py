@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-from ledgermill.operators.ordered import dense_index
+from ledgermill.operators.cooldown import MINUTE, cooldown
+from ledgermill.operators.ordered import dense_index, running_totals
+from ledgermill.session import stored
 
 
 def read_rate_history(spark: SparkSession, path: str) -> DataFrame:
@@ -148,6 +150,24 @@ def read_incremental(df: DataFrame, key: str, last, limit: int | None = None) ->
     return fresh.filter(F.col(key) <= F.lit(newest)), last if newest is None else newest
 
 
+def cut_polls(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """All polls of ``limit`` rows at once: the rows with the number of their ``poll``, cut as :func:`read_incremental` does one by one.
+
+    A poll ends with the first key up to which ``limit`` rows have come since the last one ended. That is the rule of a
+    cooldown whose moments are the counts of rows up to each key (a minute for a row), and it is solved in parallel as such.
+    """
+    rows = df.filter(F.col(key).isNotNull())
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    upto = stored(running_totals(counts, [key], {"_upto": F.col("_n")}).select(key, "_upto"), "rows-by-key")
+    start = df.sparkSession.range(1).select(F.lit(0).cast("long").alias("_upto"))
+    moment = F.timestamp_micros(F.col("_upto") * MINUTE)
+    ends = cooldown(start.unionByName(upto.select("_upto")).select(F.lit("polls").alias("rule"), moment.alias("ts"), "_upto"), limit)
+    ends = ends.filter(F.col("_upto") > 0).select("_upto", F.lit(1).alias("_ends"))
+    marked = upto.join(ends, "_upto", "left").withColumn("_ends", F.coalesce("_ends", F.lit(0)))
+    numbered = running_totals(marked, ["_upto"], {"_ended": F.col("_ends")})
+    return rows.join(numbered.select(key, (F.col("_ended") - F.col("_ends")).alias("poll")), key)
+
+
 def read_kafka_stream(spark: SparkSession, servers: str, topics: str, starting: str = "latest", **options: str) -> DataFrame:
     """Topic stream; needs the Kafka connector on the class path."""
     base = {"kafka.bootstrap.servers": servers, "subscribe": topics, "startingOffsets": starting, "failOnDataLoss": "false"}

@@ -289,3 +289,20 @@ def test_build_reports_each_table(spark):
     fact = spark.read.parquet(f"{target}/facts/fact_transactions")
     assert status == "success" and rows == fact.count() > 0
     assert fact.filter("month_key = date_sk div 100").count() == rows
+
+
+def test_polls_cut_at_once_equal_polls_one_by_one(spark):
+    rng = random.Random(4)
+    keys = [k for k in range(300) for _ in range(rng.choice([1, 1, 2, 5, 40]))] + [400] * 90
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "key long, id long")
+    want, mark = [], -1
+    while True:
+        batch, newest = readers.read_incremental(rows, "key", mark, 300)
+        if newest == mark:
+            break
+        want.append(sorted(r.id for r in batch.collect()))
+        mark = newest
+    got = {}
+    for r in readers.cut_polls(rows.unionByName(spark.createDataFrame([(None, -1)], rows.schema)), "key", 300).collect():
+        got.setdefault(r.poll, []).append(r.id)
+    assert [sorted(got[k]) for k in sorted(got)] == want and len(want) > 5
