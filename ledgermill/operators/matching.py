@@ -5,44 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Probe lengths: a name is looked up by a gram of the longest size that fits in it.
-GRAM_SIZES = (1, 2, 3, 6, 12)
-
-
-def _grams(name: Column, size: int) -> Column:
-    """Distinct substrings of ``size`` characters (empty when the name is shorter)."""
-    starts = F.sequence(F.lit(1), F.length(name) - (size - 1))
-    return F.when(
-        F.length(name) >= size, F.array_distinct(F.transform(starts, lambda i: F.substring(name, i, F.lit(size))))
-    ).otherwise(F.array().cast("array<string>"))
-
-
 def _contained(keys: DataFrame) -> DataFrame:
     """(key1, key2): distinct keys of which one contains the other, both ways round, and every key with itself.
 
-    If ``short`` occurs in ``long``, every gram of ``short`` does too, so looking up
-    one gram of ``short`` finds every container: an equi-join instead of a cross
-    join. Each key is looked up by its rarest gram of the longest fitting size, so
-    common prefixes do not produce candidates.
+    A key that occurs in another is one of its substrings of that length. The lengths of keys are few, so every key is listed under its
+    substrings of just these lengths (as hashes) and a containment is an equi-join instead of a cross join: apart from
+    equal hashes, which are told apart afterwards, no pair is formed that is not a result.
     """
-    # grams of different sizes never coincide, so the concatenation holds each once
-    grams = F.concat(*[_grams(F.col("key"), size) for size in GRAM_SIZES])
-    index = keys.select("key", F.explode_outer(grams).alias("gram"))
-    frequency = index.groupBy("gram").agg(F.count(F.lit(1)).alias("uses"))
-    own = F.lit(None).cast("array<string>")
-    for size in GRAM_SIZES:
-        own = F.when(F.length("key") >= size, _grams(F.col("key"), size)).otherwise(own)
-    probes = (
-        keys.select("key", F.explode_outer(own).alias("gram"))
-        .join(frequency, "gram")
-        .groupBy("key")
-        .agg(F.min_by("gram", F.struct("uses", "gram")).alias("gram"))
-    )
-    inside = (
-        probes.select(F.col("key").alias("short"), "gram")
-        .join(index.select(F.col("key").alias("long"), "gram"), "gram")
-        .filter(F.col("long").contains(F.col("short")))
-    )
+    # one row: as many lengths as the longest key has characters, at most
+    lengths = keys.agg(F.sort_array(F.collect_set(F.length("key"))).alias("_lengths"))
+
+    def substrings(size: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length("key") - size + 1)
+        return F.transform(starts, lambda i: F.xxhash64(F.substring("key", i, size)))
+
+    fitting = F.filter("_lengths", lambda size: size <= F.length("key"))
+    parts = F.array_distinct(F.flatten(F.transform(fitting, substrings)))
+    index = keys.crossJoin(F.broadcast(lengths)).select(F.col("key").alias("long"), F.explode(parts).alias("part"))
+    whole = keys.select(F.col("key").alias("short"), F.xxhash64("key").alias("part"))
+    # merged, since the sizes of files say nothing about the rows of the index
+    inside = whole.join(index.hint("merge"), "part").filter(F.col("long").contains(F.col("short")))
     ways = [F.struct(F.col(a).alias("key1"), F.col(b).alias("key2")) for a, b in (("short", "long"), ("long", "short"))]
     return inside.select(F.inline(F.when(F.col("long") == F.col("short"), F.array(ways[0])).otherwise(F.array(*ways))))
 
@@ -64,5 +46,5 @@ def name_match_pairs(entities: DataFrame, id_col: str = "id", name_col: str = "n
     def side(n: int) -> DataFrame:
         return keyed.select(F.col("key").alias(f"key{n}"), F.col("id").alias(f"id{n}"), F.col("name").alias(f"name{n}"))
 
-    pairs = matched.join(side(1), "key1").join(side(2), "key2").filter(F.col("id1") != F.col("id2")).select("id1", "name1", "id2", "name2")
+    pairs = matched.join(side(1).hint("merge"), "key1").join(side(2).hint("merge"), "key2").filter(F.col("id1") != F.col("id2")).select("id1", "name1", "id2", "name2")
     return pairs if first is None else pairs.orderBy("id1", "id2").limit(first)

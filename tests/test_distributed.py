@@ -262,3 +262,12 @@ def test_carried_frames_equal_frames_over_everything(spark, current, chunk):
         counts = {r.key: r["count"] for r in before.groupBy("key").count().collect()}
         assert all(n <= preceding for n in counts.values())
     assert sorted(got, key=str) == want
+
+
+def test_names_are_listed_under_lengths_that_occur(spark):
+    """A name is looked up whole, so a hundred names that share every gram but one make no more candidates than results."""
+    rows = [(str(i), f"Customer#{i:09d}") for i in range(100)] + [("x", "Big customer#000000007 Ltd"), ("y", "ö"), ("z", "Kö"), ("e", "")]
+    pairs = name_match_pairs(spark.createDataFrame(rows, "id string, name string"))
+    assert sorted((r.id1, r.id2) for r in pairs.collect()) == [("7", "x"), ("x", "7"), ("y", "z"), ("z", "y")]
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") >= 3 and plan.count("BroadcastHashJoin") == 0
