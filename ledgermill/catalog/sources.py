@@ -237,7 +237,7 @@ def _(d):
 @query("src_15_ntriples", "SELECT graph, s, p, o, o_kind, datatype, lang FROM quads")
 def _(d):
     path = scratch_path(d.spark, "quads")
-    readers.to_ntriples(graph_quads(d)).write.text(path)
+    readers.to_ntriples(graph_quads(d)).write.option("compression", "gzip").text(path)
     return readers.read_ntriples(d.spark, path, "data")
 
 

@@ -55,3 +55,21 @@ def test_answers_do_not_depend_on_the_layout(graph):
     for question in ("high_value_transactions", "cross_border", "company_financials", "transactions"):
         rows = [sorted(map(str, getattr(g, question)().collect())) for g in (graph, plain)]
         assert rows[0] == rows[1] and rows[0], question
+
+
+def test_a_question_stores_only_its_predicates(spark):
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    triples.forget()
+    rows = triples.of_predicates(inputs, "rdf:type", "onto:amountEUR")
+    assert {r.p for r in rows.select("p").distinct().collect()} == {"rdf:type", "onto:amountEUR"}
+    held = next(iter(triples._tables.values()))
+    assert sorted(held) == ["onto:amountEUR", "rdf:type"]
+    whole = triples.default_graph(inputs).filter("p IN ('rdf:type', 'onto:amountEUR')")
+    assert rows.exceptAll(whole).isEmpty() and whole.exceptAll(rows).isEmpty()
+    triples.forget()
+
+
+def test_statements_are_made_distinct_where_they_were_dealt(spark):
+    inputs = Inputs(spark, "/root/testdata/sf0.001")
+    plan = triples.dealt_quads(inputs).drop("graph").distinct()._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(_deal", plan)) == 1
