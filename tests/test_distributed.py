@@ -10,7 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators import cooldown as cooling
-from ledgermill.operators.closure import adjacency, full_lineage, rdfs_closure, reachable, transitive_closure
+from ledgermill.operators.closure import adjacency, distinct_in_order, full_lineage, rdfs_closure, reachable, transitive_closure
 from ledgermill.operators.matching import name_match_pairs
 from ledgermill.operators.ordered import bounded_frames, carried_frames, dense_index, running_totals
 
@@ -271,3 +271,10 @@ def test_names_are_listed_under_lengths_that_occur(spark):
     assert sorted((r.id1, r.id2) for r in pairs.collect()) == [("7", "x"), ("x", "7"), ("y", "z"), ("z", "y")]
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert plan.count("SortMergeJoin") >= 3 and plan.count("BroadcastHashJoin") == 0
+
+
+def test_edges_are_shuffled_once_before_the_rounds(spark):
+    edges = spark.range(1000).selectExpr("cast(id % 1 as string) as direction", "cast(id % 10 as string) as src", "cast(id % 20 as string) as dst")
+    ranged = distinct_in_order(edges, "direction")
+    assert ranged.count() == 20 and adjacency(edges, "direction").count() == 20
+    assert ranged._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
