@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,21 +96,28 @@ def distinct_in_order(edges: DataFrame, group: str) -> DataFrame:
     return edges.select(group, "src", "dst").repartitionByRange(group, "src", "dst").distinct()
 
 
-#: So many predicates at most are listed in a filter, which then prunes the folders that are read.
+#: So many predicates at most are listed in a filter, which then prunes the sources that are read.
 _LISTED = 1000
+_SCHEMA = ("rdfs:subClassOf", "rdfs:subPropertyOf", "rdfs:domain", "rdfs:range")
 
 
 def _pairs(triples: DataFrame, predicate: str) -> DataFrame:
     return triples.filter(F.col("p") == predicate).select(F.col("s").alias("src"), F.col("o").alias("dst"))
 
 
-def rdfs_closure(triples: DataFrame | Callable[[Sequence[str]], DataFrame]) -> DataFrame:
+def rdfs_closure(
+    triples: DataFrame | Callable[[Sequence[str]], DataFrame],
+    by_subject: Callable[[Sequence[str]], DataFrame] | None = None,
+    parts: int | None = None,
+) -> DataFrame:
     """Triples entailed by sub-class, sub-property, domain and range statements, without the asserted ones.
 
-    ``triples`` is a table or a function that gives the triples of some predicates (all of them, if none is named).
+    ``triples`` is a table or a function that gives the triples of some predicates (all of them, if none is named); they may repeat.
+    ``by_subject`` gives the same triples dealt to ``parts`` partitions by subject: what follows for the subject of a statement is then
+    compared where the statement lies, and only what follows for its object is shuffled.
 
-    The schema is closed first, on its own; the instances are then joined with the
-    closed schema once per rule instead of being iterated over. What is made is held against those asserted statements only
+    The schema is closed first, on its own, and spelled out as rules: what a statement implies by its predicate, and a type by its class.
+    A statement meets the rules once instead of being iterated over. What is made is held against those asserted statements only
     that can be equal to it: types by a class that something implies, and the predicates that stand above another one. The rest
     of the store is neither read nor shuffled.
     """
@@ -117,71 +125,77 @@ def rdfs_closure(triples: DataFrame | Callable[[Sequence[str]], DataFrame]) -> D
         rows = triples(predicates) if callable(triples) else triples.filter(F.col("p").isin(list(predicates))) if predicates else triples
         return rows.select("s", "p", "o", "o_kind")
 
-    def pairs(predicate: str) -> DataFrame:
-        return _pairs(of([predicate]), predicate)
+    schema = stored(of([*_SCHEMA]).select("s", "p", "o"), "schema")
+    classes = transitive_closure(_pairs(schema, "rdfs:subClassOf"))
+    properties = transitive_closure(_pairs(schema, "rdfs:subPropertyOf"))
 
-    classes = transitive_closure(pairs("rdfs:subClassOf"))
-    properties = transitive_closure(pairs("rdfs:subPropertyOf"))
-
-    def names(schema: DataFrame, column: str) -> list[str] | None:
+    def names(rows: DataFrame, column: str) -> list[str] | None:
         """Names in a part of the schema, when they are few enough to list."""
-        found = [r[0] for r in schema.select(column).distinct().limit(_LISTED + 1).collect()]
+        found = [r[0] for r in rows.select(column).distinct().limit(_LISTED + 1).collect()]
         return found if len(found) <= _LISTED else None
 
-    def about(listed: list[str] | None) -> DataFrame:
-        if listed is None:
-            return of([])
-        return of(listed) if listed else of(["rdf:type"]).limit(0)
-
-    # statements by super-properties
-    lifted = about(names(properties, "src")).join(properties.select(F.col("src").alias("p"), F.col("dst").alias("q")), "p").select(
-        "s", F.col("q").alias("p"), "o"
-    )
-
     def rules_of(predicate: str) -> DataFrame:
-        """Property and class: its own statement, or that of a property above it; a table of its own, so Spark knows its size."""
-        direct = pairs(predicate)
+        """Property and class: its own statement, or that of a property above it."""
+        direct = _pairs(schema, predicate)
         through = properties.withColumnRenamed("dst", "mid").join(direct.withColumnRenamed("src", "mid"), "mid")
         return stored(direct.unionByName(through.select("src", "dst")).distinct(), "rules")
 
     domains, ranges = rules_of("rdfs:domain"), rules_of("rdfs:range")
 
-    def implied(rules: DataFrame, node: str) -> DataFrame:
-        ends = about(names(rules, "src"))
-        if node == "o":
-            ends = ends.filter(F.col("o_kind") == "iri")
-        # statements are many, (property, class) rules few: reduce to one row per end and class at once
-        return ends.join(rules.withColumnRenamed("src", "p"), "p").select(F.col(node).alias("s"), F.col("dst").alias("o"))
-
-    asserted_types = of(["rdf:type"]).select("s", "o")
-    typed = implied(domains, "s").unionByName(implied(ranges, "o")).distinct()
-    above = (
-        asserted_types.unionByName(typed)
-        .join(classes.select(F.col("src").alias("o"), F.col("dst").alias("up")), "o")
-        .select("s", F.col("up").alias("o"))
-    )
-    type_rows = typed.unionByName(above).select("s", F.lit("rdf:type").alias("p"), "o")
+    def with_above(rules: DataFrame) -> DataFrame:
+        return rules.unionByName(
+            rules.withColumnRenamed("dst", "mid").join(classes.withColumnRenamed("src", "mid"), "mid").select("src", "dst")
+        ).distinct()
+
+    def rule(rows: DataFrame, kind: str, by_class: bool = False) -> DataFrame:
+        return rows.select(F.col("src").alias("on"), F.lit(by_class).alias("by_class"), F.lit(kind).alias("kind"), F.col("dst").alias("value"))
 
-    def schema_rows(pairs: DataFrame, predicate: str) -> DataFrame:
-        return pairs.select(F.col("src").alias("s"), F.lit(predicate).alias("p"), F.col("dst").alias("o"))
-
-    entailed = (
-        lifted
-        .unionByName(type_rows)
-        .unionByName(schema_rows(classes, "rdfs:subClassOf"))
-        .unionByName(schema_rows(properties, "rdfs:subPropertyOf"))
-        .distinct()
-    )
     made = classes.select("dst").unionByName(domains.select("dst")).unionByName(ranges.select("dst")).distinct()
-    made = stored(made.withColumnRenamed("dst", "o"), "made-classes")
-    supers = names(properties, "dst")
-    if supers is None or "rdf:type" in supers:
-        known = about(None if supers is None else [*supers, "rdf:type", "rdfs:subClassOf", "rdfs:subPropertyOf"]).select("s", "p", "o")
-    else:
-        known = about([*supers, "rdfs:subClassOf", "rdfs:subPropertyOf"]).select("s", "p", "o").unionByName(
-            asserted_types.join(made, "o", "left_semi").select("s", F.lit("rdf:type").alias("p"), "o")
-        )
-    return entailed.join(known, ["s", "p", "o"], "left_anti")
+    closed = F.explode(F.array(F.lit("rdfs:subClassOf"), F.lit("rdfs:subPropertyOf"))).alias("dst")
+    supers = properties.select("dst").unionByName(schema.sparkSession.range(1).select(closed)).distinct()
+    none = F.lit(None).cast("string")
+    here = [
+        rule(properties, "lifted"), rule(with_above(domains), "type"), rule(classes, "type", by_class=True),
+        rule(made.select(F.col("dst").alias("src"), none.alias("dst")), "known", by_class=True),
+        rule(supers.select(F.col("dst").alias("src"), none.alias("dst")), "known"),
+    ]
+    # tables of their own, so Spark knows their size
+    local = stored(reduce(DataFrame.unionByName, here).distinct(), "rules-here")
+    there = stored(rule(with_above(ranges), "type"), "rules-there")
+
+    def statements(rules: DataFrame, get: Callable[[Sequence[str]], DataFrame], *more: str) -> DataFrame:
+        listed = names(rules.filter(~F.col("by_class")), "on")
+        if listed is None:
+            return get([])
+        listed = [p for p in dict.fromkeys([*listed, *more]) if p is not None]
+        return get(listed) if listed else get(["rdf:type"]).limit(0)
+
+    facts = statements(local, by_subject or of, "rdf:type")
+    is_type = F.col("p") == "rdf:type"
+    asked = F.array(F.struct(F.col("p").alias("on"), F.lit(False).alias("by_class")))
+    typed = F.array_append(asked, F.struct(F.col("o").alias("on"), F.lit(True).alias("by_class")))
+    asks = facts.select("s", "p", "o", F.explode(F.when(is_type, typed).otherwise(asked)).alias("_a"))
+    told = asks.select("s", "p", "o", "_a.on", "_a.by_class").join(local, ["on", "by_class"])
+    kind, value = F.col("kind"), F.col("value")
+    mine = told.select(
+        "s",
+        F.when(kind == "type", "rdf:type").when(kind == "lifted", value).otherwise(F.col("p")).alias("p"),
+        F.when(kind == "type", value).otherwise(F.col("o")).alias("o"),
+        # a statement without a subject is never known
+        ((kind == "known") & F.col("s").isNotNull()).alias("known"),
+    ).filter((kind != "known") | F.col("known"))
+
+    # statements are many, ends few: reduce to one row per end and predicate first
+    ends = statements(there, of).filter(F.col("o_kind") == "iri").select(F.col("o").alias("s"), "p").distinct()
+    theirs = ends.join(there.withColumnRenamed("on", "p"), "p").select("s", F.lit("rdf:type").alias("p"), value.alias("o"), F.lit(False).alias("known"))
+
+    def schema_rows(pairs: DataFrame, predicate: str) -> DataFrame:
+        return pairs.select(F.col("src").alias("s"), F.lit(predicate).alias("p"), F.col("dst").alias("o"), F.lit(False).alias("known"))
+
+    sent = theirs.unionByName(schema_rows(classes, "rdfs:subClassOf")).unionByName(schema_rows(properties, "rdfs:subPropertyOf"))
+    sent = sent.repartition(parts, "s") if parts else sent
+    held = mine.unionByName(sent).groupBy("s", "p", "o").agg(F.bool_or("known").alias("known"))
+    return held.filter(~F.col("known")).select("s", "p", "o")
 
 
 def instances_of(triples: DataFrame, cls: str) -> DataFrame:

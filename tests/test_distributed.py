@@ -1,6 +1,7 @@
 """Operators that split work differently from a plain window, against brute force."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -184,6 +185,23 @@ def test_inference_equals_naive_rules(spark, seed):
     assert len(got) == len(set(got)) and set(got) == _naive_rdfs(rows)
 
 
+def test_inference_shuffles_only_what_follows_for_objects(spark):
+    """Repeated statements, dealt by subject; what is made of them is not shuffled again."""
+    rows = [("paidBy", "rdfs:subPropertyOf", "involves", "iri"), ("involves", "rdfs:domain", "Transfer", "iri"), ("involves", "rdfs:range", "Party", "iri")]
+    rows += [(f"t{i}", "paidBy", f"p{i % 3}", "iri") for i in range(20)] + [("t1", "rdf:type", "Transfer", "iri"), ("t2", "involves", "p2", "iri")]
+    base = spark.createDataFrame(rows * 2, "s string, p string, o string, o_kind string")
+
+    def of(predicates):
+        return base.filter(F.col("p").isin(predicates)) if predicates else base
+
+    made = rdfs_closure(of, lambda predicates: of(predicates).repartition(7, "s"), 7)
+    got = [(r.s, r.p, r.o) for r in made.collect()]
+    assert len(got) == len(set(got)) and set(got) == _naive_rdfs({*rows})
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any(re.search(r"hashpartitioning\(s#\d+, p#\d+, o#", line) for line in exchanges)
+
+
 def test_name_matching_equals_all_pairs(spark):
     rng = random.Random(3)
     names = ["", "a", "Ab", "abc", "abcd ltd", "xABCx", "Customer#000000012", "customer#000000012 Holding", "Customer#00000001"]
