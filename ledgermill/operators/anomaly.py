@@ -35,45 +35,63 @@ def quote_statistics(quotes: DataFrame, window: int = 50, price: str = "current_
     return bounded_frames(slim, ["symbol"], list(order), window, quote_frames(price), include_current=False)
 
 
-def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price: str = "current_price", keep: Sequence[str] = ()) -> DataFrame:
+def _price_hit(minimum: int, limit: float, price: str) -> tuple[Column, dict[str, Column]]:
+    """Condition and columns of a price far from the mean of its frame."""
     z = (F.col(price) - F.col("mean_price")) / F.col("stdev_price")
-    ready = (F.col("n_prev") >= minimum) & (F.col("stdev_price") > 0)
-    scored = stats.filter(ready).withColumn("z", z).filter(F.abs("z") > limit)
     message = F.format_string(
-        "%s price %.2f is %.1f std devs from mean %.2f", F.col("symbol"), F.col(price), F.abs("z"), F.col("mean_price")
-    )
-    return scored.select(
-        *keep,
-        "event_id",
-        F.lit("PRICE_SPIKE").alias("type"),
-        "symbol",
-        F.col(price).alias("value"),
-        F.round("z", 2).alias("z_score"),
-        F.round("mean_price", 2).alias("mean"),
-        F.round("stdev_price", 4).alias("stdev"),
-        F.when(F.abs("z") > 3.5, "HIGH").otherwise("MEDIUM").alias("severity"),
-        message.alias("message"),
-        F.lit("z-score").alias("detection_method"),
-        F.col("ts").alias("timestamp"),
+        "%s price %.2f is %.1f std devs from mean %.2f", F.col("symbol"), F.col(price), F.abs(z), F.col("mean_price")
     )
+    return (F.col("n_prev") >= minimum) & (F.col("stdev_price") > 0) & (F.abs(z) > limit), {
+        "event_id": F.col("event_id"),
+        "type": F.lit("PRICE_SPIKE"),
+        "symbol": F.col("symbol"),
+        "value": F.col(price),
+        "z_score": F.round(z, 2),
+        "mean": F.round("mean_price", 2),
+        "stdev": F.round("stdev_price", 4),
+        "severity": F.when(F.abs(z) > 3.5, "HIGH").otherwise("MEDIUM"),
+        "message": message,
+        "detection_method": F.lit("z-score"),
+        "timestamp": F.col("ts"),
+    }
+
+
+def _volume_hit(minimum: int, times: float) -> tuple[Column, dict[str, Column]]:
+    """Condition and columns of a volume that is a multiple of the mean of its frame."""
+    mean, volume = F.col("mean_volume"), F.col("volume")
+    return (F.col("n_prev") >= minimum) & (mean > 0) & (volume > mean * times), {
+        "event_id": F.col("event_id"),
+        "type": F.lit("VOLUME_SPIKE"),
+        "symbol": F.col("symbol"),
+        "value": volume.cast("double"),
+        "average_volume": mean.cast("long"),
+        "ratio": F.round(volume / mean, 2),
+        "severity": F.lit("MEDIUM"),
+        "message": F.format_string("%s volume %,d is %.1fx average", F.col("symbol"), volume, volume / mean),
+        "detection_method": F.lit("threshold"),
+        "timestamp": F.col("ts"),
+    }
+
+
+def _hits(stats: DataFrame, hit: tuple[Column, dict[str, Column]], keep: Sequence[str]) -> DataFrame:
+    condition, columns = hit
+    return stats.filter(condition).select(*keep, *[c.alias(name) for name, c in columns.items()])
+
+
+def price_zscore(stats: DataFrame, minimum: int = 10, limit: float = 2.5, price: str = "current_price", keep: Sequence[str] = ()) -> DataFrame:
+    return _hits(stats, _price_hit(minimum, limit, price), keep)
 
 
 def volume_spike(stats: DataFrame, minimum: int = 10, times: float = 3, keep: Sequence[str] = ()) -> DataFrame:
-    mean, volume = F.col("mean_volume"), F.col("volume")
-    hits = stats.filter((F.col("n_prev") >= minimum) & (mean > 0) & (volume > mean * times))
-    return hits.select(
-        *keep,
-        "event_id",
-        F.lit("VOLUME_SPIKE").alias("type"),
-        "symbol",
-        volume.cast("double").alias("value"),
-        mean.cast("long").alias("average_volume"),
-        F.round(volume / mean, 2).alias("ratio"),
-        F.lit("MEDIUM").alias("severity"),
-        F.format_string("%s volume %,d is %.1fx average", F.col("symbol"), volume, volume / mean).alias("message"),
-        F.lit("threshold").alias("detection_method"),
-        F.col("ts").alias("timestamp"),
-    )
+    return _hits(stats, _volume_hit(minimum, times), keep)
+
+
+def price_and_volume_hits(stats: DataFrame, minimum: int = 10, limit: float = 2.5, times: float = 3, price: str = "current_price") -> DataFrame:
+    """The rows of both detectors, each with nulls for the other's columns, from one pass: a union would make the frames twice."""
+    found = [_price_hit(minimum, limit, price), _volume_hit(minimum, times)]
+    names = list(dict.fromkeys(n for _, columns in found for n in columns))
+    rows = [F.when(hit, F.struct(*[columns.get(n, F.lit(None)).alias(n) for n in names])) for hit, columns in found]
+    return stats.filter(found[0][0] | found[1][0]).select(F.inline(F.array_compact(F.array(*rows))))
 
 
 def amount_frames(w: WindowSpec) -> dict[str, Column]:

@@ -125,8 +125,8 @@ def carried_frames(
     """:func:`bounded_frames` of rows that come after those of ``before``, and what to carry on.
 
     ``before`` holds the last ``preceding`` rows of each key with ``_back``, counted from 1 for the last one. Only the new rows
-    are sorted; carried rows join the first two chunks of their key, beyond which they cannot be in a frame. The
-    second result has the same columns as ``before``: rows are numbered in order, so a key's last ones follow from its greatest
+    are sorted; carried rows join the first chunk of their key, and the second one if the key has rows there and the first holds
+    fewer than a frame of them, beyond which they cannot be in a frame. The second result has the same columns as ``before``: rows are numbered in order, so a key's last ones follow from its greatest
     number, and the rows of a key without new ones pass through.
     """
     indexed = dense_index(df, [*keys, *order])
@@ -141,7 +141,11 @@ def carried_frames(
         return joined.drop(*[f"_key_{i}" for i in range(len(keys))])
 
     size = _chunk_rows(preceding, chunk_rows)
-    earlier = with_ends(before, "inner").withColumn("_chunk", F.explode(F.expr(f"array(_lo div {size}, _lo div {size} + 1)")))
+    chunks_seen = F.expr(
+        f"CASE WHEN _hi div {size} > _lo div {size} AND _back <= {preceding} - ({size} - _lo % {size})"
+        f" THEN array(_lo div {size}, _lo div {size} + 1) ELSE array(_lo div {size}) END"
+    )
+    earlier = with_ends(before, "inner").withColumn("_chunk", F.explode(chunks_seen))
     earlier = earlier.withColumns({"_idx": -F.col("_back"), "_halo": F.lit(True)}).drop("_back", "_lo", "_hi")
     frames = _frames(chunks.unionByName(earlier), keys, preceding, columns, include_current)
 

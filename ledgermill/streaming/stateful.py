@@ -70,7 +70,7 @@ def price_and_volume_anomalies(root: str, window: int = 50, minimum: int = 10, l
     """Price and volume anomalies against the previous ``window`` quotes of the symbol."""
 
     def hits(stats: DataFrame) -> DataFrame:
-        return anomaly.price_zscore(stats, minimum, limit).unionByName(anomaly.volume_spike(stats, minimum, times), allowMissingColumns=True)
+        return anomaly.price_and_volume_hits(stats, minimum, limit, times)
 
     columns = ["current_price", "volume"]
     return RollingDetector(root, ["symbol"], ["ts", "event_id"], columns, window, False, anomaly.quote_frames(), hits)

@@ -152,6 +152,19 @@ def test_detector_state_equals_one_frame_over_everything(spark):
     assert got == want and len(want) > 5
 
 
+def test_detector_makes_its_frames_once(spark):
+    """Both kinds of hits, as the two detectors give them one by one, from one window over the rows."""
+    rng = random.Random(5)
+    rows = [(i, "a", rng.gauss(100, 1) + (60 if i % 37 == 0 else 0), 100 if i % 31 else 900, T0 + timedelta(seconds=i)) for i in range(400)]
+    stats = anomaly.quote_statistics(spark.createDataFrame(rows, "event_id long, symbol string, current_price double, volume long, ts timestamp"))
+    hits = stateful.price_and_volume_anomalies(scratch_path(spark, "once")).hits(stats)
+    want = anomaly.price_zscore(stats).unionByName(anomaly.volume_spike(stats), allowMissingColumns=True)
+    assert hits.dtypes == want.dtypes and {r.type for r in hits.collect()} == {"PRICE_SPIKE", "VOLUME_SPIKE"}
+    assert sorted(map(str, hits.collect())) == sorted(map(str, want.collect()))
+    plan = hits._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") == 1
+
+
 MESSAGES = "topic string, key string, value string"
 
 
