@@ -203,6 +203,53 @@ def test_recall_of_edited_passages(spark, tmp_path, every, size):
     assert len(found) >= (0.9 if every == 5 else 0.97) * 200
 
 
+@pytest.mark.parametrize("holders", [1, 12])
+def test_edited_passages_whose_parts_all_occur_first_elsewhere(spark, tmp_path, holders):
+    """Every seed of the passage is held by ``holders`` earlier documents or more, none of which has the passage."""
+    rng = np.random.default_rng(holders)
+    rows, pairs = [], set()
+    for n in range(20):
+        passage = made_words(rng, 64)
+        changed = [f"q{n}x{i}" if i % 8 == 7 else w for i, w in enumerate(passage)]
+        parts = [passage[i : i + 20] for i in range(0, 64, 10)] * holders
+        for words in (*parts, passage, changed):
+            rows.append((len(rows), " ".join(made_words(rng, 40) + words + made_words(rng, 40)), "en", "s", 0))
+        pairs.add((len(rows) - 2, len(rows) - 1))
+    got = run(spark, "op7_passages", folder(spark, tmp_path, rows)).collect()
+    found = {(r.partner_id, r.doc_id) for r in got}
+    assert found <= pairs and len(found) >= 19
+
+
+@pytest.mark.parametrize(("near", "held"), [(8, 4_000_000), (8, 40), (2, 10)])
+def test_links_equal_those_of_all_holders(spark, monkeypatch, near, held):
+    rng = np.random.default_rng(near + held)
+    texts = [(None if i == 7 else i, " ".join(rng.choice(list("abcd"), int(rng.integers(0, 30))))) for i in range(120)]
+    monkeypatch.setattr(passages, "HELD", held)
+    monkeypatch.setattr(passages, "NEAR", near)
+    monkeypatch.setattr(passages, "CHUNK", 50)
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    got = passages._linked(passages._seed_rows(docs, "bigint", 40), "bigint").collect()
+    holders = {}
+    for doc_id, text in texts:
+        for at, name in zip(*passages.seeds(passages.word_numbers(text)), strict=True):
+            holders.setdefault(int(name.view(np.int64)), []).append((-1 if doc_id is None else doc_id, int(at)))
+    place = lambda doc_id, at: (-1 if doc_id is None else doc_id, at)
+    links = {}
+    for r in got:
+        links.setdefault(r.name, []).append((place(r.doc_id, r.at), place(r.partner_id, r.partner_at), r.number, r.often))
+    repeated = {name: sorted(h) for name, h in holders.items() if len(h) > 1}
+    assert links.keys() == repeated.keys() and any(len(h) <= near for h in repeated.values()) and any(len(h) > near for h in repeated.values())
+    for name, held_by in repeated.items():
+        assert sorted(own for own, _, number, _ in links[name] if not number) == held_by
+        pairs = {(other, own) for own, other, _, _ in links[name] if own != other}
+        assert all(a < b for a, b in pairs) and {often for *_, often in links[name]} == {len(held_by) > near}
+        if len(held_by) <= near:
+            assert pairs == {(a, b) for i, a in enumerate(held_by) for b in held_by[i + 1 :]}
+        else:
+            centre = set.intersection(*map(set, pairs))
+            assert len(pairs) == len(held_by) - 1 and centre and (held < 100 or centre == {held_by[0]})
+
+
 @pytest.mark.parametrize("size", [8, 20, 50, 64, 100])
 @pytest.mark.parametrize("every", [5, 7, 10])
 def test_recall_by_distance_between_typos(size, every):
