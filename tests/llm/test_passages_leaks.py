@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgermill.llm import decontamination, passages
@@ -145,6 +146,96 @@ def test_names_of_stretches_are_equal_where_the_words_are():
     assert len(kept) == len({tuple(words[i : i + 6]) for i in range(395)}) and not names[395:].any()
 
 
+def test_words_of_many_texts_equal_those_of_each():
+    texts = ["", "One two,  THREE", "ΟΔΟΣ", "\n", "ÀÉ x\n\ny İ", "last word", ""]
+    words, begins = passages.words_of(pa.array(texts))
+    assert [words[a:b].tolist() for a, b in zip(begins, begins[1:])] == [passages.word_numbers(t).tolist() for t in texts]
+    assert passages.words_of(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def full_table(x, y):
+    row = [0] * (len(y) + 1)
+    for word in x:
+        old = row
+        row = [0]
+        for j, other in enumerate(y):
+            row.append(max(row[-1], old[j + 1], old[j] + (word == other)))
+    return row[-1]
+
+
+def test_common_words_equal_the_full_table():
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        x, y = (rng.integers(0, 6, rng.integers(0, 90)).tolist() for _ in range(2))
+        assert passages.common(x, y) == full_table(x, y)
+
+
+def agreement(pairs):
+    """Length and equal words of the best prefix; the first of those with most gain."""
+    gains = [(sum(1 if equal else -2 for equal in pairs[:n]), -n) for n in range(1, len(pairs) + 1)]
+    gain, n = max(gains, default=(0, 0))
+    return (-n, sum(pairs[:-n])) if gain > 0 else (0, 0)
+
+
+def test_alignment_of_many_chains_equals_one_at_a_time():
+    rng = np.random.default_rng(8)
+    x, y, bounds, rows, counts, wanted = [], [], [], [], [], []
+    for _ in range(200):
+        one = rng.integers(0, 3, rng.integers(4, 60)).tolist()
+        two = [w if rng.random() < 0.8 else 9 for w in one][rng.integers(0, 3) :] + rng.integers(0, 3, 5).tolist()
+        chain, a, b = [], int(rng.integers(0, 4)), int(rng.integers(0, 4))
+        while a + 4 <= len(one) and b + 4 <= len(two) and len(chain) < 4:
+            size = int(rng.integers(1, 5))
+            chain.append((a, b, size))
+            a, b = a + size + int(rng.integers(0, 6)), b + size + int(rng.integers(0, 6))
+        if not chain:
+            continue
+        same = sum(one[p + k] == two[q + k] for p, q, size in chain for k in range(size))
+        same += sum(full_table(one[p + s : v], two[q + s : w]) for (p, q, s), (v, w, _) in zip(chain, chain[1:]))
+        (p, q, _), (v, w, size) = chain[0], chain[-1]
+        back, more = agreement([one[p - k] == two[q - k] for k in range(1, min(p, q) + 1)])
+        ahead, equal = agreement([c == d for c, d in zip(one[v + size :], two[w + size :])])
+        place = [p - back, v + size + ahead, q - back, w + size + ahead]
+        wanted.append((*place, (same + more + equal) / max(place[1] - place[0], place[3] - place[2])))
+        bounds.append((len(x), len(x) + len(one), len(y), len(y) + len(two)))
+        x, y, rows, counts = x + one, y + two, rows + chain, [*counts, len(chain)]
+    found, alike = passages.align(*map(np.array, (x, y, bounds, rows, counts)))
+    assert [(*f, s) for f, s in zip(found.tolist(), alike.tolist())] == wanted and len(wanted) > 100
+
+
+@pytest.mark.parametrize(("id_type", "chunk"), [("bigint", 50), ("string", 200_000)])
+def test_chains_of_packed_links_equal_those_of_each_pair(spark, monkeypatch, id_type, chunk):
+    monkeypatch.setattr(passages, "CHUNK", chunk)
+    rng = np.random.default_rng(chunk)
+    phrases = [made_words(rng, 12) for _ in range(12)]
+    rows = []
+    for i in range(60):
+        words = sum((phrases[k] + made_words(rng, int(rng.integers(0, 20))) for k in rng.integers(0, 12, 5)), [])
+        rows.append((None if i == 7 else str(i) if id_type == "string" else i, " ".join(words)))
+    docs = spark.createDataFrame(rows + rows[:3], f"doc_id {id_type}, text string").repartition(3)
+    held = passages._linked(passages._seed_rows(docs, id_type, 40), id_type).collect()
+    packed = passages._links_and_seeds(passages._seed_rows(docs, id_type, 40), id_type).localCheckpoint()
+    seen = packed.where("often IS NOT NULL").select("doc_id", "at", "name", "extra", "often").collect()
+    assert sorted(map(repr, map(tuple, seen))) == sorted(repr((r.doc_id, r.at, r.name, r.extra, r.often)) for r in held if r.number == 0)
+    links = {}
+    for r in held:
+        if (r.doc_id, r.at) != (r.partner_id, r.partner_at):
+            links.setdefault((r.partner_id, r.doc_id), set()).add((r.partner_at, r.at))
+    wanted = []
+    for (one, two), places in links.items():
+        if len(places) > 1:
+            found = passages.segments(*np.array(sorted(places)).T)
+            for chain in passages.chains(found, 10 if one == two else 5):
+                wanted.append((one, two, [tuple(found[i].tolist()) for i in chain]))
+    got = passages._chain_rows(packed.where("often IS NULL").select("links.*"), id_type, 5).collect()
+    got = [(r.partner_id, r.doc_id, [tuple(s) for s in r.chain]) for r in got]
+    # the chains left out are alone in their cell with another short one
+    short = lambda c: max(c[-1][0] - c[0][0], c[-1][1] - c[0][1]) + c[-1][2] < 10
+    assert sorted(repr(g) for g in got if not short(g[2])) == sorted(repr(w) for w in wanted if not short(w[2]))
+    cells = lambda all_: {(p, d, c[0][0] // passages.CELL, c[0][1] // passages.CELL) for p, d, c in all_ if short(c)}
+    assert cells(got) == cells(wanted) and len(cells(got)) == sum(short(c) for *_, c in got) and any(len(c) > 1 for *_, c in got)
+
+
 def test_planted_fuzzy_passages(spark, tmp_path):
     rng = np.random.default_rng(2)
     passage = made_words(rng, 80)
