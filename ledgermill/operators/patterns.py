@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators.closure import Rounds
@@ -490,6 +490,7 @@ def graph_counts(quads: DataFrame) -> DataFrame:
 
 
 _QUAD = ["graph", "s", "p", "o"]
+_DEAL = "_deal"  # equal for equal statements: quads that are dealt by it are updated where they are, without a shuffle
 
 
 def insert_triples(quads: DataFrame, new: DataFrame) -> DataFrame:
@@ -497,7 +498,14 @@ def insert_triples(quads: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def delete_triples(quads: DataFrame, gone: DataFrame) -> DataFrame:
-    return quads.join(gone.select(*_QUAD).distinct(), _QUAD, "left_anti")
+    """The quads without those that have graph, subject, predicate and object of one in ``gone``; nothing is equal to null."""
+    if _DEAL not in quads.columns or _DEAL not in gone.columns:
+        return quads.join(gone.select(*_QUAD).distinct(), _QUAD, "left_anti")
+    # a join would deal both sides anew by all of its keys
+    named = gone.select(_DEAL, *_QUAD).dropna(subset=_QUAD).withColumn("_gone", F.lit(True))
+    marked = quads.withColumn("_gone", F.lit(False)).unionByName(named, allowMissingColumns=True)
+    found = F.max("_gone").over(Window.partitionBy(_DEAL, *_QUAD))
+    return marked.withColumn("_found", found).filter(~F.col("_found")).drop("_gone", "_found")
 
 
 def clear_graph(quads: DataFrame, graph: str) -> DataFrame:

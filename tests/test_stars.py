@@ -4,6 +4,8 @@ import re
 
 import pytest
 
+from ledgermill.catalog import load
+from ledgermill.operators import patterns
 from ledgermill.operators.patterns import LABEL, Graph, every, optional
 from ledgermill.plans import triples
 from ledgermill.plans.inputs import Inputs
@@ -73,3 +75,23 @@ def test_statements_are_made_distinct_where_they_were_dealt(spark):
     inputs = Inputs(spark, "/root/testdata/sf0.001")
     plan = triples.dealt_quads(inputs).drop("graph").distinct()._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(_deal", plan)) == 1
+
+
+def test_graph_updates_shuffle_all_statements_once(spark, no_broadcast):
+    plan = load().RUNNERS["grf_31_graph_updates"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.findall(r"Exchange hashpartitioning\((?:graph|s|p|o|o_kind)#", plan)
+    assert len(re.findall(r"Exchange hashpartitioning\(_deal", plan)) == 3  # all of them, the inserted and the deleted ones
+
+
+def test_updates_where_quads_were_dealt_equal_those_by_a_join(spark):
+    schema = "graph string, s string, p string, o string, o_kind string, _deal long"
+    rows = [("g", s, p, o, kind) for s in ("a", "b", None) for p in ("p", "q") for o in ("1", "2", None) for kind in ("iri", "literal")] * 2
+    rows += [(None, "a", "p", "1", "iri"), ("h", "a", "p", "1", None)]
+    gone = [("g", "a", "p", "1", None), ("g", "a", "p", "1", "iri"), ("g", None, "p", "1", "iri"), ("g", "b", "q", None, "iri"), ("h", "b", "p", "1", "iri")]
+    gone += [("h", "a", "p", "1", "literal"), ("k", "z", "p", "1", "iri")]
+    quads, gone = (spark.createDataFrame([(*r, sum(map(ord, r[1] or ""))) for r in some], schema).repartition(5, "_deal") for some in (rows, gone))
+    got = patterns.delete_triples(quads, gone).drop("_deal")
+    want = patterns.delete_triples(quads.drop("_deal"), gone.drop("_deal"))
+    listed = lambda frame: sorted(map(repr, frame.select("graph", "s", "p", "o", "o_kind").collect()))
+    assert listed(got) == listed(want) and 0 < got.count() < len(rows)
+    assert len(re.findall("Exchange", got._jdf.queryExecution().executedPlan().toString())) == 2
