@@ -311,6 +311,36 @@ def test_edited_passages_whose_parts_all_occur_first_elsewhere(spark, tmp_path,
     assert found <= pairs and len(found) >= 19
 
 
+@pytest.mark.parametrize(("group", "links"), [(16 << 20, 2_000_000), (2000, 300)])
+def test_passages_whose_seeds_all_stand_together_elsewhere(spark, tmp_path, monkeypatch, group, links):
+    """Any two seeds of the passage that are near each other are held by 12 earlier documents, none of which has the passage."""
+    monkeypatch.setattr(passages, "GROUP", group)
+    monkeypatch.setattr(passages, "TILE_LINKS", links)
+    rng = np.random.default_rng(5)
+    rows, pairs = [], set()
+    for n in range(4):
+        passage = made_words(rng, 64)
+        changed = [f"q{n}x{i}" if i % 8 == 7 else w for i, w in enumerate(passage)]
+        parts = [passage[i : i + 36] for i in range(0, 32, 4)] * 12
+        for words in (*parts, passage, changed):
+            rows.append((len(rows), " ".join(made_words(rng, 40) + words + made_words(rng, 40)), "en", "s", 0))
+        pairs.add((len(rows) - 2, len(rows) - 1))
+    got = run(spark, "op7_passages", folder(spark, tmp_path, rows)).collect()
+    found = {(r.partner_id, r.doc_id) for r in got if r.end_word - r.first_word >= 56}
+    assert found == pairs and all(r.alike >= 0.8 for r in got)
+
+
+def test_rows_of_a_line_meet_place_by_place():
+    at = np.array([3, 8, 13, 18, 23, 70, 0, 1, 2, 3, 9, 5, 9, 30, 31, 32])
+    doc = np.array([0] * 6 + [1] * 5 + [2] * 5)
+    name = np.array([7] * 10 + [8, 7, 7, 7, 7, 7], dtype=np.uint64)
+    order = np.random.default_rng(1).permutation(len(at))
+    rank = np.empty(len(at), int)
+    rank[order] = passages.in_rows(doc[order], name[order], at[order], 40)
+    assert rank.tolist() == [0, 1, 2, 3, 4, -1, 0, 1, 2, 3, -1, -1, -1, -1, -1, -1]
+    assert passages.in_rows(doc[:0], name[:0], at[:0], 40).tolist() == []
+
+
 @pytest.mark.parametrize(("near", "held"), [(8, 4_000_000), (8, 40), (2, 10)])
 def test_links_equal_those_of_all_holders(spark, monkeypatch, near, held):
     rng = np.random.default_rng(near + held)
