@@ -330,6 +330,21 @@ def test_passages_whose_seeds_all_stand_together_elsewhere(spark, tmp_path, monk
     assert found == pairs and all(r.alike >= 0.8 for r in got)
 
 
+@pytest.mark.parametrize("two", [False, True])
+def test_long_documents_of_a_tile_are_compared_in_parts(two):
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 32, (2, 3000), dtype=np.uint64).astype(np.uint32)
+    words[1, 500:900] = words[0, 1000:1400]
+    at = [passages.seeds(w)[0].astype(np.int32) for w in words]
+    columns = [pa.array([1, 2]), [w.tobytes() for w in words], [a.tobytes() for a in at], [np.full(len(a), 2, np.int8).tobytes() for a in at]]
+    columns = [*(pa.array(c) for c in columns), pa.array([two, two]), pa.array([0, 1 if two else 0])]
+    batch = pa.RecordBatch.from_arrays(columns, names=["doc_id", "words", "at", "mark", "two", "side"])
+    whole, parts = ([(p, o, *f) for ps, os, fs, _ in passages._tile_passages(batch, most, 40, 0.8) for p, o, f in zip(ps.tolist(), os.tolist(), fs.tolist(), strict=True)] for most in (10**6, 10))
+    assert whole == [(0, 1, 1000, 1400, 500, 900)] and len(parts) > 1
+    assert all(p[:2] == (0, 1) and p[2] - p[4] == p[3] - p[5] == 500 for p in parts)
+    assert set().union(*(range(p[2], p[3]) for p in parts)) == set(range(1000, 1400))
+
+
 def test_rows_of_a_line_meet_place_by_place():
     at = np.array([3, 8, 13, 18, 23, 70, 0, 1, 2, 3, 9, 5, 9, 30, 31, 32])
     doc = np.array([0] * 6 + [1] * 5 + [2] * 5)
